@@ -40,20 +40,19 @@ def overlay(first: str, second: str) -> list[Column]:
     return columns
 
 
+ORDER = ("fetched_at", "page_id", "pos")  # which of several fetches counts
+
+
 def pair_halves(halves: DataFrame) -> DataFrame:
     """Half records to one row per (source, link_key) with the structs ``first`` and ``second``.
 
     ``hop`` 0 is the page a source starts with, ``hop`` 1 its other language version. Of several
     fetches of one page the earliest counts.
     """
-    fields = F.struct(*HALF_FIELDS)
-    order = F.struct("fetched_at", "page_id", "pos")
-
-    def side(hop: int) -> Column:
-        return F.min_by(fields, F.when(F.col("hop") == hop, order))
-
+    fields = F.struct(*ORDER, *HALF_FIELDS)
+    sides = [F.min(F.when(F.col("hop") == hop, fields)) for hop in (0, 1)]
     return halves.groupBy("source", "link_key").agg(
-        side(0).alias("first"), side(1).alias("second")
+        sides[0].alias("first"), sides[1].alias("second")
     )
 
 
@@ -74,10 +73,9 @@ def merge_languages(halves: DataFrame) -> DataFrame:
     The first English row of an id counts and takes the fields of the last Chinese row; an id only
     the Chinese list has is a record of its own, dated by its first row.
     """
-    fields = F.struct(*HALF_FIELDS)
-    order = F.struct("fetched_at", "page_id", "pos")
+    fields, order = F.struct(*HALF_FIELDS), F.struct(*ORDER)
     english, chinese = F.col("lang") == "en", F.col("lang") == "zh"
-    merged = halves.groupBy("source", "event_id").agg(
+    merged = halves.groupBy("source", F.col("link_key").alias("event_id")).agg(
         F.min_by(fields, F.when(english, order)).alias("first"),
         F.max_by(fields, F.when(chinese, order)).alias("second"),
         F.min_by(F.struct(*DATE_FIELDS), F.when(chinese, order)).alias("dating"),
@@ -97,7 +95,7 @@ def merge_languages(halves: DataFrame) -> DataFrame:
 
 def fee_page_url(url: Column) -> Column:
     """The ticket page lies beside the page, whatever the scheme was."""
-    return F.regexp_replace(F.regexp_replace(url, "^https?://", "https://"), "[^/]*$", "ticketinfo.html")
+    return F.regexp_replace(F.regexp_replace(url, "^https?://", "https://"), "/[^/]*$", "/ticketinfo.html")
 
 
 def lookup_fees(events: DataFrame, fees: DataFrame, url: str = "link_chi") -> DataFrame:

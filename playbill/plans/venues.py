@@ -516,7 +516,7 @@ def asia_world_expo(pages: DataFrame, as_of: AsOf) -> DataFrame:
     )
     entries = _dated(entries, R.ASIA_WORLD_EXPO, as_of)
     halves = _halves(
-        entries.withColumn("link_key", F.col("event_id")),
+        entries,
         F.when(F.col("lang") == "en", 0).otherwise(1),
         F.col("event_id"),
         {
@@ -539,9 +539,9 @@ def asia_world_expo(pages: DataFrame, as_of: AsOf) -> DataFrame:
     return halves.where(F.col("link_key").isNotNull())
 
 
-# Venues whose pages are paired by address; the entries of the remaining one are merged by id.
-PAIRED: dict[str, Callable[[DataFrame, AsOf], DataFrame]] = {
+EXTRACT: dict[str, Callable[[DataFrame, AsOf], DataFrame]] = {
     R.ASIA_SOCIETY: asia_society,
+    R.ASIA_WORLD_EXPO: asia_world_expo,
     R.FILM_ARCHIVE: film_archive,
     R.MUSEUM_OF_ART: museum_of_art,
     R.TOURISM_BOARD: tourism_board,
@@ -555,65 +555,72 @@ PAIRED: dict[str, Callable[[DataFrame, AsOf], DataFrame]] = {
 
 
 def page_halves(pages: DataFrame, as_of: AsOf, sources: list[str] | None = None) -> DataFrame:
-    """Half records of all address-paired venues."""
-    chosen = [plan(pages, as_of) for name, plan in PAIRED.items() if not sources or name in sources]
-    return records.union_sources(chosen)
-
-
-def entry_halves(pages: DataFrame, as_of: AsOf) -> DataFrame:
-    return asia_world_expo(pages, as_of).withColumn("event_id", F.col("link_key"))
+    """Half records of the pages of all venues or some; no shuffle."""
+    return records.union_sources(
+        [plan(pages, as_of) for name, plan in EXTRACT.items() if not sources or name in sources]
+    )
 
 
 def ticket_fees(pages: DataFrame) -> DataFrame:
+    """Fees of the film archive's ticket pages: (url, fee, fetched_at, page_id)."""
     fee_pages = _pages(pages, R.FILM_ARCHIVE, "fee")
     fee = bilingual.fee_of_ticket_page(F.col("html"))
     secure = F.regexp_replace("url", "^https?://", "https://")
     return fee_pages.select(secure.alias("url"), fee.alias("fee"), "fetched_at", "page_id")
 
 
-def _with_ticket_fees(events: DataFrame, pages: DataFrame) -> DataFrame:
-    """Film archive: a fee missing on the Chinese page is on the ticket page beside it."""
+def _with_ticket_fees(events: DataFrame, fees: DataFrame) -> DataFrame:
+    """A fee missing on the Chinese page is on the ticket page beside it."""
     own = F.when(~F.col("link_chi").contains(R.PARTNER_HOST), F.col("link_chi"))
     events = events.withColumn("_beside", own)
-    return bilingual.lookup_fees(events, ticket_fees(pages), "_beside").drop("_beside")
+    return bilingual.lookup_fees(events, fees, "_beside").drop("_beside")
 
 
-def _with_shared_fields(events: DataFrame, pages: DataFrame) -> DataFrame:
-    """The Mills: locations serve both languages, the class name is translated."""
+def _with_shared_fields(events: DataFrame) -> DataFrame:
+    """Locations serve both languages, and the class name is translated."""
     name = classify.translate_type(F.col("event_type_eng"), R.TYPE_RULES[R.THE_MILLS])
     events = events.withColumn("event_type_chi", F.when(F.col("has_twin"), name))
     return bilingual.fill_location(events, F.col("has_twin"))
 
 
-# What needs the paired record. These venues are paired on their own, so that the other venues'
-# records do not pass through the join.
-FINISH = {R.FILM_ARCHIVE: _with_ticket_fees, R.THE_MILLS: _with_shared_fields}
+def assemble(
+    halves_of: Callable[[list[str]], DataFrame],
+    fees: Callable[[], DataFrame],
+    sources: list[str] | None = None,
+    defaults: DataFrame | None = None,
+) -> DataFrame:
+    """Event records of half records. ``halves_of`` gives the halves of some venues.
+
+    The venues whose paired records need more are paired on their own, so that the records of the
+    others do not pass through the join with the ticket pages.
+    """
+    chosen = [name for name in EXTRACT if not sources or name in sources]
+    special = (R.ASIA_WORLD_EXPO, R.FILM_ARCHIVE, R.THE_MILLS)
+    plain = [name for name in chosen if name not in special]
+    parts = [bilingual.pair_languages(halves_of(plain))] if plain else []
+    if R.THE_MILLS in chosen:
+        parts.append(_with_shared_fields(bilingual.pair_languages(halves_of([R.THE_MILLS]))))
+    if R.FILM_ARCHIVE in chosen:
+        parts.append(_with_ticket_fees(bilingual.pair_languages(halves_of([R.FILM_ARCHIVE])), fees()))
+    if R.ASIA_WORLD_EXPO in chosen:
+        parts.append(bilingual.merge_languages(halves_of([R.ASIA_WORLD_EXPO])))
+    events = records.union_sources(parts)
+    if defaults is None:
+        defaults = records.defaults_table(events.sparkSession, R.DEFAULTS)
+    return records.conform(events, defaults)
 
 
 def extract_events(
-    pages: DataFrame,
-    as_of: AsOf,
-    sources: list[str] | None = None,
-    defaults: dict[str, dict[str, str]] | None = None,
+    pages: DataFrame, as_of: AsOf, sources: list[str] | None = None, defaults: DataFrame | None = None
 ) -> DataFrame:
     """Pages to event records, for all venues or some.
 
-    Without ``defaults`` a missing value stays NULL; ``rules.published_defaults()`` puts in the
-    text markers.
+    A missing value stays NULL, unless ``defaults`` says otherwise: the table of
+    ``rules.published_defaults()`` puts in the text markers.
     """
-    chosen = [name for name in R.VENUES if not sources or name in sources]
-    plain = [name for name in chosen if name in PAIRED and name not in FINISH]
-    parts = []
-    if plain:
-        parts.append(bilingual.pair_languages(page_halves(pages, as_of, plain)))
-    for name, finish in FINISH.items():
-        if name in chosen:
-            paired = bilingual.pair_languages(page_halves(pages, as_of, [name]))
-            parts.append(finish(paired, pages))
-    if R.ASIA_WORLD_EXPO in chosen:
-        parts.append(bilingual.merge_languages(entry_halves(pages, as_of)))
-    table = records.defaults_table(pages.sparkSession, R.DEFAULTS if defaults is None else defaults)
-    return records.conform(records.union_sources(parts), table)
+    return assemble(
+        lambda names: page_halves(pages, as_of, names), lambda: ticket_fees(pages), sources, defaults
+    )
 
 
 def detail_links(pages: DataFrame) -> DataFrame:
