@@ -16,10 +16,7 @@ MONTH = (
     "(?:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?"
     "|Sep(?:tember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)"
 )
-WEEKDAY = (
-    "(?:Mon(?:day)?|Tue(?:sday)?|Wed(?:nesday)?|Thu(?:rsday)?|Fri(?:day)?|Sat(?:urday)?"
-    "|Sun(?:day)?)"
-)
+WEEKDAY = "[MTWFS](?:on|ue|ed|hu|ri|at|un)(?:day|sday|nesday|rsday|urday)?"
 
 # The shape of a date and its format. Looking at the shape first means that only a
 # date of the right shape is parsed, so the parser hardly ever has to fail.
@@ -33,6 +30,7 @@ SHAPES = (
     (r"^\d{4}年 ?\d{1,2}月 ?\d{1,2}日$", "yyyy年M月d日"),
 )
 
+_WEEKDAY_NOTE = rf"\([^)]*\)|\b{WEEKDAY}\b\.?,?"
 _BARE_MONTH = rf"(?i)^{MONTH} \d{{4}}$"
 _SEPARATOR = r"\s*[–—]\s*|\s+-\s+|(?i:\s+to\s+)"
 _DAY = r"\d{1,2}(?:st|nd|rd|th)?"
@@ -55,8 +53,7 @@ def parse_date(text: Column) -> Column:
 
 def without_weekday(text: Column) -> Column:
     """Without bracketed parts and weekday names."""
-    bare = F.regexp_replace(text, rf"\([^)]*\)|(?i:\b{WEEKDAY}\b\.?,?)", " ")
-    return squeeze(bare)
+    return squeeze(F.regexp_replace(text, _WEEKDAY_NOTE, " "))
 
 
 def with_date_range(
@@ -80,7 +77,7 @@ def with_date_range(
     month_only, slashed = rf"(?i)^{MONTH}$", r"^\d{1,2}/\d{1,2}$"
 
     # no weekday, no comma, one-sided words kept apart, every separator a bar
-    bare = squeeze(F.replace(without_weekday(F.col(text)), F.lit(","), F.lit(" ")))
+    bare = squeeze(F.regexp_replace(text, rf"{_WEEKDAY_NOTE}|,", " "))
     bare = F.regexp_replace(bare, r"^(\d{1,2})-(\d{1,2} [A-Za-z])", r"$1 - $2")
     df = df.withColumn("_bare", F.regexp_replace(bare, _SEPARATOR, "|"))
     df = df.withColumn("_word", F.lower(F.regexp_extract("_bare", r"^(?i:(From|Until)) ", 1)))

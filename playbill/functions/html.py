@@ -8,8 +8,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-HREF = r'<a\s[^>]*?\bhref="([^"]*)"'
-_INVISIBLE = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
+HREF = r'<a\s(?:[^>]*?\s)?href="([^"]*)"'
+
+
+def _any_case(name: str) -> str:
+    """Pattern of a tag name in any case; a class per letter fails faster than a caseless match."""
+    return "".join(f"[{letter.lower()}{letter.upper()}]" for letter in name)
+
+
+# One alternative behind one opening bracket: every other character is passed at once.
+_INVISIBLE = "(?s)<(?:{0}\\b.*?</{0}|{1}\\b.*?</{1}|!--.*?--)>".format(_any_case("script"), _any_case("style"))
 
 
 def drop_invisible(html: Column) -> Column:
@@ -66,20 +74,17 @@ def element_bodies(html: Column, start_tag: str, tag: str = "div") -> Column:
     tails = F.slice(tails, F.lit(2), F.size(tails))
 
     def step(state: Column, piece: Column) -> Column:
-        depth = state["depth"] + (
-            F.when(F.lower(F.substring(piece, 1, len(tag) + 2)) == f"</{tag}", -1)
-            .when(F.lower(F.substring(piece, 1, len(tag) + 1)) == f"<{tag}", 1)
-            .otherwise(0)
-        )
-        inside = F.struct(
-            depth.alias("depth"),
-            (state["length"] + F.when(depth > 0, F.length(piece)).otherwise(0)).alias("length"),
-        )
+        depth = state["depth"] + F.when(piece.startswith("</"), -1).otherwise(1)
+        length = state["length"] + F.when(depth > 0, F.length(piece)).otherwise(0)
+        inside = F.struct(depth.alias("depth"), length.alias("length"))
         return F.when(state["depth"] == 0, state).otherwise(inside)
 
     def body(tail: Column) -> Column:
-        pieces = F.split(tail, rf"(?i)(?=</?{tag}\b)")
-        start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("length"))
-        return F.substr(tail, F.lit(1), F.aggregate(pieces, start, step)["length"])
+        # the blank in front keeps the first piece free of tags: all others begin with one
+        pieces = F.split(F.concat(F.lit(" "), tail), rf"(?=</?{_any_case(tag)}\b)")
+        before = F.length(F.get(pieces, F.lit(0))) - 1
+        start = F.struct(F.lit(1).alias("depth"), before.alias("length"))
+        tags = F.slice(pieces, F.lit(2), F.size(pieces))
+        return F.substr(tail, F.lit(1), F.aggregate(tags, start, step)["length"])
 
     return F.transform(tails, body)

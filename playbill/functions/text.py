@@ -28,25 +28,31 @@ def replace_each(text: Column, pairs) -> Column:
 
 
 def unescape(text: Column) -> Column:
-    return replace_each(text, ENTITIES)
+    """Named references to characters; a text without an ampersand is left alone."""
+    return F.when(text.contains("&"), replace_each(text, ENTITIES)).otherwise(text)
 
 
 def strip_tags(text: Column) -> Column:
     return F.regexp_replace(text, "</?[^>]*>", "")
 
 
+def _clean(text: Column, nbsp: str, delete: tuple[str, ...]) -> Column:
+    bare = strip_tags(text)
+    # most texts have no reference: look at the text itself, so that the tags go only once
+    bare = F.when(text.contains("&"), replace_each(bare, ENTITIES)).otherwise(bare)
+    pairs = [("\n", ""), ("\t", ""), ("\r", " "), (NBSP, nbsp)]
+    return replace_each(bare, pairs + [(piece, "") for piece in delete])
+
+
 def clean_text(text: Column, nbsp: str = " ", delete: tuple[str, ...] = ()) -> Column:
     """Markup away, line feeds and tabs deleted, carriage returns to blanks; NULL when empty."""
-    text = unescape(strip_tags(text))
-    pairs = [("\n", ""), ("\t", ""), ("\r", " "), (NBSP, nbsp)]
-    text = replace_each(text, pairs + [(piece, "") for piece in delete])
-    return F.nullif(text, F.lit(""))
+    return F.nullif(_clean(text, nbsp, delete), F.lit(""))
 
 
 def clean_all(items: Column, glue: str = " ", nbsp: str = " ", delete: tuple[str, ...] = ()) -> Column:
     """Clean every item and join what is left; NULL when nothing is."""
-    cleaned = F.transform(items, lambda item: clean_text(item, nbsp, delete))
-    return F.nullif(F.array_join(cleaned, glue), F.lit(""))
+    cleaned = F.transform(items, lambda item: _clean(item, nbsp, delete))
+    return F.nullif(F.array_join(F.filter(cleaned, lambda item: item != ""), glue), F.lit(""))
 
 
 def squeeze(text: Column) -> Column:

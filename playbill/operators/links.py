@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import html as H
@@ -54,9 +56,14 @@ def card_links(pages: DataFrame, card: str, marker: str, prefix: str, keep: tupl
     return cards.select(*keep, "page_id", "card", F.posexplode(candidates).alias("rank", "link"))
 
 
-def without_denied(df: DataFrame, denied: DataFrame, link: str = "link") -> DataFrame:
-    """Drop the links of a deny table (column ``url``); Spark broadcasts it when it is small."""
-    return df.join(denied.select(F.col("url").alias(link)), link, "left_anti")
+def without_denied(df: DataFrame, denied: DataFrame | Sequence[str], link: str = "link") -> DataFrame:
+    """Drop denied links: a short list becomes a filter, a table (column ``url``) an anti join.
+
+    No broadcast is forced on the table, as it may be long.
+    """
+    if isinstance(denied, DataFrame):
+        return df.join(denied.select(F.col("url").alias(link)), link, "left_anti")
+    return df.where(~F.col(link).isin(list(denied)))
 
 
 def first_of_card(candidates: DataFrame, keys: tuple[str, ...] = ("page_id", "card")) -> DataFrame:

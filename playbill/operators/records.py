@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import fee_amount
 from ..schema import EVENT_COLUMNS, TEXT_FIELDS
@@ -31,23 +31,27 @@ def valid_header(nodes: Column) -> Column:
     return F.size(nodes) > 2
 
 
-def defaults_table(spark: SparkSession, defaults: dict[str, dict[str, str]]) -> DataFrame:
-    """One row per source with the default of every text field (NULL where there is none)."""
-    schema = ", ".join(["source string", *[f"{name} string" for name in TEXT_FIELDS]])
-    rows = [(source, *[row.get(name) for name in TEXT_FIELDS]) for source, row in defaults.items()]
-    return spark.createDataFrame(rows, schema)
+def default_of(field: str, defaults: dict[str, dict[str, str]]) -> Column:
+    """Default of a field by the row's source, NULL where there is none.
 
-
-def conform(events: DataFrame, defaults: DataFrame) -> DataFrame:
-    """The fixed record: missing columns added, defaults of the source filled in.
-
-    ``defaults`` has one row per source; its size is known to the planner, which broadcasts it.
+    A handful of literals in the projection: a join on the source would bring all records of a
+    source into one task.
     """
+    sources: dict[str, list[str]] = {}
+    for source, row in defaults.items():
+        if row.get(field) is not None:
+            sources.setdefault(row[field], []).append(source)
+    chosen = F.lit(None).cast("string")
+    for value, names in sources.items():
+        chosen = F.when(F.col("source").isin(names), F.lit(value)).otherwise(chosen)
+    return chosen
+
+
+def conform(events: DataFrame, defaults: dict[str, dict[str, str]]) -> DataFrame:
+    """The fixed record: missing columns added, defaults of the source filled in."""
     names = set(events.columns)
-    renamed = defaults.select("source", *[F.col(name).alias(f"_{name}") for name in TEXT_FIELDS])
-    joined = events.join(renamed, "source", "left")
     filled = {
-        name: F.coalesce(F.col(name), F.col(f"_{name}")) if name in names else F.col(f"_{name}")
+        name: F.coalesce(F.col(name), default_of(name, defaults)) if name in names else default_of(name, defaults)
         for name in TEXT_FIELDS
     }
     missing = {
@@ -58,8 +62,8 @@ def conform(events: DataFrame, defaults: DataFrame) -> DataFrame:
         "extract_ok": F.lit(True),
     }
     extra = {name: column for name, column in missing.items() if name not in names}
-    joined = joined.withColumns({**filled, **extra})
-    return joined.withColumn("fee_amount", fee_amount(F.col("fee"))).select(*EVENT_COLUMNS)
+    events = events.withColumns({**filled, **extra})
+    return events.withColumn("fee_amount", fee_amount(F.col("fee"))).select(*EVENT_COLUMNS)
 
 
 def union_sources(frames: list[DataFrame]) -> DataFrame:

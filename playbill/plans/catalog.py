@@ -45,7 +45,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
-    return W.show_rows(table(spark, folder, "orders"))
+    return P.spread(W.show_rows(table(spark, folder, "orders")))
 
 
 def day(column: str | Column) -> Column:
@@ -167,8 +167,7 @@ def card_links(spark: SparkSession, folder: str) -> DataFrame:
     )
     pages = shows.select(F.col("k").alias("page_id"), page.alias("html"))
     cards = links.card_links(pages, R.MILLS_CARD, R.MILLS_DATED, R.MILLS_PREFIX)
-    denied = spark.createDataFrame([(url,) for url in R.DENIED], "url string")
-    return links.first_of_card(links.without_denied(cards, denied)).select("page_id", "link")
+    return links.first_of_card(links.without_denied(cards, R.DENIED)).select("page_id", "link")
 
 
 @query(
@@ -872,9 +871,8 @@ def conform_union(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("d"), "doc_id").alias("event_id"), F.lit(R.TRADE_COUNCIL).alias("source"),
         F.col("text").alias("event_name_chi"),
     )
-    table_of_defaults = records.defaults_table(spark, R.DEFAULTS)
-    records_ = records.conform(records.union_sources([one, two]), table_of_defaults)
-    return records_.select("event_id", "event_name_eng", "event_name_chi", "location_eng", "fee", "source", "link_eng")
+    conformed = records.conform(records.union_sources([one, two]), R.DEFAULTS)
+    return conformed.select("event_id", "event_name_eng", "event_name_chi", "location_eng", "fee", "source", "link_eng")
 
 
 @query(

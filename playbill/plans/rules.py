@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from ..functions.html import HREF
 from ..operators.classify import TypeRule
 from ..operators.fields import FieldRule, LabelRule
 
@@ -89,22 +90,21 @@ class LinkRule(NamedTuple):
     contains: str = ""
 
 
-_ANCHOR = r'<a\s[^>]*?\bhref="([^"]*)"'
 LINK_RULES = (
-    LinkRule(ASIA_SOCIETY, r"(?s)(.*)", r'(?s)<h4[^>]*\bclass="card-title"[^>]*>\s*' + _ANCHOR,
+    LinkRule(ASIA_SOCIETY, r"(?s)(.*)", r'(?s)<h4[^>]*\bclass="card-title"[^>]*>\s*' + HREF,
              base="https://asiasociety.org/"),
-    LinkRule(FILM_ARCHIVE, r'(?s)<table[^>]*\bclass="table_main"[^>]*>(.*?)</table>', _ANCHOR),
-    LinkRule(MUSEUM_OF_ART, r'(?s)class="journal-content-article".*?<ul[^>]*>(.*?)</ul>', _ANCHOR,
+    LinkRule(FILM_ARCHIVE, r'(?s)<table[^>]*\bclass="table_main"[^>]*>(.*?)</table>', HREF),
+    LinkRule(MUSEUM_OF_ART, r'(?s)class="journal-content-article".*?<ul[^>]*>(.*?)</ul>', HREF,
              base="http://hk.art.museum/en_US/web/ma/"),
-    LinkRule(TOURISM_BOARD, r'(?s)id="event-calendar"[^>]*>(.*)', _ANCHOR),
+    LinkRule(TOURISM_BOARD, r'(?s)id="event-calendar"[^>]*>(.*)', HREF),
     LinkRule(TRADE_COUNCIL, r"(?s)(.*)",
-             r'(?s)class="content_black_middle padding_right_5px"[^>]*>\s*' + _ANCHOR,
+             r'(?s)class="content_black_middle padding_right_5px"[^>]*>\s*' + HREF,
              contains="www.hktdc.com"),
     LinkRule(PMQ, r'(?s)class="bgWhite container gapPaddingBtm40 gapBtm40"[^>]*>(.*)',
-             r'(?s)<[^>]*\bclass="col-xs-6"[^>]*>\s*' + _ANCHOR, every_second=True),
-    LinkRule(TAIKOO, r'(?s)id="mainform"[^>]*>(.*)', _ANCHOR, base="http://www.taikooplace.com"),
-    LinkRule(TAI_KWUN, r'(?s)id="programme-list"[^>]*>(.*)', _ANCHOR, base="https://www.taikwun.hk/en/"),
-    LinkRule(WEST_KOWLOON, r'(?s)id="main"[^>]*>(.*)', r"(?s)<h4[^>]*>\s*" + _ANCHOR),
+             r'(?s)<[^>]*\bclass="col-xs-6"[^>]*>\s*' + HREF, every_second=True),
+    LinkRule(TAIKOO, r'(?s)id="mainform"[^>]*>(.*)', HREF, base="http://www.taikooplace.com"),
+    LinkRule(TAI_KWUN, r'(?s)id="programme-list"[^>]*>(.*)', HREF, base="https://www.taikwun.hk/en/"),
+    LinkRule(WEST_KOWLOON, r'(?s)id="main"[^>]*>(.*)', r"(?s)<h4[^>]*>\s*" + HREF),
 )
 
 MILLS_CARD = r'<div class="col-xs-12 col-sm-6 pull-left"[^>]*>'

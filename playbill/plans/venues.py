@@ -587,7 +587,7 @@ def assemble(
     halves_of: Callable[[list[str]], DataFrame],
     fees: Callable[[], DataFrame],
     sources: list[str] | None = None,
-    defaults: DataFrame | None = None,
+    defaults: dict[str, dict[str, str]] = R.DEFAULTS,
 ) -> DataFrame:
     """Event records of half records. ``halves_of`` gives the halves of some venues.
 
@@ -604,18 +604,18 @@ def assemble(
         parts.append(_with_ticket_fees(bilingual.pair_languages(halves_of([R.FILM_ARCHIVE])), fees()))
     if R.ASIA_WORLD_EXPO in chosen:
         parts.append(bilingual.merge_languages(halves_of([R.ASIA_WORLD_EXPO])))
-    events = records.union_sources(parts)
-    if defaults is None:
-        defaults = records.defaults_table(events.sparkSession, R.DEFAULTS)
-    return records.conform(events, defaults)
+    return records.conform(records.union_sources(parts), defaults)
 
 
 def extract_events(
-    pages: DataFrame, as_of: AsOf, sources: list[str] | None = None, defaults: DataFrame | None = None
+    pages: DataFrame,
+    as_of: AsOf,
+    sources: list[str] | None = None,
+    defaults: dict[str, dict[str, str]] = R.DEFAULTS,
 ) -> DataFrame:
     """Pages to event records, for all venues or some.
 
-    A missing value stays NULL, unless ``defaults`` says otherwise: the table of
+    A missing value stays NULL, unless ``defaults`` says otherwise:
     ``rules.published_defaults()`` puts in the text markers.
     """
     return assemble(
@@ -639,8 +639,7 @@ def detail_links(pages: DataFrame) -> DataFrame:
     cards = links.card_links(
         _pages(pages, R.THE_MILLS, "list"), R.MILLS_CARD, R.MILLS_DATED, R.MILLS_PREFIX, ("source",)
     )
-    denied = pages.sparkSession.createDataFrame([(url,) for url in R.DENIED], "url string")
-    cards = links.first_of_card(links.without_denied(cards, denied), ("source", "page_id", "card"))
+    cards = links.first_of_card(links.without_denied(cards, R.DENIED), ("source", "page_id", "card"))
     parts.append(cards.select("source", "page_id", F.col("card").alias("pos"), "link"))
     return links.first_links(records.union_sources(parts), ("source", "link"), ("page_id", "pos"))
 

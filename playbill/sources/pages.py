@@ -13,6 +13,16 @@ def load_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGES).parquet(path)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows in at least as many partitions as there are cores.
+
+    Extraction is heavy per row. A large table has splits enough and is left as it is; a table in
+    a few small files would keep most cores idle, and its rows are dealt out once.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def store_pages(pages: DataFrame, path: str) -> None:
     """Write pages in the layout ``load_pages`` prunes on, without a shuffle."""
     pages.write.mode("append").partitionBy("source").parquet(path)
