@@ -64,17 +64,25 @@ def definition(html: Column, label: str) -> Column:
     return first_group(html, rf"(?s)<dt[^>]*>\s*{label}\s*</dt>\s*<dd[^>]*>(.*?)</dd>")
 
 
+def rest(items: Column, start: int = 2) -> Column:
+    """Elements from a one-based position on.
+
+    The length is a constant: the size of the array would evaluate its expression a second time.
+    """
+    return F.slice(items, F.lit(start), F.lit(1_000_000_000))
+
+
 def element_bodies(html: Column, start_tag: str, tag: str = "div") -> Column:
     """Inner HTML of every element whose start tag matches, closed where its own tag closes.
 
     The text after each start tag is cut before every further start or end of the same tag name;
-    adding up the pieces until the depth returns to zero gives the length of the body.
+    adding up the pieces until the depth returns to zero gives the length of the body. Higher-order
+    functions are interpreted, so every part is evaluated once only.
     """
-    tails = F.split(html, start_tag)
-    tails = F.slice(tails, F.lit(2), F.size(tails))
 
-    def step(state: Column, piece: Column) -> Column:
-        depth = state["depth"] + F.when(piece.startswith("</"), -1).otherwise(1)
+    def add(state: Column, piece: Column) -> Column:
+        step = F.when(piece.startswith("</"), -1).when(piece.startswith("<"), 1).otherwise(0)
+        depth = state["depth"] + step
         length = state["length"] + F.when(depth > 0, F.length(piece)).otherwise(0)
         inside = F.struct(depth.alias("depth"), length.alias("length"))
         return F.when(state["depth"] == 0, state).otherwise(inside)
@@ -82,9 +90,7 @@ def element_bodies(html: Column, start_tag: str, tag: str = "div") -> Column:
     def body(tail: Column) -> Column:
         # the blank in front keeps the first piece free of tags: all others begin with one
         pieces = F.split(F.concat(F.lit(" "), tail), rf"(?=</?{_any_case(tag)}\b)")
-        before = F.length(F.get(pieces, F.lit(0))) - 1
-        start = F.struct(F.lit(1).alias("depth"), before.alias("length"))
-        tags = F.slice(pieces, F.lit(2), F.size(pieces))
-        return F.substr(tail, F.lit(1), F.aggregate(tags, start, step)["length"])
+        start = F.struct(F.lit(1).alias("depth"), F.lit(-1).alias("length"))
+        return F.substr(tail, F.lit(1), F.aggregate(pieces, start, add)["length"])
 
-    return F.transform(tails, body)
+    return F.transform(rest(F.split(html, start_tag)), body)

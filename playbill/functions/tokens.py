@@ -12,7 +12,7 @@ from operator import or_
 
 from pyspark.sql import Column, functions as F
 
-from .html import text_nodes
+from .html import rest, text_nodes
 from .text import ENTITIES, NBSP, WORD, replace_each
 
 # What the sources delete from a token, in this order. LEAD deletes one leading blank.
@@ -45,17 +45,19 @@ _OPEN, _CLOSE = "\ue000", "\ue001"
 def tokens_of(fragment: Column, steps=BLANKS_FIRST, keep_blank: bool = False) -> Column:
     """Cleaned text nodes of a piece of HTML.
 
-    The same as cleaning every text node, but done on the whole fragment before it is cut at its
-    tags: a handful of operations per fragment instead of per node.
+    The same as cleaning every text node, but what comes before the leading blank is done on the
+    whole fragment, before it is cut at its tags.
     """
+    before, after = steps[: steps.index(LEAD)], steps[steps.index(LEAD) + 1 :]
     standing = [("&lt;", _OPEN), ("&gt;", _CLOSE)]
-    text = replace_each(fragment, standing + [pair for pair in ENTITIES if pair[0] not in dict(standing)])
-    for step in steps:
-        if step is LEAD:
-            text = F.regexp_replace(text, "(^|<[^>]*>) ", "$1")
-        else:
-            text = replace_each(text, [step])
-    nodes = F.transform(text_nodes(text), lambda node: F.translate(node, _OPEN + _CLOSE, "<>"))
+    named = standing + [pair for pair in ENTITIES if pair[0] not in dict(standing)]
+    text = F.when(fragment.contains("&"), replace_each(fragment, named)).otherwise(fragment)
+
+    def finish(node: Column) -> Column:
+        bare = F.when(node.startswith(" "), F.substr(node, F.lit(2))).otherwise(node)
+        return F.translate(replace_each(bare, after), _OPEN + _CLOSE, "<>")
+
+    nodes = F.transform(text_nodes(replace_each(text, before)), finish)
     dropped = [""] if keep_blank else ["", " "]
     return F.filter(nodes, lambda node: ~node.isin(dropped))
 
@@ -79,7 +81,7 @@ def after_label(tokens: Column, lowered: Column, *aliases: str) -> Column:
 
 def after_contained_label(clusters: Column, label: str) -> Column:
     """Cluster behind the last cluster that contains the label."""
-    following = F.slice(clusters, F.lit(2), F.size(clusters))
+    following = rest(clusters)
     pairs = F.zip_with(
         clusters, following, lambda text, value: F.struct(text.alias("text"), value.alias("value"))
     )
@@ -108,8 +110,7 @@ def join_tokens(tokens: Column, glue: str, closed: bool = False) -> Column:
 
 def take_until(tokens: Column, sentinel: str, glue: str = "\n") -> Column:
     """Tokens up to a sentinel, joined. The first token belongs to the text in any case."""
-    rest = F.slice(tokens, F.lit(2), F.size(tokens))
-    at = position(rest, sentinel)
+    at = position(rest(tokens), sentinel)
     kept = F.when(at > 0, at).otherwise(F.size(tokens))
     return F.nullif(F.array_join(F.slice(tokens, F.lit(1), kept), glue), F.lit(""))
 

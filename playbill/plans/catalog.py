@@ -48,6 +48,13 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
     return P.spread(W.show_rows(table(spark, folder, "orders")))
 
 
+def stored_pages(spark: SparkSession, pages: DataFrame) -> DataFrame:
+    """The pages as a crawl leaves them: a table partitioned by source."""
+    path = scratch_dir(spark, "pages")
+    P.store_pages(pages, path)
+    return P.load_pages(spark, path)
+
+
 def day(column: str | Column) -> Column:
     """Dates leave as text, which both engines write alike."""
     return (F.col(column) if isinstance(column, str) else column).cast("string")
@@ -206,7 +213,8 @@ def detail_links(spark: SparkSession, folder: str) -> DataFrame:
                                  W.template(html, k=F.col("k"), host=host), None))
         for source, html in lists.items()
     ]
-    return venues.detail_links(records.union_sources(rendered)).select("source", "link")
+    pages = stored_pages(spark, records.union_sources(rendered))
+    return venues.detail_links(pages).select("source", "link")
 
 
 @query(
@@ -1211,9 +1219,7 @@ def all_pages(spark: SparkSession, folder: str) -> DataFrame:
 @query("all_venues", _ROWS + " UNION ALL ".join(EXPECTED[source](test) for source, test in SHARES.items()))
 def all_venues(spark: SparkSession, folder: str) -> DataFrame:
     """All venues from one stored page table, partitioned by source, to one event table."""
-    stored = scratch_dir(spark, "pages")
-    P.store_pages(all_pages(spark, folder), stored)
-    return shown(venues.extract_events(P.load_pages(spark, stored), W.AS_OF))
+    return shown(venues.extract_events(stored_pages(spark, all_pages(spark, folder)), W.AS_OF))
 
 
 @query("incremental_ingest", _ROWS + EXPECTED[R.WEST_KOWLOON]("true"))

@@ -150,7 +150,8 @@ def tourism_board(pages: DataFrame, as_of: AsOf) -> DataFrame:
     df = _pages(pages, R.TOURISM_BOARD)
     bodies = H.element_bodies(F.col("html"), r'<div[^>]*\bclass="cmp-text"[^>]*>')
     texts = F.flatten(F.transform(bodies, lambda body: H.all_groups(body, PARAGRAPH)))
-    df = df.withColumn("tokens", K.tokens_of(F.array_join(texts, "<p>"), K.BLANKS_FIRST))
+    df = df.withColumn("body", F.array_join(texts, "<p>"))
+    df = df.withColumn("tokens", K.tokens_of(F.col("body"), K.BLANKS_FIRST))
     df = df.withColumn("lowered", K.lower_tokens(F.col("tokens")))
     labels = fields.label_columns(F.col("tokens"), F.col("lowered"), R.LABEL_RULES, R.TOURISM_BOARD)
     labels["date_text"] = _english(labels["date_text"])
@@ -174,7 +175,8 @@ def trade_council(pages: DataFrame, as_of: AsOf) -> DataFrame:
     bodies = H.element_bodies(
         H.drop_invisible(F.col("html")), r'<td[^>]*\bclass="background_white_padding_middle"[^>]*>', "td"
     )
-    df = df.withColumn("tokens", K.tokens_of(F.array_join(bodies, "<td>"), K.BREAKS_FIRST))
+    df = df.withColumn("body", F.array_join(bodies, "<td>"))
+    df = df.withColumn("tokens", K.tokens_of(F.col("body"), K.BREAKS_FIRST))
     df = df.withColumn("lowered", K.lower_tokens(F.col("tokens")))
     labels = fields.label_columns(F.col("tokens"), F.col("lowered"), R.LABEL_RULES, R.TRADE_COUNCIL)
     labels["date_text"] = _english(labels["date_text"])
@@ -196,10 +198,11 @@ def pmq(pages: DataFrame, as_of: AsOf) -> DataFrame:
         F.col("body"), r'<div[^>]*\bclass="field2 pull-left gapPadding20 size18"[^>]*>'
     )
     texts = F.flatten(F.transform(fields2, lambda body: H.all_groups(body, PARAGRAPH)))
+    df = df.withColumn("told", F.array_join(texts, "<p>"))
     df = df.withColumns(
         {
             "tokens": K.tokens_of(F.col("body"), K.HALVED_BLANKS),
-            "sentences": K.tokens_of(F.array_join(texts, "<p>"), K.HALVED_BLANKS),
+            "sentences": K.tokens_of(F.col("told"), K.HALVED_BLANKS),
         }
     )
     df = df.withColumn("lowered", K.lower_tokens(F.col("tokens")))
@@ -235,7 +238,7 @@ def museum_of_art(pages: DataFrame, as_of: AsOf) -> DataFrame:
     entries = F.regexp_extract("html", r'(?s)id="single-exhibition-content".*?<ul[^>]*>(.*?)</ul>', 1)
     pieces = F.split(entries, "<div[^>]*>")
     leaves = F.transform(
-        F.slice(pieces, F.lit(2), F.size(pieces)),
+        H.rest(pieces),
         lambda piece: F.trim(X.clean_text(F.split(piece, "</div>", 2)[0])),
     )
     df = df.withColumn("clusters", F.filter(leaves, lambda leaf: leaf != ""))
@@ -299,14 +302,15 @@ def the_mills(pages: DataFrame, as_of: AsOf) -> DataFrame:
     df = df.where(records.valid_header(F.col("header")))
     heading = F.transform("header", X.unescape)
     body = H.element_bodies(F.col("html"), r'<div[^>]*\bclass="content"[^>]*>')
+    df = df.withColumn("body", F.array_join(body, "<div>"))
     df = df.withColumns(
         {
             "heading": K.clean_tokens(heading, K.BLANKS_TWICE, keep_blank=True),
-            "body": K.tokens_of(F.array_join(body, "<div>"), K.BLANKS_TWICE, keep_blank=True),
+            "body": K.tokens_of(F.col("body"), K.BLANKS_TWICE, keep_blank=True),
             "date_text": _english(H.first_group(F.col("html"), r'<div[^>]*\bclass="date"[^>]*>([^<]*)')),
         }
     )
-    extra = F.slice("heading", F.lit(4), F.size("heading"))
+    extra = H.rest(F.col("heading"), 4)
     df = df.withColumns(
         {
             "name": F.get("heading", F.lit(1)),
@@ -365,7 +369,7 @@ def film_archive(pages: DataFrame, as_of: AsOf) -> DataFrame:
         }
     )
     in_strong = ~F.col("in_table") & (F.size("strong") > 0)
-    rows = F.slice("cells", F.lit(2), F.size("cells"))
+    rows = H.rest(F.col("cells"))
     first_cells = F.transform(rows, lambda row: F.get(row, F.lit(0)))
     partner_date = F.array(H.first_group(F.col("article"), PARAGRAPH))
     texts = F.when(F.col("in_table"), first_cells).when(in_strong, F.slice("strong", F.lit(1), F.lit(1)))
@@ -378,8 +382,8 @@ def film_archive(pages: DataFrame, as_of: AsOf) -> DataFrame:
         .when(in_strong, F.get("strong", F.lit(1)))
         .otherwise(H.first_group(F.col("html"), r'(?s)class="teaserBox"[^>]*>.*?<h2[^>]*>([^<]*)'))
     )
-    told = F.when(F.col("in_table"), F.slice("paragraphs", F.lit(2), F.size("paragraphs")))
-    told = told.when(in_strong, F.slice("paragraphs", F.lit(3), F.size("paragraphs")))
+    told = F.when(F.col("in_table"), H.rest(F.col("paragraphs")))
+    told = told.when(in_strong, H.rest(F.col("paragraphs"), 3))
     teaser = F.regexp_extract("html", r"(?s)class='?\"?span12 doppelTeaser'?\"?[^>]*>(.*?)</div>", 1)
     about = X.clean_all(told.otherwise(F.array(teaser)), "", **options)
     aside = F.array_join(H.all_groups(F.col("html"), r"(?s)<aside\b[^>]*>(.*?)</aside>"), "")
@@ -428,9 +432,9 @@ def asia_society(pages: DataFrame, as_of: AsOf) -> DataFrame:
     listed = _pages(pages, R.ASIA_SOCIETY, "list")
     rule = next(rule for rule in R.LINK_RULES if rule.source == R.ASIA_SOCIETY)
     boxes = H.all_groups(F.col("html"), r'(?s)<div[^>]*\bclass="datetime"[^>]*>(.*?)</div>')
-    times = K.tokens_of(F.array_join(boxes, "<div>"), K.BLANKS_TWICE, keep_blank=True)
+    times = K.tokens_of(F.col("boxes"), K.BLANKS_TWICE, keep_blank=True)
     listed = fields.zip_lists(
-        listed,
+        listed.withColumn("boxes", F.array_join(boxes, "<div>")),
         ("source", "lang", "page_id", "fetched_at"),
         link=H.all_groups(F.col("html"), rule.anchor),
         date_text=D.date_tokens(times),
@@ -509,7 +513,7 @@ def asia_world_expo(pages: DataFrame, as_of: AsOf) -> DataFrame:
     hosts = F.regexp_extract("info", r'(?s)<p[^>]*\bclass="organiser-list"[^>]*>(.*?)</p>', 1)
     entries = entries.withColumns(
         {
-            "about": X.clean_all(F.slice(paragraphs, F.lit(2), F.size(paragraphs)), "", **options),
+            "about": X.clean_all(H.rest(paragraphs), "", **options),
             "organiser": X.clean_all(H.all_groups(hosts, r"<a\b[^>]*>([^<]*)</a>"), "", **options),
             "name": X.unescape(F.col("name")),
         }
