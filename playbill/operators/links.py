@@ -27,6 +27,12 @@ def same_host(df: DataFrame, host: str | Column, link: str = "link") -> DataFram
     return df.where(F.regexp_extract(link, "^https?://([^/?#]*)", 1) == host)
 
 
+def next_pages(pages: DataFrame) -> DataFrame:
+    """The ``next`` link of every list page, NULL on the last one: the edges of ``page_chain``."""
+    anchor = H.first_group(F.col("html"), r'(<a\s[^>]*\bclass="next"[^>]*>)')
+    return pages.select("source", "url", H.first_group(anchor, r'\shref="([^"]*)"').alias("next_url"))
+
+
 def every_second(df: DataFrame, position: str = "pos") -> DataFrame:
     """Cards link twice in a row: keep the first link of each pair."""
     return df.where(F.col(position) % 2 == 0)

@@ -270,9 +270,12 @@ def page_chain(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select(
         "page_id", "url", F.regexp_extract("url", "/([a-z][a-z])/", 1).alias("source")
     )
-    following = pages.select((F.col("page_id") - 1).alias("page_id"), "source", F.col("url").alias("next_url"))
-    edges = pages.join(following, ["page_id", "source"]).select("source", "url", "next_url")
-    linked = edges.select("source", F.col("next_url").alias("url"))
+    following = pages.select((F.col("page_id") - 1).alias("page_id"), "source", F.col("url").alias("next"))
+    listed = pages.join(following, ["page_id", "source"], "left")
+    link = F.concat(F.lit('<a class="next" href="'), "next", F.lit('">next</a>'))
+    listed = listed.withColumn("html", F.concat(F.lit('<a class="prev" href="#">back</a>'), F.coalesce(link, F.lit(""))))
+    edges = links.next_pages(listed)
+    linked = edges.where("next_url is not null").select("source", F.col("next_url").alias("url"))
     seeds = pages.select("source", "url").join(linked, ["source", "url"], "left_anti")
     return P.page_chain(seeds, edges)
 
@@ -1229,8 +1232,8 @@ def incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
     root = scratch_dir(spark, "stream")
     incoming, work, store = f"{root}/in", f"{root}/work", f"{root}/store"
     for lang in ("en", "zh"):
-        pages.where(F.col("lang") == lang).write.mode("append").parquet(incoming)
+        P.store_pages(pages.where(F.col("lang") == lang), incoming)
         ingest.ingest_stream(spark, incoming, work, store, W.AS_OF, [R.WEST_KOWLOON], flush=lang == "zh")
-    pages.write.mode("append").parquet(incoming)
+    P.store_pages(pages, incoming)
     ingest.ingest_stream(spark, incoming, work, store, W.AS_OF, [R.WEST_KOWLOON])
     return shown(S.find_events(spark, store))
