@@ -20,6 +20,12 @@ def _any_case(name: str) -> str:
 _INVISIBLE = "(?s)<(?:{0}\\b.*?</{0}|{1}\\b.*?</{1}|!--.*?--)>".format(_any_case("script"), _any_case("style"))
 
 
+# A paragraph ends where it is closed or, as HTML has it, where the next one begins. The second end
+# also keeps the match short on pages that close none.
+PARAGRAPH_END = r"(?=</?[pP]\b|\z)"
+PARAGRAPH = rf"(?s)<[pP]\b[^>]*>(.*?){PARAGRAPH_END}"
+
+
 def drop_invisible(html: Column) -> Column:
     """Without scripts, styles and comments."""
     return F.regexp_replace(html, _INVISIBLE, "")
@@ -44,6 +50,11 @@ def link_targets(html: Column) -> Column:
     return all_groups(html, HREF)
 
 
+def paragraphs(html: Column) -> Column:
+    """Inner HTML of every paragraph."""
+    return all_groups(html, PARAGRAPH)
+
+
 def text_nodes(fragment: Column) -> Column:
     """The texts between the tags, in page order and as they are."""
     return F.split(fragment, r"<[^>]*>")

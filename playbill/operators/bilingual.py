@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..schema import DATE_FIELDS, HALF_FIELDS
+from ..functions import html as H
 from ..functions import text as X
 
 
@@ -131,8 +132,7 @@ def fill_location(events: DataFrame, test: Column | None = None) -> DataFrame:
 
 def fee_of_ticket_page(html: Column) -> Column:
     """Price paragraph of a ticket page, without its label."""
-    paragraphs = F.regexp_extract_all(html, F.lit(r"(?s)<p\b[^>]*>(.*?)</p>"), F.lit(1))
-    marked = X.paragraphs_with(paragraphs, "(?s)<span.*?<strong.*?票價：")
+    marked = X.paragraphs_with(H.paragraphs(html), "(?s)<span.*?<strong.*?票價：")
     nodes = F.flatten(F.transform(marked, lambda p: F.transform(F.split(p, "<[^>]*>"), X.unescape)))
     found = F.get(F.filter(nodes, lambda node: node.rlike(X.WORD)), F.lit(0))
     return F.nullif(X.drop_label(found, "票價："), F.lit(""))

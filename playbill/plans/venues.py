@@ -20,7 +20,6 @@ from ..schema import HALF_FIELDS
 from ..sources import pages as P
 from . import rules as R
 
-PARAGRAPH = r"(?s)<p\b[^>]*>(.*?)</p>"
 AsOf = datetime.date | Column
 
 
@@ -88,7 +87,7 @@ def west_kowloon(pages: DataFrame, as_of: AsOf) -> DataFrame:
     df = _pages(pages, R.WEST_KOWLOON)
     article = F.regexp_extract("html", r"(?s)<article\b[^>]*>(.*?)</article>", 1)
     marked = X.paragraphs_with(
-        H.all_groups(article, PARAGRAPH), r"(?s)<strong[^>]*>[^<]*(?:Tickets:|Fee:|Free)"
+        H.paragraphs(article), r"(?s)<strong[^>]*>[^<]*(?:Tickets:|Fee:|Free)"
     )
     direct = F.transform(marked, lambda p: F.regexp_replace(p, r"(?s)<strong\b.*?</strong>", ""))
     df = df.withColumns(
@@ -149,7 +148,7 @@ def tai_kwun(pages: DataFrame, as_of: AsOf) -> DataFrame:
 def tourism_board(pages: DataFrame, as_of: AsOf) -> DataFrame:
     df = _pages(pages, R.TOURISM_BOARD)
     bodies = H.element_bodies(F.col("html"), r'<div[^>]*\bclass="cmp-text"[^>]*>')
-    texts = F.flatten(F.transform(bodies, lambda body: H.all_groups(body, PARAGRAPH)))
+    texts = F.flatten(F.transform(bodies, lambda body: H.paragraphs(body)))
     df = df.withColumn("body", F.array_join(texts, "<p>"))
     df = df.withColumn("tokens", K.tokens_of(F.col("body"), K.BLANKS_FIRST))
     df = df.withColumn("lowered", K.lower_tokens(F.col("tokens")))
@@ -197,7 +196,7 @@ def pmq(pages: DataFrame, as_of: AsOf) -> DataFrame:
     fields2 = H.element_bodies(
         F.col("body"), r'<div[^>]*\bclass="field2 pull-left gapPadding20 size18"[^>]*>'
     )
-    texts = F.flatten(F.transform(fields2, lambda body: H.all_groups(body, PARAGRAPH)))
+    texts = F.flatten(F.transform(fields2, lambda body: H.paragraphs(body)))
     df = df.withColumn("told", F.array_join(texts, "<p>"))
     df = df.withColumns(
         {
@@ -348,7 +347,7 @@ def film_archive(pages: DataFrame, as_of: AsOf) -> DataFrame:
     df = df.withColumns({"article": article, "table": table})
     df = df.withColumns(
         {
-            "paragraphs": H.all_groups(F.regexp_replace("article", r"(?s)<table\b.*?</table>", ""), PARAGRAPH),
+            "paragraphs": H.paragraphs(F.regexp_replace("article", r"(?s)<table\b.*?</table>", "")),
             "cells": F.transform(
                 H.all_groups(F.col("table"), r"(?s)<tr\b[^>]*>(.*?)</tr>"),
                 lambda row: F.transform(H.all_groups(row, r"(?s)<td\b[^>]*>(.*?)</td>"), X.strip_tags),
@@ -371,7 +370,7 @@ def film_archive(pages: DataFrame, as_of: AsOf) -> DataFrame:
     in_strong = ~F.col("in_table") & (F.size("strong") > 0)
     rows = H.rest(F.col("cells"))
     first_cells = F.transform(rows, lambda row: F.get(row, F.lit(0)))
-    partner_date = F.array(H.first_group(F.col("article"), PARAGRAPH))
+    partner_date = F.array(H.first_group(F.col("article"), H.PARAGRAPH))
     texts = F.when(F.col("in_table"), first_cells).when(in_strong, F.slice("strong", F.lit(1), F.lit(1)))
     texts = F.transform(
         F.filter(texts.otherwise(partner_date), lambda t: t.isNotNull()),
@@ -459,7 +458,10 @@ def asia_society(pages: DataFrame, as_of: AsOf) -> DataFrame:
     def meta(attribute: str, name: str) -> Column:
         return F.replace(X.unescape(H.meta_content(F.col("html"), attribute, name)), F.lit(X.NBSP), F.lit(""))
 
-    paragraphs = H.all_groups(F.col("html"), r"(?s)(<p\b[^>]*>.*?</p>)")
+    paragraphs = F.transform(
+        H.all_groups(F.col("html"), rf"(?s)(<[pP]\b[^>]*>.*?){H.PARAGRAPH_END}"),
+        lambda p: F.concat(p, F.lit("</p>")),
+    )
     detail = detail.withColumns(
         {
             "title": meta("property", "og:title"),
@@ -509,7 +511,7 @@ def asia_world_expo(pages: DataFrame, as_of: AsOf) -> DataFrame:
             "date_text": X.squeeze(X.unescape(F.regexp_replace(box, "<[^>]*>", " "))),
         }
     )
-    paragraphs = H.all_groups(F.col("info"), PARAGRAPH)
+    paragraphs = H.paragraphs(F.col("info"))
     hosts = F.regexp_extract("info", r'(?s)<p[^>]*\bclass="organiser-list"[^>]*>(.*?)</p>', 1)
     entries = entries.withColumns(
         {

@@ -138,6 +138,25 @@ def test_element_bodies(spark):
     assert one(spark, bodies, t='<div class="a"></div>') == [""]
 
 
+def test_paragraphs_end_where_the_next_begins(spark):
+    page = "<p>a<b>b</b></p><P class='x'>c<br><p>d<pre>e</pre>"
+    assert one(spark, H.paragraphs(F.col("t")), t=page) == ["a<b>b</b>", "c<br>", "d<pre>e</pre>"]
+
+
+def test_large_pages_without_closing_tags(spark):
+    """No pattern may recurse or scan the rest of the page once per element."""
+    from playbill.plans import rules as R, venues
+    from playbill.plans.rendering import AS_OF
+
+    filler = "<div><p>word <b>" * 20000
+    for source in venues.EXTRACT:
+        row = [(1, source, kind, lang, "http://x.example/", filler) for kind in ("detail", "list", "fee") for lang in ("en", "zh")]
+        df = spark.createDataFrame(row, "page_id long, source string, page_kind string, lang string, url string, html string")
+        pages = df.withColumn("fetched_at", F.lit("2020-01-01").cast("timestamp"))
+        assert len(venues.page_halves(pages, AS_OF, [source]).collect()) <= 4
+    assert R.VENUES.keys() == venues.EXTRACT.keys()
+
+
 def test_links_and_attributes(spark):
     page = '<a class="x" href="/a">A</a><a data-href="/no">B</a><link href="/no"><a href="/b">'
     assert one(spark, H.link_targets(F.col("t")), t=page) == ["/a", "/b"]
