@@ -209,7 +209,7 @@ def detail_links(spark: SparkSession, folder: str) -> DataFrame:
     }
     host = F.when(F.col("s") == "P", F.lit("other.example")).otherwise(F.lit("www.hktdc.com"))
     rendered = [
-        W._pages(shows, source, ("list", "en", F.lit("http://list.example"),
+        W.page_rows(shows, source, ("list", "en", F.lit("http://list.example"),
                                  W.template(html, k=F.col("k"), host=host), None))
         for source, html in lists.items()
     ]
@@ -723,7 +723,7 @@ def weekday_strip(spark: SparkSession, folder: str) -> DataFrame:
 # ---------------------------------------------------------------- languages, classes, records
 
 
-def _half_rows(df: DataFrame, **values: Column) -> DataFrame:
+def half_rows(df: DataFrame, **values: Column) -> DataFrame:
     """Half records from columns; what is not given is NULL."""
     values = {"fetched_at": F.lit(W.FETCHED).cast("timestamp"), "pos": F.lit(0), "source": F.lit("x"), **values}
     columns = [values.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in HALF_FIELDS.items()]
@@ -736,13 +736,13 @@ def _page_sides(spark: SparkSession, folder: str) -> DataFrame:
     shows = orders(spark, folder)
     key = F.concat(F.lit("https://venue.example/zh/"), "k")
     address = F.concat(F.lit("https://venue.example/en/"), "k")
-    english = _half_rows(
+    english = half_rows(
         shows, lang=F.lit("en"), hop=F.lit(0), page_id=F.col("k"), link_key=bilingual.twin_url(address, "/en/", "/zh/"),
         event_name_eng=F.concat(F.lit("Show "), "k"), start_date=F.col("d"), link_eng=address,
         fee=F.when(F.col("s") == "F", F.concat(F.lit("$"), "price")),
         location_eng=F.when(F.col("n") == 1, F.concat(F.lit("Hall "), "c")),
     )
-    chinese = _half_rows(
+    chinese = half_rows(
         shows.where("s <> 'P'"), lang=F.lit("zh"), hop=F.lit(1), page_id=F.col("k"), link_key=key, link_chi=key,
         event_name_chi=F.concat(F.lit("節目"), "k"), location_chi=F.when(F.col("n") == 2, F.concat("c", F.lit("號廳"))),
     )
@@ -783,7 +783,7 @@ def bilingual_merge(spark: SparkSession, folder: str) -> DataFrame:
 
     def entries(df: DataFrame, lang: str, page: int, **values: Column) -> DataFrame:
         key = F.concat(F.lit("show-"), "k")
-        return _half_rows(df, lang=F.lit(lang), hop=F.lit(0 if lang == "en" else 1), page_id=F.lit(page), link_key=key, **values)
+        return half_rows(df, lang=F.lit(lang), hop=F.lit(0 if lang == "en" else 1), page_id=F.lit(page), link_key=key, **values)
 
     english, chinese = shows.where("s <> 'F'"), shows.where("s <> 'O'")
     parts = [

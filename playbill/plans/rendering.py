@@ -48,7 +48,7 @@ def _fmt(column: str, pattern: str) -> Column:
     return F.date_format(column, pattern)
 
 
-def _pages(df: DataFrame, source: str, *pages: tuple[str, str, Column, Column, Column | None]) -> DataFrame:
+def page_rows(df: DataFrame, source: str, *pages: tuple[str, str, Column, Column, Column | None]) -> DataFrame:
     """Rows of pages: (kind, lang, url, html, condition) each."""
     entries = []
     for number, (kind, lang, url, html, test) in enumerate(pages):
@@ -70,7 +70,7 @@ def _both(df: DataFrame, source: str, address: str, english: str, chinese: str,
           **columns: Column) -> DataFrame:
     """An English page, and a Chinese one unless the order is pending."""
     columns = {"k": F.col("k"), **columns}
-    return _pages(
+    return page_rows(
         df,
         source,
         ("detail", "en", template(address, lang=F.lit(english), **columns), en, None),
@@ -121,14 +121,6 @@ def tai_kwun(df: DataFrame) -> DataFrame:
         .when(year, F.concat(_fmt("d", "d MMM"), F.lit(" - "), last))
         .otherwise(F.concat(_fmt("d", "d MMM, yyyy"), F.lit(" - "), last))
     )
-    name = F.when(
-        F.col("n") == 2,
-        template('<div class="page-title-section container "><div><span>{show}{k}</span></div></div>'
-                 '<div id="programme-content">', show=F.col("show"), k=F.col("k")),
-    ).otherwise(F.lit('<div id="programme-content">'))
-    inner = F.when(F.col("n") == 2, F.lit("")).otherwise(
-        template("<span>{show}{k}</span>", show=F.col("show"), k=F.col("k"))
-    )
     body = (
         "{name}<div><div><div><div><div><div>Date</div><div><div><label>{dates}</label></div></div></div></div>"
         "<div><div><div>Place</div><div><div>{hall}</div><div>map</div></div></div></div>"
@@ -196,7 +188,7 @@ def trade_council(df: DataFrame) -> DataFrame:
                     org=F.lit("主辦機構:"), club=F.concat(F.lit("會"), "c"), fee=F.lit(""))
     columns = {"k": F.col("k")}
     address = "http://trade.example/{lang}/fair/{k}"
-    return _pages(
+    return page_rows(
         df,
         R.TRADE_COUNCIL,
         ("detail", "zh", template(address, lang=F.lit("tc"), **columns), chinese, None),
@@ -221,8 +213,6 @@ def pmq(df: DataFrame) -> DataFrame:
         '<div class="field2 pull-left gapPadding20 size18"><p>{about}{k}</p><p>{second}</p>'
         "<p>{sentinel}</p><p>address</p></div><div><b>{org}</b><div>{club}</div></div></div><div>venue</div>"
     )
-    talk = F.when(F.col("s") == "F", F.lit("")).otherwise(F.col("kind"))
-
     def page(kind: str, **labels: Column) -> Column:
         shown = F.when(F.col("s") == "F", F.lit("")).otherwise(F.lit(f"<span>{kind}</span>"))
         return _page(body, type=shown, dates=dates, **labels)
@@ -237,7 +227,7 @@ def pmq(df: DataFrame) -> DataFrame:
                    org=F.lit("主辦"), club=F.concat(F.lit("會"), "c"))
     columns = {"k": F.col("k")}
     address = "https://pmq.example/programme/{k}/?lang={lang}"
-    return _pages(
+    return page_rows(
         df,
         R.PMQ,
         ("detail", "zh", template(address, lang=F.lit("ch"), **columns), chinese, None),
@@ -381,7 +371,7 @@ def film_archive(df: DataFrame) -> DataFrame:
         return F.when(n == 5, away).otherwise(own)
 
     ticket_url = template("https://film.example/zh_TW/web/{k}/ticketinfo.html", k=F.col("k"))
-    return _pages(
+    return page_rows(
         df,
         R.FILM_ARCHIVE,
         ("detail", "en", address("en_US", "en", "page.html"), english, None),
@@ -403,7 +393,7 @@ def asia_society(df: DataFrame) -> DataFrame:
         )
 
     listing = F.concat(F.lit("<html><body>"), F.array_join(F.transform(number, card), "\n"), F.lit("</body></html>"))
-    lists = _pages(df, R.ASIA_SOCIETY, (
+    lists = page_rows(df, R.ASIA_SOCIETY, (
         "list", "en", template("https://asiasociety.org/hong-kong/events?page={k}", k=F.col("k")), listing, None,
     ))
     detail = df.withColumn("i", F.explode(number))
@@ -421,7 +411,7 @@ def asia_society(df: DataFrame) -> DataFrame:
         price=F.when(F.col("i") == 2, F.concat(F.lit("<b>Cost $"), "price", F.lit(" each</b>"))).otherwise(F.lit("ask")),
     )
     url = template("https://asiasociety.org/hong-kong/events/{k}-{i}", k=F.col("k"), i=F.col("i"))
-    return lists.unionByName(_pages(detail, R.ASIA_SOCIETY, ("detail", "en", url, page, None)))
+    return lists.unionByName(page_rows(detail, R.ASIA_SOCIETY, ("detail", "en", url, page, None)))
 
 
 def asia_world_expo(df: DataFrame) -> DataFrame:
@@ -457,7 +447,7 @@ def asia_world_expo(df: DataFrame) -> DataFrame:
         entries = F.array_join(F.transform(number, lambda i: entry(i, lang)), "\n")
         return F.concat(F.lit('<div id="content"><dl>'), entries, F.lit("</dl></div>"))
 
-    return _pages(
+    return page_rows(
         df,
         R.ASIA_WORLD_EXPO,
         ("list", "en", template("http://expo.example/events/{k}", k=F.col("k")), listing("en"), F.col("s") != "F"),

@@ -11,16 +11,13 @@ from playbill.plans.rendering import AS_OF
 from playbill.schema import EVENT_COLUMNS
 from playbill.sources import pages as P
 
-HALF = "source string, lang string, page_id long, pos int, fetched_at timestamp, link_key string, hop int"
-
-
 def halves(spark, rows):
     """Half records from (lang, page_id, key, name, start) rows."""
     base = spark.createDataFrame(
         [(lang, page, key, name, start) for lang, page, key, name, start in rows],
         "lang string, page_id long, key string, name string, start date",
     )
-    return catalog._half_rows(
+    return catalog.half_rows(
         base,
         lang=F.col("lang"),
         hop=F.when(F.col("lang") == "en", 0).otherwise(1),
