@@ -7,7 +7,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from playbill.llm import bpe
+from playbill.llm import bpe, mixing, quality, urls
 from playbill.llm.common import table
 
 
@@ -17,5 +17,26 @@ def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN, ids=False)
 
 
-QUERIES = {"op3_bpe_codec": op3_bpe_codec}
-ORACLES: dict[str, str] = {}
+def op5_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every document."""
+    return quality.verdicts(table(spark, sf_dir, "documents"))
+
+
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document. No SQL: the draw is by hashes; tested by its properties."""
+    rows = mixing.mixed(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
+
+
+def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page."""
+    return urls.judged(table(spark, sf_dir, "pages"), urls.rule_table(spark, urls.RULES))
+
+
+QUERIES = {
+    "op3_bpe_codec": op3_bpe_codec,
+    "op5_host_quality": op5_host_quality,
+    "op6_source_mix": op6_source_mix,
+    "op9_url_rules": op9_url_rules,
+}
+ORACLES = {"op5_host_quality": quality.ORACLE, "op9_url_rules": urls.ORACLE}
