@@ -7,7 +7,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from playbill.llm import bpe, mixing, quality, urls
+from playbill.llm import bpe, mixing, quality, setjoin, urls
 from playbill.llm.common import table
 
 
@@ -28,6 +28,11 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document. No SQL: tested against all pairs of a fixture."""
+    return setjoin.near_copies(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
+
+
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, rule and verdict of every page."""
     return urls.judged(table(spark, sf_dir, "pages"), urls.rule_table(spark, urls.RULES))
@@ -37,6 +42,7 @@ QUERIES = {
     "op3_bpe_codec": op3_bpe_codec,
     "op5_host_quality": op5_host_quality,
     "op6_source_mix": op6_source_mix,
+    "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op9_url_rules": op9_url_rules,
 }
 ORACLES = {"op5_host_quality": quality.ORACLE, "op9_url_rules": urls.ORACLE}
