@@ -7,7 +7,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from playbill.llm import bpe, mixing, quality, setjoin, urls
+from playbill.llm import bpe, mixing, passages, quality, setjoin, urls
 from playbill.llm.common import table
 
 
@@ -38,11 +38,18 @@ def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(table(spark, sf_dir, "pages"), urls.rule_table(spark, urls.RULES))
 
 
+def op10_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every repeated passage that a document loses, with the document that keeps it. No SQL: tested
+    against a brute-force search."""
+    return passages.removals(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_bpe_codec": op3_bpe_codec,
     "op5_host_quality": op5_host_quality,
     "op6_source_mix": op6_source_mix,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op9_url_rules": op9_url_rules,
+    "op10_passage_dedup": op10_passage_dedup,
 }
 ORACLES = {"op5_host_quality": quality.ORACLE, "op9_url_rules": urls.ORACLE}
