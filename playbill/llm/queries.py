@@ -7,7 +7,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from playbill.llm import bpe, mixing, passages, quality, setjoin, urls
+from playbill.llm import bpe, mixing, passages, quality, setjoin, topk, urls
 from playbill.llm.common import table
 
 
@@ -33,6 +33,11 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setjoin.near_copies(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
 
 
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest scores of every fiftieth vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, rule and verdict of every page."""
     return urls.judged(table(spark, sf_dir, "pages"), urls.rule_table(spark, urls.RULES))
@@ -49,7 +54,8 @@ QUERIES = {
     "op5_host_quality": op5_host_quality,
     "op6_source_mix": op6_source_mix,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op8_exact_top_k": op8_exact_top_k,
     "op9_url_rules": op9_url_rules,
     "op10_passage_dedup": op10_passage_dedup,
 }
-ORACLES = {"op5_host_quality": quality.ORACLE, "op9_url_rules": urls.ORACLE}
+ORACLES = {"op5_host_quality": quality.ORACLE, "op8_exact_top_k": topk.ORACLE, "op9_url_rules": urls.ORACLE}
