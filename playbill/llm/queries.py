@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playbill.llm import bpe, langid, mixing, passages, quality, setjoin, topk, urls
+from playbill.llm import bpe, langid, mixing, passages, quality, setjoin, topk, toxicity, urls
 from playbill.llm.common import id_hash_mod, table
 
 
@@ -31,6 +31,14 @@ def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN, ids=False)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document. No SQL: tested by held-out labels."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = toxicity.scored(docs, toxicity.fit(docs, labels.where(id_hash_mod("doc_id", 5) != 0)))
+    held_out = F.coalesce(id_hash_mod("doc_id", 5) == 0, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted", "n_offending")
+
+
 def op5_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document."""
     return quality.verdicts(table(spark, sf_dir, "documents"))
@@ -66,6 +74,7 @@ def op10_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_bpe_codec": op3_bpe_codec,
+    "op4_toxicity": op4_toxicity,
     "op5_host_quality": op5_host_quality,
     "op6_source_mix": op6_source_mix,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
