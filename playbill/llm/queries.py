@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playbill.llm import bpe, langid, mixing, passages, quality, setjoin, topk, toxicity, urls
+from playbill.llm import bpe, langid, maintext, mixing, passages, quality, setjoin, topk, toxicity, urls
 from playbill.llm.common import id_hash_mod, table
 
 
@@ -25,6 +25,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page. No SQL: tested on pages with known articles."""
+    return maintext.extracted(table(spark, sf_dir, "pages"))
+
+
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document. No SQL: tested against the tiktoken library."""
     vocabulary = Path(public_tokenizers.path("byte_bpe_50k.tiktoken")).read_bytes()
@@ -73,6 +78,7 @@ def op10_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_main_text": op2_main_text,
     "op3_bpe_codec": op3_bpe_codec,
     "op4_toxicity": op4_toxicity,
     "op5_host_quality": op5_host_quality,
