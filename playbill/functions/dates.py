@@ -16,7 +16,11 @@ MONTH = (
     "(?:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?"
     "|Sep(?:tember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)"
 )
-WEEKDAY = "[MTWFS](?:on|ue|ed|hu|ri|at|un)(?:day|sday|nesday|rsday|urday)?"
+# The English weekday names, in full and abbreviated.
+WEEKDAY = (
+    "(?:Monday|Tuesday|Wednesday|Thursday|Friday|Saturday|Sunday"
+    "|Mon|Tues|Tue|Wed|Thurs|Thur|Thu|Fri|Sat|Sun)"
+)
 
 # The shape of a date and its format. Looking at the shape first means that only a
 # date of the right shape is parsed, so the parser hardly ever has to fail.
@@ -147,14 +151,26 @@ def mentions(text: Column) -> Column:
     return F.transform(found, lambda m: F.regexp_replace(m, r"(\d)(?:st|nd|rd|th)", "$1"))
 
 
-def fill_year(text: Column, url: Column, as_of: datetime.date | Column) -> Column:
-    """Year for mentions without one: the largest four-digit number of text and address.
+# Years an event may be in. A longer number is none, and neither is half a telephone number: two
+# groups of four digits, unless both look like years of this century.
+YEARS = (2001, 2100)
+_YEAR = r"(?<!\d)\d{4}(?!\d)"
+_TELEPHONE = r"(?<!\d)(?!20\d\d[ -]20\d\d(?!\d))\d{4}[ -]\d{4}(?!\d)"
+
+
+def fill_year(text: Column, url: Column, as_of: datetime.date | Column, years: tuple[int, int] = YEARS) -> Column:
+    """Year for mentions without one: the largest number of text and address that may be a year.
 
-    A number up to 2000 is not taken for a year of an event; then the current year counts.
+    That is a whole number of four digits within ``years``, no half of a telephone number; without
+    one the current year counts.
     """
-    numbers = [F.array_max(F.regexp_extract_all(c, F.lit(r"\d{4}"), F.lit(0))) for c in (text, url)]
-    largest = F.greatest(*[number.cast("int") for number in numbers])
-    return F.when(largest > 2000, largest).otherwise(F.year(as_of_date(as_of)))
+
+    def found(source: Column) -> Column:
+        bare = F.regexp_replace(source, _TELEPHONE, " ")
+        numbers = F.transform(F.regexp_extract_all(bare, F.lit(_YEAR), F.lit(0)), lambda n: n.cast("int"))
+        return F.array_max(F.filter(numbers, lambda n: n.between(*years)))
+
+    return F.coalesce(F.greatest(found(text), found(url)), F.year(as_of_date(as_of)))
 
 
 def with_mentioned_dates(

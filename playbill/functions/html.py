@@ -6,14 +6,49 @@ Patterns avoid repeated groups over long spans, which would make the JVM's match
 
 from __future__ import annotations
 
+import re
+from functools import lru_cache
+
 from pyspark.sql import Column, functions as F
 
+from .text import ENTITIES, replace_each
+
 HREF = r'<a\s(?:[^>]*?\s)?href="([^"]*)"'
 
 
 def _any_case(name: str) -> str:
     """Pattern of a tag name in any case; a class per letter fails faster than a caseless match."""
-    return "".join(f"[{letter.lower()}{letter.upper()}]" for letter in name)
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in name.lower())
+
+
+_VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
+_CAPTURED = re.compile(r'(?:(\\[bs])|(?<![\\A-Za-z-]))([a-z-]+)="\(\[\^"\]\*\)"')
+_FIXED = re.compile(r'(?:(\\[bs])|(?<![\\A-Za-z-]))([a-z-]+)="([^"()\[\]*?\\]+)"')
+_TAG = re.compile(r"(?<![?(])<(/?\??)([a-z][a-z0-9]*)")
+
+
+@lru_cache(maxsize=None)
+def tolerant(pattern: str) -> tuple[str, bool]:
+    """A pattern in plain HTML, written for HTML as it comes: tags and attribute names in any case,
+    values in double, single or no quotes. Says too whether it captures the value of an attribute,
+    which then comes with its quotes (see ``attribute_value``).
+
+    Patterns name a value as name="value", and capture one as name="([^"]*)".
+    """
+
+    def fixed(match: re.Match) -> str:
+        border, name, value = match.groups()
+        forms = [f'"{value}"', f"'{value}'"] + ([] if " " in value else [rf"{value}(?=[\s>])"])
+        return rf"{border or ''}{_any_case(name)}\s*=\s*(?:{'|'.join(forms)})"
+
+    found = _FIXED.sub(fixed, pattern)
+    found = _CAPTURED.sub(lambda m: rf"{m[1] or ''}{_any_case(m[2])}\s*=\s*{_VALUE}", found)
+    return _TAG.sub(lambda m: f"<{m[1]}{_any_case(m[2])}", found), bool(_CAPTURED.search(pattern))
+
+
+def attribute_value(raw: Column) -> Column:
+    """The value of an attribute without its quotes, the references of markup decoded."""
+    return replace_each(F.regexp_replace(raw, r"""^["']|["']$""", ""), ENTITIES)
 
 
 # One alternative behind one opening bracket: every other character is passed at once.
@@ -33,7 +68,9 @@ def drop_invisible(html: Column) -> Column:
 
 def first_group(html: Column, pattern: str, group: int = 1) -> Column:
     """First match of a pattern, NULL when there is none or it is empty."""
-    return F.nullif(F.regexp_extract(html, pattern, group), F.lit(""))
+    pattern, value = tolerant(pattern)
+    found = F.regexp_extract(html, pattern, group)
+    return F.nullif(attribute_value(found) if value else found, F.lit(""))
 
 
 def first_present(html: Column, *patterns: str) -> Column:
@@ -42,7 +79,9 @@ def first_present(html: Column, *patterns: str) -> Column:
 
 
 def all_groups(html: Column, pattern: str, group: int = 1) -> Column:
-    return F.regexp_extract_all(html, F.lit(pattern), F.lit(group))
+    pattern, value = tolerant(pattern)
+    found = F.regexp_extract_all(html, F.lit(pattern), F.lit(group))
+    return F.transform(found, attribute_value) if value else found
 
 
 def link_targets(html: Column) -> Column:
@@ -65,8 +104,8 @@ def meta_content(html: Column, attribute: str, name: str) -> Column:
     key = rf'{attribute}="{name}"'
     return first_present(
         html,
-        rf'(?i)<meta\s[^>]*?{key}[^>]*?\scontent="([^"]*)"',
-        rf'(?i)<meta\s[^>]*?content="([^"]*)"[^>]*?\s{key}',
+        rf'<meta\s[^>]*?{key}[^>]*?\scontent="([^"]*)"',
+        rf'<meta\s[^>]*?content="([^"]*)"[^>]*?\s{key}',
     )
 
 
@@ -76,11 +115,8 @@ def definition(html: Column, label: str) -> Column:
 
 
 def rest(items: Column, start: int = 2) -> Column:
-    """Elements from a one-based position on.
-
-    The length is a constant: the size of the array would evaluate its expression a second time.
-    """
-    return F.slice(items, F.lit(start), F.lit(1_000_000_000))
+    """Elements from a one-based position on, the array evaluated once."""
+    return F.filter(items, lambda _, index: index >= start - 1)
 
 
 def element_bodies(html: Column, start_tag: str, tag: str = "div") -> Column:
@@ -104,4 +140,4 @@ def element_bodies(html: Column, start_tag: str, tag: str = "div") -> Column:
         start = F.struct(F.lit(1).alias("depth"), F.lit(-1).alias("length"))
         return F.substr(tail, F.lit(1), F.aggregate(pieces, start, add)["length"])
 
-    return F.transform(rest(F.split(html, start_tag)), body)
+    return F.transform(rest(F.split(html, tolerant(start_tag)[0])), body)

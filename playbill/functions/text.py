@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, functions as F
 
 NBSP = "\u00a0"
 # A word character in any script; \w knows ASCII only.
 WORD = r"[\p{L}\p{N}_]"
 
-# The named references that occur in the pages; the ampersand has to be last.
+# The references replaced one after the other; the ampersand has to be last. All
+# others are for decode_references, which leaves the five of markup to these.
 ENTITIES = (
     ("&nbsp;", NBSP),
     ("&lt;", "<"),
@@ -21,6 +25,57 @@ ENTITIES = (
 )
 
 
+_MARKUP = {"&": "&amp;", "<": "&lt;", ">": "&gt;", '"': "&quot;", "'": "&#39;"}
+# The named references of the HTML standard, as the standard library has them: those that end with
+# a semicolon, and those that HTML also takes without one.
+_NAMED = {name[:-1]: _MARKUP.get(value, value) for name, value in html5.items() if name.endswith(";")}
+_BARE = {name: _MARKUP.get(value, value) for name, value in html5.items() if not name.endswith(";")}
+# Numbers that do not stand for the character of their code: markup, and 128 to 159.
+_NUMBERS = {str(ord(char)): reference for char, reference in _MARKUP.items()}
+_NUMBERS |= {str(n): bytes([n]).decode("cp1252", "replace") for n in range(128, 160)}
+
+
+def _table(values: dict[str, str]) -> Column:
+    """A constant map: one expression to build, folded before the job runs."""
+    return F.from_json(F.lit(json.dumps(values)), "map<string,string>")
+
+
+def decode_references(text: Column) -> Column:
+    """Character references to characters, once: all named ones and all numbers.
+
+    The characters of markup (& < > and both quotes) stay references, so that this can be done to a
+    whole page before it is cut, once; ``unescape`` does these at the end. Each reference takes one
+    look-up; what is none stays as it is.
+    """
+    number = r"^&#(?:([0-9]{1,9})|[xX]([0-9a-fA-F]{1,7}));?"
+
+    def character(code: Column) -> Column:
+        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        units = F.lpad(F.hex(F.when(valid, code).otherwise(0xFFFD)), 8, "0")
+        return F.coalesce(F.try_element_at(_table(_NUMBERS), code.cast("string")), F.decode(F.unhex(units), "UTF-32"))
+
+    def numbered(piece: Column) -> Column:
+        decimal, hexadecimal = F.regexp_extract(piece, number, 1), F.regexp_extract(piece, number, 2)
+        code = F.coalesce(F.nullif(decimal, F.lit("")), F.conv(F.nullif(hexadecimal, F.lit("")), 16, 10)).cast("long")
+        # the code is computed once for the two places that need it
+        found = F.element_at(F.transform(F.array(code), character), 1)
+        return F.concat(found, F.regexp_replace(piece, number, ""))
+
+    def named(piece: Column) -> Column:
+        closed, bare = r"^&([A-Za-z][A-Za-z0-9]*);", r"^&([A-Za-z]+)(?![A-Za-z0-9;=])"
+        return F.coalesce(
+            F.concat(F.try_element_at(_table(_NAMED), F.regexp_extract(piece, closed, 1)), F.regexp_replace(piece, closed, "")),
+            F.concat(F.try_element_at(_table(_BARE), F.regexp_extract(piece, bare, 1)), F.regexp_replace(piece, bare, "")),
+        )
+
+    def decoded(piece: Column) -> Column:
+        plain = ~piece.startswith("&") | piece.startswith("&amp;")
+        value = F.when(piece.rlike(number), numbered(piece)).otherwise(named(piece))
+        return F.when(plain, piece).otherwise(F.coalesce(value, piece))
+
+    return F.array_join(F.transform(F.split(text, "(?=&)"), decoded), "")
+
+
 def replace_each(text: Column, pairs) -> Column:
     for find, put in pairs:
         text = F.replace(text, F.lit(find), F.lit(put))
@@ -83,9 +138,12 @@ def dollar_amount_text(text: Column) -> Column:
 
 
 def fee_amount(fee: Column) -> Column:
-    """Number of the first price in a fee text, NULL when it has none."""
-    number = F.regexp_extract(fee, r"\$\s*(\d[\d,]*(?:\.\d{1,2})?)", 1)
-    return F.replace(number, F.lit(","), F.lit("")).try_cast("decimal(10,2)")
+    """Number of the first price in a fee text (after ``$`` or ``HKD``), NULL when it has none.
+
+    Up to 36 digits before the point, the most a decimal holds.
+    """
+    number = F.regexp_extract(fee, r"(?:\$|\bHKD)\s*(\d[\d,]*(?:\.\d{1,2})?)", 1)
+    return F.replace(number, F.lit(","), F.lit("")).try_cast("decimal(38,2)")
 
 
 def organiser_of_title(title: Column) -> Column:

@@ -45,7 +45,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
-    return P.spread(W.show_rows(table(spark, folder, "orders")))
+    return P.spread(W.show_rows(table(spark, folder, "orders")), spark.sparkContext.defaultParallelism)
 
 
 def stored_pages(spark: SparkSession, pages: DataFrame) -> DataFrame:
@@ -1233,7 +1233,24 @@ def incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
     incoming, work, store = f"{root}/in", f"{root}/work", f"{root}/store"
     for lang in ("en", "zh"):
         P.store_pages(pages.where(F.col("lang") == lang), incoming)
-        ingest.ingest_stream(spark, incoming, work, store, W.AS_OF, [R.WEST_KOWLOON], flush=lang == "zh")
+        ingest.ingest_stream(spark, incoming, work, store, W.AS_OF, [R.WEST_KOWLOON])
     P.store_pages(pages, incoming)
     ingest.ingest_stream(spark, incoming, work, store, W.AS_OF, [R.WEST_KOWLOON])
     return shown(S.find_events(spark, store))
+
+
+LATE = (R.WEST_KOWLOON, R.FILM_ARCHIVE, R.ASIA_WORLD_EXPO)
+
+
+@query("incremental_late_pages", _ROWS + " UNION ALL ".join(EXPECTED[source](SHARES[source]) for source in LATE))
+def incremental_late_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """English pages, then Chinese ones, then ticket pages, each in a run of its own that stores
+    what it has: the later pages complete the stored events."""
+    shows = orders(spark, folder)
+    pages = records.union_sources([W.RENDER[source](shows.where(SHARES[source])) for source in LATE])
+    root = scratch_dir(spark, "late")
+    incoming, work, store = f"{root}/in", f"{root}/work", f"{root}/store"
+    for part in ("page_kind <> 'fee' AND lang = 'en'", "page_kind <> 'fee' AND lang = 'zh'", "page_kind = 'fee'"):
+        P.store_pages(pages.where(part), incoming)
+        ingest.ingest_stream(spark, incoming, work, store, W.AS_OF, list(LATE))
+    return shown(S.find_events(spark, store))

@@ -42,6 +42,8 @@ def _halves(df: DataFrame, hop: Column, key: Column, values: dict[str, Column],
     columns = [
         values.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in HALF_FIELDS.items()
     ]
+    # a page without an address is an event of its own, not one with all other such pages
+    key = F.coalesce(key, F.concat(F.lit("page "), F.col("page_id").cast("string")))
     return df.select(
         "source", "lang", "page_id", (F.col(pos) if pos else F.lit(0)).alias("pos"), "fetched_at",
         key.alias("link_key"), hop.alias("hop"), *columns,

@@ -13,14 +13,12 @@ def load_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGES).parquet(path)
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows in at least as many partitions as there are cores.
+def spread(rows: DataFrame, partitions: int) -> DataFrame:
+    """Rows dealt out over so many partitions, for tables in a few files that hold much work a row.
 
-    Extraction is heavy per row. A large table has splits enough and is left as it is; a table in
-    a few small files would keep most cores idle, and its rows are dealt out once.
+    The caller decides; a table with splits enough needs no such exchange.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+    return rows.repartition(partitions)
 
 
 def store_pages(pages: DataFrame, path: str) -> None:
