@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -9,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playbill.session import cut_lineage
+from playbill.session import cut_lineage, scratch_dir
 
 ROOT = str(Path(__file__).resolve().parents[2])
 # A side is broadcast only if its rows, counted first, take no more than this; else it is shuffled.
@@ -45,6 +47,19 @@ def join_bounded(big: DataFrame, small: DataFrame, on: list[str], how: str, row_
     return big.join(small, on, how)
 
 
+def slices(sizes: list[int], rows: int, total: int) -> Iterator[tuple[int, int]]:
+    """Start and length of runs of at most `rows` items whose sizes add up to `total` at most; a
+    larger item is a run of its own."""
+    start = taken = 0
+    for i, size in enumerate(sizes):
+        if i > start and (i - start == rows or taken + size > total):
+            yield start, i - start
+            start, taken = i, 0
+        taken += size
+    if len(sizes) > start:
+        yield start, len(sizes) - start
+
+
 class WordHashes(dict):
     """64-bit hashes of words (bytes). Emptied when full, so a worker's memory is bounded."""
 
@@ -102,6 +117,21 @@ def shingles(words: list[bytes], n: int) -> np.ndarray:
     return np.sort(found.view(np.int64))
 
 
+@contextmanager
+def stored(df: DataFrame, name: str, by: str):
+    """The rows of df, written once as Parquet in the shared scratch folder, a folder for each value
+    of `by`, and read from there. The files go when the block ends: what is made from them has to be
+    checkpointed or written before."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.partitionBy(by).parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the edges (a, b) of longs: the smallest node it reaches.
 

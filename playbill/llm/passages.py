@@ -20,12 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playbill.llm.common import BASE, WORD_HASHES, grams, join_bounded, mix
+from playbill.llm.common import BASE, WORD_HASHES, grams, join_bounded, mix, slices, stored
 from playbill.llm.setjoin import colliding, linked
 from playbill.session import cut_lineage
 
 SHINGLE = 5
 GAP = 16  # any GAP word pairs in a row have an anchor
+SLICE, SLICE_BYTES = 128, 4 << 20  # texts handled at once
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 SPAN = "array<struct<start:int,end:int,kept:long>>"
@@ -47,38 +48,55 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return POWERS[0][:n], POWERS[1][:n]
 
 
-class Text:
-    """The words of a text, their hashes, the borders of its lines in words, and hashes of sections."""
+class Texts:
+    """The words of some texts one after the other: their hashes, the borders of texts and lines in
+    words, and hashes of sections."""
 
-    def __init__(self, text: bytes):
+    def __init__(self, texts: list[bytes]):
         words: list[bytes] = []
-        self.borders = [0]
-        for line in text.lower().split(b"\n"):
-            words += line.split()
-            self.borders.append(len(words))
-        self.n = len(words)
+        borders, lines, ends = [0], [], [0]
+        for text in texts:
+            before = len(borders)
+            for line in text.lower().split(b"\n"):
+                words += line.split()
+                borders.append(len(words))
+            lines.append(len(borders) - before)
+            ends.append(len(words))
+        self.borders, self.ends = np.array(borders, np.int64), np.array(ends, np.int64)
+        self.text_of_line = np.repeat(np.arange(len(texts)), lines)
+        self.text_of_word = np.repeat(np.arange(len(texts)), np.diff(self.ends))
         self.hashes = WORD_HASHES.of(words)
-        power, self.inverse = powers(self.n + 1)
+        power, self.inverse = powers(len(words) + 1)
         self.ordered = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.hashes * power[:-1], dtype=np.uint64)])
         self.bag = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(self.hashes), dtype=np.uint64)])
 
     def sections(self, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """A 64-bit hash and an independent 32-bit check of the words from start to end."""
+        """A 64-bit hash and an independent 31-bit check of the words from start to end."""
         key = mix((self.ordered[end] - self.ordered[start]) * self.inverse[start] + (end - start).astype(np.uint64))
         check = mix(self.bag[end] - self.bag[start]) >> np.uint64(33)
         return key.view(np.int64), check.astype(np.int32)
 
     def anchors(self) -> np.ndarray:
-        """Word places with the least word-pair hash of some GAP in a row."""
-        if self.n <= GAP:
+        """Word places with the least word-pair hash of some GAP in a row of one text."""
+        n = len(self.hashes) - GAP
+        if n < 1:
             return np.empty(0, np.int64)
-        pairs = grams(self.hashes, 2)
-        return np.unique(np.lib.stride_tricks.sliding_window_view(pairs, GAP).argmin(axis=1) + np.arange(len(pairs) - GAP + 1))
+        least = np.lib.stride_tricks.sliding_window_view(grams(self.hashes, 2), GAP).argmin(axis=1) + np.arange(n)
+        return np.unique(least[self.text_of_word[:n] == self.text_of_word[GAP:]])
 
-    def lines(self, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-        borders = np.array(self.borders, np.int64)
-        long = borders[1:] - borders[:-1] >= min_words
-        return borders[:-1][long], borders[1:][long]
+    def windows(self, words: int) -> tuple[np.ndarray, np.ndarray]:
+        """Start and text of the windows that begin at an anchor and end in the same text."""
+        at = self.anchors()
+        at = at[at + words <= self.ends[self.text_of_word[at] + 1]]
+        return at, self.text_of_word[at]
+
+    def lines(self, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, end and text of the lines of min_words or more."""
+        long = np.flatnonzero(self.borders[1:] - self.borders[:-1] >= min_words)
+        return self.borders[long], self.borders[long + 1], self.text_of_line[long]
+
+    def shingles(self) -> np.ndarray:
+        return grams(self.hashes, SHINGLE) if len(self.hashes) >= SHINGLE else np.empty(0, np.uint64)
 
 
 def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = 32,
@@ -101,56 +119,45 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("binary").alias("text"), F.hash(text_column).alias("version"))
 
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """kind 0: windows, 1: lines."""
-        for batch in batches:
-            for a in range(0, len(batch), 256):
-                found = [[] for _ in range(7)]
-                part = batch.slice(a, 256)
-                for doc, data, version in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    text = Text(data)
-                    at = text.anchors()
-                    at = at[at <= text.n - min_words]
-                    starts, ends = text.lines(min_words)
-                    start, end = np.concatenate([at, starts]), np.concatenate([at + min_words, ends])
-                    if len(start):
-                        kind = np.repeat(np.array([0, 1], np.int32), [len(at), len(starts)])
-                        values = (kind, *text.sections(start, end), np.full(len(start), doc, np.int64), np.full(len(start), version, np.int32), start.astype(np.int32), end.astype(np.int32))
-                        for column, value in zip(found, values, strict=True):
-                            column.append(value)
-                if found[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in found], ["kind", "key", "check", "doc_id", "version", "start", "end"])
-
-    def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The bands of each line; the line by its key."""
+        """kind 0: windows, 1: lines, 2: bands of lines (doc_id is the line's key)."""
         for batch in batches:
-            for a in range(0, len(batch), 256):
-                keys, ids = [], []
-                for data in batch.column(1).slice(a, 256).to_pylist():
-                    text = Text(data)
-                    starts, ends = text.lines(max(min_words, SHINGLE))
-                    if not len(starts):
-                        continue
-                    five = np.append(grams(text.hashes, SHINGLE), np.uint64(0))
-                    cuts = np.stack([starts, ends - SHINGLE + 1], axis=1).ravel()
-                    least = [np.minimum.reduceat(five * f + s, cuts)[::2] for f, s in zip(factors, shifts, strict=True)]
-                    names = text.sections(starts, ends)[0]
-                    for b in range(bands):
-                        total = np.full(len(starts), mix(np.array([b], np.uint64))[0])
-                        for value in least[b * rows_of_band : (b + 1) * rows_of_band]:
-                            total = mix(total * BASE + value)
-                        keys.append(total.view(np.int64))
-                        ids.append(names)
-                if keys:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids))], ["key", "id"])
+            data = batch.column(1).to_pylist()
+            for a, n in slices(list(map(len, data)), SLICE, SLICE_BYTES):
+                part, texts = batch.slice(a, n), Texts(data[a : a + n])
+                ids, versions = part.column(0).to_numpy(), part.column(2).to_numpy()
+                at, text_of_window = texts.windows(min_words)
+                starts, ends, text_of_line = texts.lines(max(min_words, SHINGLE))
+                start, end, owner = np.concatenate([at, starts]), np.concatenate([at + min_words, ends]), np.concatenate([text_of_window, text_of_line])
+                if not len(start):
+                    continue
+                key, check = texts.sections(start, end)
+                kind = np.repeat(np.array([0, 1], np.int32), [len(at), len(starts)])
+                first = texts.ends[owner]
+                yield rows_of(kind, key, check, ids[owner], versions[owner], start - first, end - first)
+                if not len(starts):
+                    continue
+                names = key[len(at) :]
+                five = np.append(texts.shingles(), np.uint64(0))
+                cuts = np.stack([starts, ends - SHINGLE + 1], axis=1).ravel()
+                for b in range(bands):
+                    total = np.full(len(starts), b, np.uint64)
+                    for k in range(b * rows_of_band, (b + 1) * rows_of_band):
+                        total = mix(total * BASE + np.minimum.reduceat(five * factors[k] + shifts[k], cuts)[::2])
+                    zero = np.zeros(len(names), np.int32)
+                    yield rows_of(zero + 2, total.view(np.int64), zero, names, zero, zero, zero)
+
+    def rows_of(*values: np.ndarray) -> pa.RecordBatch:
+        kinds = (np.int32, np.int64, np.int32, np.int64, np.int32, np.int32, np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(v.astype(t)) for v, t in zip(values, kinds, strict=True)], ["kind", "key", "check", "doc_id", "version", "start", "end"])
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, sets = [], []
             for data, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                text, wanted = Text(data), set(wanted)
-                starts, ends = text.lines(max(min_words, SHINGLE))
-                five = grams(text.hashes, SHINGLE) if len(starts) else None
-                for name, s, e in zip(text.sections(starts, ends)[0].tolist(), starts, ends, strict=True):
+                texts, wanted = Texts([data]), set(wanted)
+                starts, ends, _ = texts.lines(max(min_words, SHINGLE))
+                five = texts.shingles()
+                for name, s, e in zip(texts.sections(starts, ends)[0].tolist(), starts, ends, strict=True):
                     if name in wanted:
                         wanted.discard(name)
                         ids.append(name)
@@ -160,12 +167,19 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))], ["id", "items"])
 
     made = source.select("doc_id", "text", "version").mapInArrow(units, "kind int, key long, check int, doc_id long, version int, start int, end int")
+    with stored(made, "passages", "kind") as made:
+        return spans_of(source, made, to_sets, num, den)
+
+
+def spans_of(source: DataFrame, made: DataFrame, to_sets, num: int, den: int) -> DataFrame:
+    """The spans of the documents, from the paragraphs found in them."""
     same = ["kind", "key", "check"]
-    first = made.groupBy(*same).agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("last")).where("kept < last").drop("last")
-    equal = made.join(first, same).where("doc_id <> kept").select("doc_id", "version", "start", "end", "kept")
+    real = made.where("kind < 2")
+    first = real.groupBy(*same).agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("last")).where("kept < last").drop("last")
+    equal = real.join(first, same).where("doc_id <> kept").select("doc_id", "version", "start", "end", "kept")
 
     # near copies of lines: each different line is one node
-    close = colliding(source.mapInArrow(postings, "key long, id long").distinct())
+    close = colliding(made.where("kind = 2").select("key", F.col("doc_id").alias("id")).distinct())
     nodes = cut_lineage(close.select(F.col("a").alias("key")).union(close.select("b")).distinct())
     lines = made.where("kind = 1").select("key", "doc_id", "version", "start", "end")
     lines = cut_lineage(join_bounded(lines, nodes, ["key"], "inner", 16))
@@ -205,8 +219,9 @@ def without_spans(text: str, spans: list[dict]) -> str:
     return "".join([*out, text[at:]])
 
 
-def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **settings) -> DataFrame:
-    """docs with its columns, all rows, the repeated passages cut out of the text."""
+def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", length_column: str | None = None, **settings) -> DataFrame:
+    """docs with its columns, all rows, the repeated passages cut out of the text; the column with
+    the length of the text, if named, follows."""
     spans = repeated(docs, id_column, text_column, **settings)
     names = [F.col(c) for c in docs.columns]
     rows = docs.select(F.struct(*names).alias("row"), F.col(id_column).cast("long").alias("doc_id"), F.hash(text_column).alias("version"))
@@ -219,4 +234,5 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     kinds = rows.select("row").schema
     cut_rows = rows.select("row", F.col("row")[text_column].alias("text"), "spans").mapInArrow(cut, kinds.add("text", "string"))
-    return cut_rows.select(*(F.col("text").alias(c) if c == text_column else F.col("row")[c].alias(c) for c in docs.columns))
+    new = {text_column: F.col("text"), length_column: F.length("text").cast("long")}
+    return cut_rows.select(*(new.get(c, F.col("row")[c]).alias(c) for c in docs.columns))
