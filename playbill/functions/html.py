@@ -119,6 +119,16 @@ def rest(items: Column, start: int = 2) -> Column:
     return F.filter(items, lambda _, index: index >= start - 1)
 
 
+CONTAINERS = ("div", "main", "section", "form", "ul")
+
+
+def element_of(html: Column, attribute: str) -> Column:
+    """Inner HTML of the elements with an attribute, whatever container they are, up to their own
+    ends and without navigation, header and footer in them."""
+    bodies = [element_bodies(html, rf"<{tag}\b[^>]*\b{attribute}[^>]*>", tag) for tag in CONTAINERS]
+    return F.regexp_replace(F.array_join(F.concat(*bodies), " "), r"(?is)<(nav|header|footer)\b.*?</\1\s*>", " ")
+
+
 def element_bodies(html: Column, start_tag: str, tag: str = "div") -> Column:
     """Inner HTML of every element whose start tag matches, closed where its own tag closes.
 

@@ -40,6 +40,15 @@ def _table(values: dict[str, str]) -> Column:
     return F.from_json(F.lit(json.dumps(values)), "map<string,string>")
 
 
+# A reference that the fixed ones above do not cover.
+_OTHER = r"&(?!amp;|nbsp;|lt;|gt;|quot;|#39;|copy;|middot;)[#A-Za-z]"
+
+
+def decode_page(html: Column) -> Column:
+    """``decode_references`` for pages: those that have only the usual references are left alone."""
+    return F.when(html.rlike(_OTHER), decode_references(html)).otherwise(html)
+
+
 def decode_references(text: Column) -> Column:
     """Character references to characters, once: all named ones and all numbers.
 

@@ -189,12 +189,16 @@ def card_links(spark: SparkSession, folder: str) -> DataFrame:
         UNION ALL SELECT 'HKTDC', 'http://www.hktdc.com/fair/tc/' || k, s FROM o WHERE s <> 'P'
         UNION ALL SELECT 'PMQ', 'https://pmq.example/?lang=ch&p=' || k, s FROM o
         UNION ALL SELECT 'West Kowloon Cultural District', 'https://west.example/en/' || k, s FROM o
+        UNION ALL SELECT 'HKTB', 'https://board.example/?a=1&k=' || k, s FROM o
+        UNION ALL SELECT 'Tai Koo Place', 'http://www.taikooplace.com/en/show/' || k, s FROM o
+        UNION ALL SELECT 'Tai Kwun', 'https://www.taikwun.hk/en/show/' || k, s FROM o
+        UNION ALL SELECT 'The Mills', 'http://www.themills.com.hk/' || k || '/', s FROM o
     )
     SELECT source, link FROM entries
     """,
 )
 def detail_links(spark: SparkSession, folder: str) -> DataFrame:
-    """Links on rendered list pages of six venues; the list pages also link elsewhere."""
+    """Links on rendered list pages of ten venues; the list pages also link elsewhere."""
     shows = orders(spark, folder)
     lists = {
         R.ASIA_SOCIETY: '<h4 class="card-title"><a href="hk/{k}">x</a></h4><h4><a href="no">x</a></h4>',
@@ -205,7 +209,15 @@ def detail_links(spark: SparkSession, folder: str) -> DataFrame:
         R.TRADE_COUNCIL: '<td class="content_black_middle padding_right_5px"><a href="http://{host}/fair/tc/{k}">x</a></td>',
         R.PMQ: '<div class="bgWhite container gapPaddingBtm40 gapBtm40"><div class="col-xs-6"><a href="https://pmq.example/?lang=ch&p={k}">'
                '</a></div><div class="col-xs-6"><a href="https://pmq.example/?lang=ch&p={k}#b">x</a></div></div>',
-        R.WEST_KOWLOON: '<div id="main"><ul><li><h4><a href="https://west.example/en/{k}">x</a></h4></li></ul></div>',
+        R.WEST_KOWLOON: '<div id="main"><ul><li><h4><a href="https://west.example/en/{k}">x</a></h4></li></ul></div><h4><a href="no">x</a></h4>',
+        R.TOURISM_BOARD: "<nav><a href='no'>x</a></nav><DIV id='event-calendar'><div><div><A HREF='https://board.example/?a=1&amp;k={k}'>x</A></div></div></DIV>"
+                         '<footer><a href="https://social.example/">x</a></footer>',
+        R.TAIKOO: '<form id="mainform"><header><a href="/en/contact">x</a></header><div><div><a href=/en/show/{k}>x</a></div></div>'
+                  '<footer><a href="/en/legal">x</a></footer></form>',
+        R.TAI_KWUN: '<div><a href="no">x</a></div><div class="list" id="programme-list"><div class="container"><div><a href="show/{k}">x</a></div></div></div>'
+                    '<div><a href="https://social.example/">x</a></div>',
+        R.THE_MILLS: '<a href="http://www.themills.com.hk/contact/">x</a><div class="col-xs-12 col-sm-6 pull-left"><div class="date">1</div>'
+                     '<a href="http://www.themills.com.hk/{k}/">x</a></div><footer><a href="http://www.themills.com.hk/legal/">x</a></footer>',
     }
     host = F.when(F.col("s") == "P", F.lit("other.example")).otherwise(F.lit("www.hktdc.com"))
     rendered = [
@@ -1254,3 +1266,36 @@ def incremental_late_pages(spark: SparkSession, folder: str) -> DataFrame:
         P.store_pages(pages.where(part), incoming)
         ingest.ingest_stream(spark, incoming, work, store, W.AS_OF, list(LATE))
     return shown(S.find_events(spark, store))
+
+
+@query(
+    "page_links_quoting",
+    """
+    SELECT o_orderkey AS page_id, CAST(i AS BIGINT) AS pos,
+           CASE i WHEN 3 THEN '/d?a=1&k=' ELSE substr('/a/b/c', 2 * CAST(i AS INTEGER) + 1, 2) || '/' END || o_orderkey AS link
+    FROM orders, unnest(range(4)) t(i)
+    """,
+)
+def page_links_quoting(spark: SparkSession, folder: str) -> DataFrame:
+    """Links however a page writes them: any case, any quotes or none, references in the value."""
+    html = (
+        "<p><A HREF='/a/{k}'>x</A> <a class=b href=/b/{k}>x</a> <a id='i' href = \"/c/{k}\">x</a>"
+        "<a\nhref=\"/d?a=1&amp;k={k}\" class='z'>x</a><abbr href='no'>x</abbr></p>"
+    )
+    pages = orders(spark, folder).select(F.col("k").alias("page_id"), W.template(html, k=F.col("k")).alias("html"))
+    return links.extract_links(pages).select("page_id", F.col("pos").cast("long").alias("pos"), "link")
+
+
+@query(
+    "entity_text",
+    """
+    SELECT o_orderkey AS k,
+           'A' || chr(8211) || o_orderkey || chr(160) || 'caf' || chr(233) || ' <b> & ' || chr(8217) || chr(8364) || chr(128512) || ' &nosuch; &amp;' AS text
+    FROM orders
+    """,
+)
+def entity_text(spark: SparkSession, folder: str) -> DataFrame:
+    """References of every kind, decoded once."""
+    html = "<i>A</i>&#8211;{k}&nbsp;caf&eacute; &lt;b&#x3e; &amp; &rsquo;&#128;&#x1F600; &nosuch; &amp;amp;"
+    shown_text = X.clean_text(X.decode_references(W.template(html, k=F.col("k"))), nbsp=X.NBSP)
+    return orders(spark, folder).select("k", shown_text.alias("text"))

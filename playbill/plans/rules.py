@@ -79,7 +79,8 @@ SEEDS = (
 class LinkRule(NamedTuple):
     """Where the links to the event pages stand on a list page.
 
-    ``region`` cuts the list out of the page; ``anchor`` finds the targets in it.
+    ``region`` cuts the list out of the page, or ``within`` names the attribute of the element that
+    holds it; ``anchor`` finds the targets in it.
     """
 
     source: str
@@ -88,6 +89,7 @@ class LinkRule(NamedTuple):
     base: str = ""
     every_second: bool = False
     contains: str = ""
+    within: str = ""
 
 
 LINK_RULES = (
@@ -96,15 +98,15 @@ LINK_RULES = (
     LinkRule(FILM_ARCHIVE, r'(?s)<table[^>]*\bclass="table_main"[^>]*>(.*?)</table>', HREF),
     LinkRule(MUSEUM_OF_ART, r'(?s)class="journal-content-article".*?<ul[^>]*>(.*?)</ul>', HREF,
              base="http://hk.art.museum/en_US/web/ma/"),
-    LinkRule(TOURISM_BOARD, r'(?s)id="event-calendar"[^>]*>(.*)', HREF),
+    LinkRule(TOURISM_BOARD, "", HREF, within='id="event-calendar"'),
     LinkRule(TRADE_COUNCIL, r"(?s)(.*)",
              r'(?s)class="content_black_middle padding_right_5px"[^>]*>\s*' + HREF,
              contains="www.hktdc.com"),
-    LinkRule(PMQ, r'(?s)class="bgWhite container gapPaddingBtm40 gapBtm40"[^>]*>(.*)',
-             r'(?s)<[^>]*\bclass="col-xs-6"[^>]*>\s*' + HREF, every_second=True),
-    LinkRule(TAIKOO, r'(?s)id="mainform"[^>]*>(.*)', HREF, base="http://www.taikooplace.com"),
-    LinkRule(TAI_KWUN, r'(?s)id="programme-list"[^>]*>(.*)', HREF, base="https://www.taikwun.hk/en/"),
-    LinkRule(WEST_KOWLOON, r'(?s)id="main"[^>]*>(.*)', r"(?s)<h4[^>]*>\s*" + HREF),
+    LinkRule(PMQ, "", r'(?s)<[^>]*\bclass="col-xs-6"[^>]*>\s*' + HREF, every_second=True,
+             within='class="bgWhite container gapPaddingBtm40 gapBtm40"'),
+    LinkRule(TAIKOO, "", HREF, base="http://www.taikooplace.com", within='id="mainform"'),
+    LinkRule(TAI_KWUN, "", HREF, base="https://www.taikwun.hk/en/", within='id="programme-list"'),
+    LinkRule(WEST_KOWLOON, "", r"(?s)<h4[^>]*>\s*" + HREF, within='id="main"'),
 )
 
 MILLS_CARD = r'<div class="col-xs-12 col-sm-6 pull-left"[^>]*>'

@@ -26,6 +26,7 @@ AsOf = datetime.date | Column
 def _pages(pages: DataFrame, source: str, kind: str = "detail") -> DataFrame:
     """Pages of one venue with the fields of its rules."""
     mine = pages.where((F.col("source") == source) & (F.col("page_kind") == kind))
+    mine = mine.withColumn("html", X.decode_page(F.col("html")))
     found = [rule for rule in R.FIELD_RULES if rule.source == source]
     return fields.extract_fields(mine, found) if found and kind == "detail" else mine
 
@@ -383,10 +384,15 @@ def film_archive(pages: DataFrame, as_of: AsOf) -> DataFrame:
         .when(in_strong, F.get("strong", F.lit(1)))
         .otherwise(H.first_group(F.col("html"), r'(?s)class="teaserBox"[^>]*>.*?<h2[^>]*>([^<]*)'))
     )
-    told = F.when(F.col("in_table"), H.rest(F.col("paragraphs")))
-    told = told.when(in_strong, H.rest(F.col("paragraphs"), 3))
+    # paragraphs straight in the article, four divisions deep, and (Chinese) five divisions deep
+    own = F.col("html").rlike(H.tolerant(r'\bid="article"')[0])
+    nested = H.tolerant(r'\bid="article"[^>]*>(?:\s*<div[^>]*>){%d}\s*<p\b')[0]
+    deepest = (F.col("lang") == "zh") & F.col("html").rlike(nested % 5)
+    told = F.when(deepest, F.col("paragraphs")).when(in_strong, H.rest(F.col("paragraphs"), 3))
+    told = told.when(F.col("in_table") | own, H.rest(F.col("paragraphs")))
     teaser = F.regexp_extract("html", r"(?s)class='?\"?span12 doppelTeaser'?\"?[^>]*>(.*?)</div>", 1)
-    about = X.clean_all(told.otherwise(F.array(teaser)), "", **options)
+    # the first layout that yields text
+    about = F.coalesce(X.clean_all(told, "", **options), X.clean_all(F.array(teaser), "", **options))
     aside = F.array_join(H.all_groups(F.col("html"), r"(?s)<aside\b[^>]*>(.*?)</aside>"), "")
     price = K.first_word_token(F.col("direct"))
     price = F.when(price.contains("免費"), F.lit("Free Admission")).otherwise(price)
@@ -399,7 +405,7 @@ def film_archive(pages: DataFrame, as_of: AsOf) -> DataFrame:
             "about": F.nullif(F.trim(about), F.lit("")),
             "fee": _chinese(
                 F.when(partner, X.dollar_amount_text(X.strip_tags(aside)))
-                .when(in_strong, price)
+                .when(in_strong | F.col("html").rlike(nested % 4), price)
             ),
         }
     )
@@ -636,7 +642,7 @@ def detail_links(pages: DataFrame) -> DataFrame:
     parts = []
     for rule in R.LINK_RULES:
         mine = _pages(pages, rule.source, "list")
-        region = F.regexp_extract("html", rule.region, 1)
+        region = H.element_of(F.col("html"), rule.within) if rule.within else F.regexp_extract("html", H.tolerant(rule.region)[0], 1)
         targets = H.all_groups(region, rule.anchor)
         found = mine.select("source", "page_id", F.posexplode(targets).alias("pos", "link"))
         if rule.every_second:
