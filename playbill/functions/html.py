@@ -129,12 +129,17 @@ def element_of(html: Column, attribute: str) -> Column:
     return F.regexp_replace(F.array_join(F.concat(*bodies), " "), r"(?is)<(nav|header|footer)\b.*?</\1\s*>", " ")
 
 
+_START = "\ue002"  # stands behind every start tag that matches
+
+
 def element_bodies(html: Column, start_tag: str, tag: str = "div") -> Column:
     """Inner HTML of every element whose start tag matches, closed where its own tag closes.
 
     The text after each start tag is cut before every further start or end of the same tag name;
-    adding up the pieces until the depth returns to zero gives the length of the body. Higher-order
-    functions are interpreted, so every part is evaluated once only.
+    adding up the pieces until the depth returns to zero gives the length of the body. It is looked
+    for up to the next matching start tag, and in the whole rest of the page only for an element
+    with another one inside. Higher-order functions are interpreted, so every part is evaluated
+    once only.
     """
 
     def add(state: Column, piece: Column) -> Column:
@@ -144,10 +149,23 @@ def element_bodies(html: Column, start_tag: str, tag: str = "div") -> Column:
         inside = F.struct(depth.alias("depth"), length.alias("length"))
         return F.when(state["depth"] == 0, state).otherwise(inside)
 
-    def body(tail: Column) -> Column:
+    def end(tail: Column) -> Column:
         # the blank in front keeps the first piece free of tags: all others begin with one
         pieces = F.split(F.concat(F.lit(" "), tail), rf"(?=</?{_any_case(tag)}\b)")
         start = F.struct(F.lit(1).alias("depth"), F.lit(-1).alias("length"))
-        return F.substr(tail, F.lit(1), F.aggregate(pieces, start, add)["length"])
+        return F.aggregate(pieces, start, add)
+
+    def bodies(tails: Column) -> Column:
+        def body(tail: Column, index: Column) -> Column:
+            def cut(found: Column) -> Column:
+                whole = F.array_join(F.filter(tails, lambda _, i: i > index), "")
+                longer = F.element_at(F.transform(F.array(whole), lambda t: F.substr(t, F.lit(1), end(t)["length"])), 1)
+                return F.when((found["depth"] > 0) & (index + 2 < F.size(tails)), longer).otherwise(F.substr(tail, F.lit(1), found["length"]))
+
+            return F.element_at(F.transform(F.array(end(tail)), cut), 1)
+
+        return F.transform(rest(tails), body)
 
-    return F.transform(rest(F.split(html, tolerant(start_tag)[0])), body)
+    marked = F.regexp_replace(html, f"({tolerant(start_tag)[0]})", f"$1{_START}")
+    found = F.element_at(F.transform(F.array(F.split(marked, _START)), bodies), 1)
+    return F.transform(found, lambda body: F.replace(body, F.lit(_START), F.lit("")))

@@ -96,3 +96,15 @@ def test_screening_dates(spark):
 def test_date_tokens_drop_times(spark):
     df = spark.createDataFrame([(["Thu 18 Jun 2020", "6:30pm", "Fri 19 Jun 2020"],)], "t array<string>")
     assert df.select(dates.date_tokens(F.col("t")).alias("d")).first().d == ["Thu 18 Jun 2020", "Fri 19 Jun 2020"]
+
+
+def test_only_weekdays_are_no_words(spark):
+    df = spark.createDataFrame([("Ted Sue Won Son Mat Tonday 5 June 2020 (Fri), Friday",)], "t string")
+    assert df.select(dates.without_weekday(F.col("t")).alias("x")).first().x == "Ted Sue Won Son Mat Tonday 5 June 2020 ,"
+
+
+def test_a_telephone_number_is_no_year(spark):
+    rows = [("5 June, call 2834 5678 or 28345678", "http://x/20501234"), ("5 June", "http://x/2019/a"), ("5 June. Call 2034 5678", "http://x")]
+    df = spark.createDataFrame(rows, "text string, url string")
+    found = [r.start_date for r in dates.with_mentioned_dates(df, "text", "url", AS_OF).collect()]
+    assert [d.year for d in found] == [AS_OF.year, 2019, AS_OF.year]

@@ -171,3 +171,25 @@ def test_links_and_attributes(spark):
 
 def test_count_of(spark):
     assert one(spark, K.count_of(F.col("t"), "to").cast("int"), t="to October to") == 3
+
+
+def test_element_inside_one_of_its_own_kind(spark):
+    page = "x<div class=\"c\">a<div class=\"c\">b</div>c</div>z<DIV class='c'>d<div>e</div>f</DIV>"
+    assert one(spark, H.element_bodies(F.col("t"), '<div class="c"[^>]*>'), t=page) == ['a<div class="c">b</div>c', "b", "d<div>e</div>f"]
+
+
+def test_fee_amount_of_any_length(spark):
+    assert str(one(spark, X.fee_amount(F.col("t")), t="$123,456,789.00")) == "123456789.00"
+    assert str(one(spark, X.fee_amount(F.col("t")), t="HKD 120")) == "120.00"
+
+
+def test_references(spark):
+    text = "A&ndash;B &#8211; &#x2013; &copy 2020 &#128; &#99999999; &amp;lt; &nosuch; &lt;"
+    assert one(spark, X.unescape(X.decode_references(F.col("t"))), t=text) == "A–B – – © 2020 € � &lt; &nosuch; <"
+
+
+def test_attributes_as_pages_have_them(spark):
+    page = "<A HREF='/x'> <a href='/y'> <a href=\"/z?a=1&amp;b=2\"> <a class=b href=/q>x</a>"
+    assert one(spark, H.link_targets(F.col("t")), t=page) == ["/x", "/y", "/z?a=1&b=2", "/q"]
+    meta = "<META CONTENT='it is' name=description>"
+    assert one(spark, H.meta_content(F.col("t"), "name", "description"), t=meta) == "it is"
