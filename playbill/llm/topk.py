@@ -86,7 +86,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_column: str = "vec
     Rows with the query's own id are no candidates of it. A repeated id is a candidate as often as
     it comes, and one query: the one with the least vector. Vectors are compared with vectors of the
     same length only. Vectors that are NULL, empty, or hold a NULL or non-finite component take no
-    part. An empty table gives no rows.
+    part. Scores are below 2^61 in size. An empty table gives no rows.
     """
     ship(vectors.sparkSession)
     rows = packed(vectors, id_column, vector_column)
@@ -153,7 +153,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_column: str = "vec
 
     # |score| <= norm of the query * greatest norm of the candidates, by length of vectors
     norms = (queries.select("dim", "data").unionByName(rows.select("dim", "data"))).mapInArrow(norm_rows, "dim int, norm double").groupBy("dim").agg(F.max("norm").alias("norm"))
-    reach = F.least(F.ceil(F.col("norm") * F.col("norm")) + 1, F.lit(1 << 61))
+    reach = F.ceil(F.least(F.col("norm") * F.col("norm") * (1 + 1e-9), F.lit(2.0**61))) + 1
     state = queries.join(F.broadcast(norms), "dim").select(
         "q_block", "dim", "vec_id", "data", (-reach).cast("long").alias("low"), (2 * reach + 1).cast("long").alias("width"), F.lit(k).cast("long").alias("left"))
     state = cut_lineage(state)
