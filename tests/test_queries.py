@@ -8,9 +8,10 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 import __spark_entry__ as entry_point  # noqa: E402
+from playbill.plans import catalog  # noqa: E402
 
 FOLDER = Path("/root/testdata/sf0.001")
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="test tables are not there")
 
@@ -44,3 +45,7 @@ def test_entry_has_rows(spark):
 
 def test_every_query_has_sql():
     assert set(ORACLES) == set(QUERIES)
+
+
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLES) <= set(entry_point.oracle_sql())
