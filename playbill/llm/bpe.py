@@ -15,15 +15,18 @@ well-formed UTF-8, so that text comes out as soon as its bytes are complete.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
 ROOT = 0
 NONE = -1
+NODES = (1 << 20) - 1
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -48,7 +51,7 @@ class Transducer:
     """Encodes bytes to token ids. States and transitions are kept up to `max_states`; when they
     are full they are dropped and computed again as needed."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 100_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 250_000):
         self.ranks, self.max_states = ranks, max_states
         self.tokens = {rank: token for token, rank in ranks.items()}
         # the trie as one dictionary: 256 * node + byte -> node; its ends: node -> token
@@ -64,17 +67,29 @@ class Transducer:
                     node = self.trie[key] = nodes
                     nodes += 1
             self.ends[node] = rank
+        self.inner = {key >> 8 for key in self.trie}
         self.pairs: dict[int, bool] = {}
         self.made: dict[int, tuple[int, int] | None] = {}
         self.reset()
 
     def reset(self) -> None:
-        start = ((ROOT, NONE, ()),)
-        self.ids = {start: 0}
-        self.states = [start]
+        # A configuration is one number, 1 << 20 times its tail plus its node; a tail is the last
+        # token and the tokens not yet given out. Numbers keep a state small and quick to compare.
+        self.tail_ids: dict[tuple[int, tuple[int, ...]], int] = {(NONE, ()): 0}
+        self.tails: list[tuple[int, tuple[int, ...]]] = [(NONE, ())]
+        self.ids = {(ROOT,): 0}
+        self.states: list[tuple[int, ...]] = [(ROOT,)]
         self.next: list[dict[int, tuple[tuple[int, ...], int]]] = [{}]
         self.last: list[tuple[int, ...]] = [()]
 
+    def tail(self, before: int, waiting: tuple[int, ...]) -> int:
+        key = (before, waiting)
+        known = self.tail_ids.get(key)
+        if known is None:
+            known = self.tail_ids[key] = len(self.tails)
+            self.tails.append(key)
+        return known
+
     def halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes this one; None for a byte, and for a token that its own
         bytes do not encode to (no text has it)."""
@@ -88,13 +103,10 @@ class Transducer:
         return len(self.tokens[token]) == 1 or self.halves(token) is not None
 
     def follows(self, left: int, right: int) -> bool:
-        """stands(), kept for up to 400,000 pairs."""
-        key = left << 32 | right
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) >= 400_000:
-                self.pairs.clear()
-            known = self.pairs[key] = self.stands(left, right)
+        """Whether `right` may come after `left`, or first (NONE); kept for up to 400,000 pairs."""
+        if len(self.pairs) >= 400_000:
+            self.pairs.clear()
+        known = self.pairs[left << 32 | right] = self.alone(right) and (left == NONE or self.stands(left, right))
         return known
 
     def stands(self, left: int, right: int) -> bool:
@@ -121,34 +133,45 @@ class Transducer:
 
     def step(self, state: int, byte: int) -> tuple[tuple[int, ...], int]:
         """Compute one transition: the tokens it gives out and the state it leads to."""
-        trie, ends = self.trie, self.ends
-        found, ended = [], None
-        for node, before, waiting in self.states[state]:  # the longest token first
-            node = trie.get(node << 8 | byte)
-            if node is None:
+        trie, ends, inner, tails, pairs = self.trie, self.ends, self.inner, self.tails, self.pairs
+        found, ended = [], False
+        for configuration in self.states[state]:  # the longest token first
+            node = configuration & NODES
+            to = trie.get(node << 8 | byte)
+            if to is None:
                 continue
-            found.append((node, before, waiting))
-            token = ends.get(node)
-            if token is not None and ended is None and self.alone(token) and (before == NONE or self.follows(before, token)):
-                ended = (ROOT, token, (*waiting, token))  # no other token can end here
-        found.append(ended)
-        out = ended[2]
-        for _, _, waiting in found:
-            while out != waiting[: len(out)]:
-                out = out[:-1]
+            if to in inner:  # else no token goes on from here
+                found.append(configuration - node + to)
+            if not ended and to in ends:
+                token = ends[to]
+                before, waiting = tails[configuration >> 20]
+                fits = pairs.get(before << 32 | token)
+                if fits is None:
+                    fits = self.follows(before, token)
+                if fits:  # no other token can end here
+                    ended, start = True, self.tail(token, (*waiting, token)) << 20
+        found.append(start)
+        out = tails[found[0] >> 20][1]
         if out:
-            given = len(out)
-            found = [(node, before, waiting[given:]) for node, before, waiting in found]
+            for configuration in found:
+                waiting = tails[configuration >> 20][1]
+                while out != waiting[: len(out)]:
+                    out = out[:-1]
+            if out:
+                given = len(out)
+                found = [self.tail(before, waiting[given:]) << 20 | node for (before, waiting), node in ((tails[c >> 20], c & NODES) for c in found)]
         reached = tuple(found)
         target = self.ids.get(reached)
         if target is None:
             if len(self.states) >= self.max_states:
+                known = [self.tails[c >> 20] for c in reached]
                 self.reset()
-                state = self.ids.get(None, NONE)
+                state = NONE  # what it was is dropped
+                reached = tuple(self.tail(*tail) << 20 | c & NODES for tail, c in zip(known, reached, strict=True))
             target = self.ids[reached] = len(self.states)
             self.states.append(reached)
             self.next.append({})
-            self.last.append(reached[-1][2])
+            self.last.append(self.tails[reached[-1] >> 20][1])
         if state != NONE:
             self.next[state][byte] = (out, target)
         return out, target
@@ -238,30 +261,33 @@ class Decoder:
 
 
 class Codec:
-    """Pattern, transducer and decoder of one vocabulary, with a bounded table of pieces already
-    encoded (it is emptied when full)."""
+    """Pattern, transducer and decoder of one vocabulary, with the pieces encoded last: at least
+    `max_pieces` and at most twice as many."""
 
-    def __init__(self, data: bytes, pattern: str, max_pieces: int = 400_000):
+    def __init__(self, data: bytes, pattern: str, max_pieces: int = 300_000):
         self.find = regex.compile(pattern).findall
         self.machine = Transducer(read_ranks(data))
         self.decoder = Decoder(self.machine.tokens)
         self.max_pieces = max_pieces
         self.pieces: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
-        pieces = self.pieces
+        known = self.pieces.get
         for piece in self.find(text):
-            ids = pieces.get(piece)
-            if ids is None:
-                ids = self.machine.encode(piece.encode())
-                if len(piece) <= 64:
-                    if len(pieces) >= self.max_pieces:
-                        pieces.clear()
-                    pieces[piece] = ids
-            out += ids
+            out += known(piece) or self.fresh(piece)
         return out
 
+    def fresh(self, piece: str) -> list[int]:
+        ids = self.older.get(piece) or self.machine.encode(piece.encode())
+        if len(piece) <= 64:
+            if len(self.pieces) >= self.max_pieces:
+                self.older = self.pieces.copy()
+                self.pieces.clear()
+            self.pieces[piece] = ids
+        return ids
+
 
 CODECS: dict[bytes, Codec] = {}
 
@@ -289,6 +315,7 @@ def encoded(docs: DataFrame, vocabulary: bytes, pattern: str, id_column: str = "
     kind = docs.schema[id_column].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # the tables are large and without cycles; searching them for cycles takes a fifth of the time
         own = codec(sent.value, pattern)
         names: dict[int, str] = {token: str(token) for token in own.machine.tokens}
         name, token_bytes = names.__getitem__, own.machine.tokens.__getitem__
@@ -303,11 +330,12 @@ def encoded(docs: DataFrame, vocabulary: bytes, pattern: str, id_column: str = "
                 back.append(hashlib.sha256(data).hexdigest())
                 same.append(own.decoder.text(found) == text)
                 if ids:
-                    lists.append(pa.array(found, pa.int32()))
+                    lists.append(np.array(found, np.int32))
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), pa.array(back, pa.string()), pa.array(same, pa.bool_())]
             labels = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "round_trip"]
             if ids:
-                columns.append(pa.array(lists, pa.list_(pa.int32())))
+                offsets = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*lists, np.empty(0, np.int32)]))))
                 labels.append("ids")
             yield pa.RecordBatch.from_arrays(columns, labels)
 
