@@ -58,10 +58,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after the other, from `documents`."""
-    docs = table(spark, sf_dir, "documents")
+    """The stages one after the other, from `documents`. What a stage wrote goes when the next one
+    has written its own; the last stage's files stay, as the result is read from them."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_dir(spark, f"pipeline-{name.replace(' ', '-')}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(before)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        before = path
     return docs
