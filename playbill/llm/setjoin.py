@@ -155,43 +155,106 @@ def linked(sets: DataFrame, candidates: DataFrame, num: int, den: int) -> DataFr
     yet connected to the largest part of its group meets the tiles of neighbouring bands.
     """
     groups = cut_lineage(connected(candidates).selectExpr("node AS id", "component AS family"))
-    sized = sets.join(groups, "id").withColumn("n", F.size("items").cast("long"))
-    sized = cut_lineage(sized)
-    band = F.floor(F.log("n") / F.log(F.lit(BAND)) + 1e-9).cast("int")
+    sized = join_bounded(sets, groups, ["id"], "inner", 24).withColumn("n", F.size("items").cast("long"))
+    sized = cut_lineage(sized.withColumn("band", F.floor(F.log("n") / F.log(F.lit(BAND)) + 1e-9).cast("int")))
     whole = sized.groupBy("family").agg(F.sum("n").alias("items_here"))
-    banded = sized.withColumn("band", band).groupBy("family", "band").agg(F.sum("n").alias("items_band"))
-    plan = banded.join(whole, "family").select(
+    banded = sized.groupBy("family", "band").agg(F.sum("n").alias("items_band"))
+    plan = cut_lineage(banded.join(whole, "family").select(
         "family", "band",
         (F.col("items_here") > TILE_ITEMS).alias("large"),
-        F.ceil(F.col("items_band") / TILE_ITEMS).cast("int").alias("slices"))
-    plan = cut_lineage(plan)
-    placed = join_bounded(sized.withColumn("band", band), plan, ["family", "band"], "inner", 40)
-    member = F.struct("id", F.lit(0).alias("side"), "items")
+        F.ceil(F.col("items_band") / TILE_ITEMS).cast("int").alias("slices")))
     tile = F.when(F.col("large"), F.struct("band", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int").alias("slice"))).otherwise(F.struct(F.lit(-1).alias("band"), F.lit(0).alias("slice")))
-    placed = placed.withColumn("tile", tile)
-    first = cut_lineage(tiles_to_links(placed.groupBy("family", "tile").agg(F.collect_list(member).alias("members")), num, den))
-
-    # large families: sets outside the largest connected part meet the other tiles
-    parts = placed.where("large").select("id", "family", "n", "tile", "items", "slices").join(
-        connected(first).selectExpr("node AS id", "component AS part"), "id", "left").withColumn("part", F.coalesce("part", "id"))
-    parts = cut_lineage(parts)
-    mass = parts.groupBy("family", "part").agg(F.sum("n").alias("mass"))
+    placed = join_bounded(sized, plan, ["family", "band"], "inner", 40).withColumn("tile", tile)
+    members = placed.select("family", "tile", F.struct("id", F.lit(0).alias("side"), "items").alias("member"))
+    first = cut_lineage(tiles_to_links(members.groupBy("family", "tile").agg(F.collect_list("member").alias("members")), num, den))
+
+    # large families: sets outside the largest connected part meet the other tiles. Narrow rows first
+    large = placed.where("large").select("id", "family", "n", "tile")
+    large = cut_lineage(large.join(connected(first).selectExpr("node AS id", "component AS part"), "id", "left").withColumn("part", F.coalesce("part", "id")))
+    mass = large.groupBy("family", "part").agg(F.sum("n").alias("mass"))
     largest = mass.groupBy("family").agg(F.max(F.struct("mass", "part")).alias("top"), F.count("*").alias("parts")).where("parts > 1").selectExpr("family", "top.part AS top")
-    open_ = parts.join(largest, "family")
-    strays = open_.where("part <> top")
-    stray_slices = strays.groupBy("family", F.col("tile.band").alias("stray_band")).agg(F.ceil(F.sum("n") / TILE_ITEMS).cast("int").alias("stray_slices"))
-    homes = open_.select("id", "family", "items", "tile").join(stray_slices, "family").where("abs(tile.band - stray_band) <= 1")
-    homes = homes.select("id", "family", "items", "tile", "stray_band", F.explode(F.sequence(F.lit(0), F.col("stray_slices") - 1)).alias("stray_slice"))
-    all_tiles = open_.select("family", "tile").distinct()
-    visitors = strays.withColumnRenamed("tile", "own").join(stray_slices, "family").where("own.band = stray_band")
+    still = large.join(largest, "family").select("id", "family", "n", "tile", "part", (F.col("part") != F.col("top")).alias("stray"))
+    still = cut_lineage(still)
+    strays = still.where("stray")
+    slices = strays.groupBy("family", F.col("tile.band").alias("stray_band")).agg(F.ceil(F.sum("n") / TILE_ITEMS).cast("int").alias("stray_slices"))
+    near_bands = "abs(tile.band - stray_band) <= 1"
+    homes = still.select("id", "part", "family", "tile").join(slices, "family").where(near_bands)
+    homes = homes.select("id", "part", F.lit(0).alias("side"), "family", "tile", "stray_band", F.explode(F.sequence(F.lit(0), F.col("stray_slices") - 1)).alias("stray_slice"))
+    visitors = strays.select("id", "part", "family", F.col("tile.band").alias("stray_band")).join(slices, ["family", "stray_band"])
     visitors = visitors.withColumn("stray_slice", F.pmod(F.xxhash64("id", F.lit(1)), "stray_slices").cast("int"))
-    visitors = visitors.select("id", "family", "items", "stray_band", "stray_slice").join(all_tiles, "family").where("abs(tile.band - stray_band) <= 1")
-    meeting = homes.select("family", "tile", "stray_band", "stray_slice", F.struct("id", F.lit(0).alias("side"), "items").alias("member")).union(
-        visitors.select("family", "tile", "stray_band", "stray_slice", F.struct("id", F.lit(1).alias("side"), "items").alias("member")))
-    second = tiles_to_links(meeting.groupBy("family", "tile", "stray_band", "stray_slice").agg(F.collect_list("member").alias("members")), num, den)
+    visitors = visitors.join(still.select("family", "tile").distinct(), "family").where(near_bands)
+    visitors = visitors.select("id", "part", F.lit(1).alias("side"), "family", "tile", "stray_band", "stray_slice")
+    meeting = homes.union(visitors)
+    # the bitmaps meet first: only sets whose bound leaves a link open are brought together
+    place = ["family", "tile", "stray_band", "stray_slice"]
+    wanted = cut_lineage(still.select("id").distinct())
+    bitmaps = cut_lineage(to_bitmaps(join_bounded(sized.select("id", "items"), wanted, ["id"], "left_semi", 16)))
+    meeting = bitmaps.join(meeting, "id").select(*place, F.struct("id", "part", "side", "n", "bitmap").alias("member"))
+    needed = cut_lineage(open_pairs(meeting.groupBy(*place).agg(F.collect_list("member").alias("members")), place, num, den))
+    meeting = join_bounded(sized.select("id", "items"), needed, ["id"], "inner", 80).select(*place, F.struct("id", "side", "items").alias("member"))
+    second = tiles_to_links(meeting.groupBy(*place).agg(F.collect_list("member").alias("members")), num, den)
     return connected(first.union(second))
 
 
+def to_bitmaps(sets: DataFrame) -> DataFrame:
+    """(id, n, bitmap): the elements hashed to bits, at least eight times as many bits as elements."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            bounds, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+            maps = []
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                bits = max(64, 1 << int(8 * (b - a) - 1).bit_length())
+                where = (mix(values[a:b].view(np.uint64)) % np.uint64(bits)).astype(np.int64)
+                bitmap = np.zeros(bits // 8, np.uint8)
+                np.bitwise_or.at(bitmap, where >> 3, (1 << (where & 7)).astype(np.uint8))
+                maps.append(bitmap.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(bounds).astype(np.int64)), pa.array(maps, pa.binary())], ["id", "n", "bitmap"])
+
+    return sets.select("id", "items").mapInArrow(rows, "id long, n long, bitmap binary")
+
+
+def folded(bitmaps: list[bytes], words: int) -> np.ndarray:
+    """Bitmaps of any power of two of bits, folded to `words` 64-bit words each."""
+    out = np.zeros((len(bitmaps), words), np.uint64)
+    for i, data in enumerate(bitmaps):
+        out[i] = np.bitwise_or.reduce(np.frombuffer(data, np.uint64).reshape(-1, words), axis=0)
+    return out
+
+
+def open_pairs(tiles: DataFrame, place: list[str], num: int, den: int) -> DataFrame:
+    """(place, id, side) of the members of a tile that may link with one of the other side and of
+    another part: the bits two bitmaps share, and what collisions may hide, bound the overlap."""
+    kinds = tiles.select(*place, F.lit(0).cast("long").alias("id"), F.lit(0).alias("side")).schema
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            members = batch.column(len(place))
+            starts = members.offsets.to_numpy()
+            ids, parts, sides, sizes = (members.values.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+            bitmaps = members.values.field(4)
+            for k in range(len(batch)):
+                a, b = starts[k], starts[k + 1]
+                data = bitmaps[a:b].to_pylist()
+                maps = folded(data, min(map(len, data)) // 8)
+                own, part, side, size = ids[a:b], parts[a:b], sides[a:b], sizes[a:b]
+                spare = size - np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
+                home, needed = np.flatnonzero(side == 0), np.zeros(b - a, bool)
+                for v in np.flatnonzero(side == 1):
+                    near = home[(part[home] != part[v]) & (np.minimum(size[home], size[v]) * den >= np.maximum(size[home], size[v]) * num)]
+                    most = np.bitwise_count(maps[near] & maps[v]).sum(axis=1, dtype=np.int64) + np.minimum(spare[near], spare[v])
+                    near = near[(num + den) * most >= num * (size[near] + size[v])]
+                    needed[near] = True
+                    needed[v] |= len(near) > 0
+                found = np.flatnonzero(needed)
+                if len(found):
+                    same = batch.select(list(range(len(place)))).take(pa.array(np.full(len(found), k)))
+                    yield pa.RecordBatch.from_arrays([*same.columns, pa.array(own[found]), pa.array(side[found].astype(np.int32))], [*place, "id", "side"])
+
+    return tiles.select(*place, "members").mapInArrow(rows, kinds)
+
+
 def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of docs.
 
@@ -253,6 +316,18 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", **settings) -> DataFrame:
+    """The rows of docs, all their columns, with one document of each group of near copies: the one
+    with the smallest id. Of rows that repeat an id one stays, the least by text; rows with a NULL id stay."""
+    found = near_copies(docs, id_column, **settings)
+    kept = cut_lineage(found.where("doc_id = component_id").groupBy(F.col("doc_id").alias(id_column)).agg(F.count("*").alias("_times")))
+    rows = join_bounded(docs.where(F.col(id_column).isNotNull()), kept, [id_column], "inner", 24).select(*docs.columns, "_times")
+    single = rows.where("_times = 1").select(*docs.columns)
+    # rows of a repeated id: pre-aggregated in every task, so an id with very many rows is one row a task
+    several = rows.where("_times > 1").groupBy(id_column).agg(F.min(F.struct(*docs.columns)).alias("row")).select(*(F.col("row")[c].alias(c) for c in docs.columns))
+    return single.unionByName(several).unionByName(docs.where(F.col(id_column).isNull()))
+
+
 def colliding(keyed: DataFrame) -> DataFrame:
     """Distinct (a, b): b the smallest id with the same key. The postings (key, id) are sorted by
     key in their partitions and read as a stream, so a key with very many ids takes no memory."""
