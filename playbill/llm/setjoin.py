@@ -25,6 +25,7 @@ from playbill.session import cut_lineage
 
 BAND = 1.5  # ratio of the sizes of a band
 TILE_ITEMS = 1 << 18  # elements in a tile, about 2 MB
+WIDE = 4  # tiles that meet as one when bitmaps are compared
 
 
 def band_of(size: int) -> int:
@@ -173,10 +174,11 @@ def linked(sets: DataFrame, candidates: DataFrame, num: int, den: int) -> DataFr
     large = cut_lineage(large.join(connected(first).selectExpr("node AS id", "component AS part"), "id", "left").withColumn("part", F.coalesce("part", "id")))
     mass = large.groupBy("family", "part").agg(F.sum("n").alias("mass"))
     largest = mass.groupBy("family").agg(F.max(F.struct("mass", "part")).alias("top"), F.count("*").alias("parts")).where("parts > 1").selectExpr("family", "top.part AS top")
-    still = large.join(largest, "family").select("id", "family", "n", "tile", "part", (F.col("part") != F.col("top")).alias("stray"))
+    wide = F.struct(F.col("tile.band").alias("band"), F.floor(F.col("tile.slice") / WIDE).cast("int").alias("slice")).alias("tile")
+    still = large.join(largest, "family").select("id", "family", "n", wide, "part", (F.col("part") != F.col("top")).alias("stray"))
     still = cut_lineage(still)
     strays = still.where("stray")
-    slices = strays.groupBy("family", F.col("tile.band").alias("stray_band")).agg(F.ceil(F.sum("n") / TILE_ITEMS).cast("int").alias("stray_slices"))
+    slices = strays.groupBy("family", F.col("tile.band").alias("stray_band")).agg(F.ceil(F.sum("n") / (WIDE * TILE_ITEMS)).cast("int").alias("stray_slices"))
     near_bands = "abs(tile.band - stray_band) <= 1"
     homes = still.select("id", "part", "family", "tile").join(slices, "family").where(near_bands)
     homes = homes.select("id", "part", F.lit(0).alias("side"), "family", "tile", "stray_band", F.explode(F.sequence(F.lit(0), F.col("stray_slices") - 1)).alias("stray_slice"))
