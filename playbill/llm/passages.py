@@ -1,8 +1,10 @@
 """Repeated passages inside documents: paragraph MinHash banding with exact verification.
 
-Two kinds of paragraph are compared. Natural ones are the lines of a text: MinHash bands of their
-five-word shingles find candidates, exact Jaccard verifies them, and components of verified pairs
-are clusters. A passage that was copied into the middle of other lines has no line of its own, so
+Two kinds of paragraph are compared. Natural ones are the lines of a text from one shingle on, and
+runs of neighbouring lines shorter than `min_words`: all between two blank or long lines, and their
+sections at line borders that the words beside them choose. MinHash bands of their five-word
+shingles find candidates, exact Jaccard verifies them, and components of verified pairs are
+clusters. A passage that was copied into the middle of other lines has no line of its own, so
 content-defined paragraphs are compared as well: windows of `min_words` words that begin where the
 text itself says so (the least word-pair hash of any 16 in a row), so that two copies of a passage
 have windows at the same words. These have to be equal; that is a band of one hash.
@@ -13,6 +15,7 @@ Of every cluster the document with the smallest id keeps its paragraphs, the oth
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +29,7 @@ from playbill.session import cut_lineage
 
 SHINGLE = 5
 GAP = 16  # any GAP word pairs in a row have an anchor
+LINES = np.uint64(4)  # lines in a section of short lines, on average
 SLICE, SLICE_BYTES = 128, 4 << 20  # texts handled at once
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -90,10 +94,25 @@ class Texts:
         at = at[at + words <= self.ends[self.text_of_word[at] + 1]]
         return at, self.text_of_word[at]
 
-    def lines(self, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start, end and text of the lines of min_words or more."""
-        long = np.flatnonzero(self.borders[1:] - self.borders[:-1] >= min_words)
-        return self.borders[long], self.borders[long + 1], self.text_of_line[long]
+    def paragraphs(self, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Start, end and text of the lines of a shingle or more and of runs of two or more lines
+        shorter than min_words, and whether such lines make it up. Runs end at blank lines, longer
+        lines and texts; their sections end at chosen line borders too."""
+        starts, ends, owner = self.borders[:-1], self.borders[1:], self.text_of_line
+        words = ends - starts
+        short = (words > 0) & (words < min_words)
+        joins = short[1:] & short[:-1] & (owner[1:] == owner[:-1])
+        chosen = np.zeros(len(joins), bool)
+        b = starts[1:][joins]
+        chosen[joins] = mix(self.hashes[b - 1] * BASE + self.hashes[b]) % LINES == 0
+        first, last = [np.arange(len(words))], [np.arange(len(words))]
+        for together in (joins, joins & ~chosen):
+            edges = np.diff(np.concatenate([[False], together, [False]]).astype(np.int8))
+            first.append(np.flatnonzero(edges == 1))
+            last.append(np.flatnonzero(edges == -1))
+        lines = np.unique(np.stack([np.concatenate(first), np.concatenate(last)], axis=1), axis=0)
+        lines = lines[ends[lines[:, 1]] - starts[lines[:, 0]] >= SHINGLE]
+        return starts[lines[:, 0]], ends[lines[:, 1]], owner[lines[:, 0]], short[lines[:, 0]]
 
     def shingles(self) -> np.ndarray:
         return grams(self.hashes, SHINGLE) if len(self.hashes) >= SHINGLE else np.empty(0, np.uint64)
@@ -107,9 +126,11 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     smallest id of those that keep them. version: a hash of the text, which tells texts with one id
     apart. Found are all passages of min_words + 16 words or more that two documents share word for
     word (A-Z in lower case, any white space), except up to 15 words at either end where it is not
-    a line of its own; and lines of min_words or more whose five-word shingles have a Jaccard of
-    num / den or more, with the recall that the bands are tuned for. Passages that only one document
-    repeats stay. NULL and empty texts and NULL ids have no spans; the rows of one id are one
+    a line of its own; and lines of five words or more, and paragraphs of shorter lines than
+    min_words, whose five-word shingles have a Jaccard of num / den or more, with the recall that
+    the bands are tuned for. Where a near copy of short lines is one only by an equal run of
+    min_words or more that ends inside it, the words past the run's end stay. Passages that only
+    one document repeats stay. NULL and empty texts and NULL ids have no spans; the rows of one id are one
     document; an empty table gives no rows.
     """
     bands, rows_of_band = tuned_bands(num / den, recall), 3
@@ -119,24 +140,25 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("binary").alias("text"), F.hash(text_column).alias("version"))
 
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """kind 0: windows, 1: lines, 2: bands of lines (doc_id is the line's key)."""
+        """kind 0: windows, 1: paragraphs, 2: bands of paragraphs (doc_id is the paragraph's key)."""
         for batch in batches:
             data = batch.column(1).to_pylist()
             for a, n in slices(list(map(len, data)), SLICE, SLICE_BYTES):
                 part, texts = batch.slice(a, n), Texts(data[a : a + n])
                 ids, versions = part.column(0).to_numpy(), part.column(2).to_numpy()
                 at, text_of_window = texts.windows(min_words)
-                starts, ends, text_of_line = texts.lines(max(min_words, SHINGLE))
+                starts, ends, text_of_line, short = texts.paragraphs(min_words)
                 start, end, owner = np.concatenate([at, starts]), np.concatenate([at + min_words, ends]), np.concatenate([text_of_window, text_of_line])
                 if not len(start):
                     continue
                 key, check = texts.sections(start, end)
                 kind = np.repeat(np.array([0, 1], np.int32), [len(at), len(starts)])
                 first = texts.ends[owner]
-                yield rows_of(kind, key, check, ids[owner], versions[owner], start - first, end - first)
+                yield rows_of(kind, key, check, ids[owner], versions[owner], start - first, end - first, np.concatenate([np.zeros(len(at), bool), short]))
                 if not len(starts):
                     continue
-                names = key[len(at) :]
+                names, each = np.unique(key[len(at) :], return_index=True)
+                starts, ends = starts[each], ends[each]
                 five = np.append(texts.shingles(), np.uint64(0))
                 cuts = np.stack([starts, ends - SHINGLE + 1], axis=1).ravel()
                 for b in range(bands):
@@ -144,18 +166,18 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
                     for k in range(b * rows_of_band, (b + 1) * rows_of_band):
                         total = mix(total * BASE + np.minimum.reduceat(five * factors[k] + shifts[k], cuts)[::2])
                     zero = np.zeros(len(names), np.int32)
-                    yield rows_of(zero + 2, total.view(np.int64), zero, names, zero, zero, zero)
+                    yield rows_of(zero + 2, total.view(np.int64), zero, names, zero, zero, zero, zero)
 
     def rows_of(*values: np.ndarray) -> pa.RecordBatch:
-        kinds = (np.int32, np.int64, np.int32, np.int64, np.int32, np.int32, np.int32)
-        return pa.RecordBatch.from_arrays([pa.array(v.astype(t)) for v, t in zip(values, kinds, strict=True)], ["kind", "key", "check", "doc_id", "version", "start", "end"])
+        kinds = (np.int32, np.int64, np.int32, np.int64, np.int32, np.int32, np.int32, bool)
+        return pa.RecordBatch.from_arrays([pa.array(v.astype(t)) for v, t in zip(values, kinds, strict=True)], ["kind", "key", "check", "doc_id", "version", "start", "end", "short"])
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, sets = [], []
             for data, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 texts, wanted = Texts([data]), set(wanted)
-                starts, ends, _ = texts.lines(max(min_words, SHINGLE))
+                starts, ends, _, _ = texts.paragraphs(min_words)
                 five = texts.shingles()
                 for name, s, e in zip(texts.sections(starts, ends)[0].tolist(), starts, ends, strict=True):
                     if name in wanted:
@@ -166,7 +188,7 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
                 offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))], ["id", "items"])
 
-    made = source.select("doc_id", "text", "version").mapInArrow(units, "kind int, key long, check int, doc_id long, version int, start int, end int")
+    made = source.select("doc_id", "text", "version").mapInArrow(units, "kind int, key long, check int, doc_id long, version int, start int, end int, short boolean")
     with stored(made, "passages", "kind") as made:
         return spans_of(source, made, to_sets, num, den)
 
@@ -176,12 +198,12 @@ def spans_of(source: DataFrame, made: DataFrame, to_sets, num: int, den: int) ->
     same = ["kind", "key", "check"]
     real = made.where("kind < 2")
     first = real.groupBy(*same).agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("last")).where("kept < last").drop("last")
-    equal = real.join(first, same).where("doc_id <> kept").select("doc_id", "version", "start", "end", "kept")
+    equal = real.join(first, same).where("doc_id <> kept").select("doc_id", "version", "start", "end", "kept", F.lit(False).alias("loose"))
 
-    # near copies of lines: each different line is one node
+    # near copies of paragraphs: each different paragraph is one node
     close = colliding(made.where("kind = 2").select("key", F.col("doc_id").alias("id")).distinct())
     nodes = cut_lineage(close.select(F.col("a").alias("key")).union(close.select("b")).distinct())
-    lines = made.where("kind = 1").select("key", "doc_id", "version", "start", "end")
+    lines = made.where("kind = 1").select("key", "doc_id", "version", "start", "end", "short")
     lines = cut_lineage(join_bounded(lines, nodes, ["key"], "inner", 16))
     homes = lines.groupBy("key").agg(F.min(F.struct("doc_id", "version")).alias("home")).select("key", "home.doc_id", "home.version")
     wanted = cut_lineage(homes.groupBy("doc_id", "version").agg(F.collect_list("key").alias("wanted")))
@@ -189,18 +211,51 @@ def spans_of(source: DataFrame, made: DataFrame, to_sets, num: int, den: int) ->
     clusters = linked(sets, close, num, den).withColumnRenamed("node", "key")
     near = lines.join(clusters, "key")
     keepers = near.groupBy("component").agg(F.min("doc_id").alias("kept"))
-    near = near.join(keepers, "component").where("doc_id <> kept").select("doc_id", "version", "start", "end", "kept")
-
-    spans = equal.union(near).groupBy("doc_id", "version").agg(F.sort_array(F.collect_list(F.struct("start", "end", "kept"))).alias("spans"))
-    merged = F.aggregate(
-        "spans", F.array().cast(SPAN),
-        lambda done, x: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["end"] >= x["start"]),
-            F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(
-                F.element_at(done, -1)["start"].alias("start"), F.greatest(F.element_at(done, -1)["end"], x["end"]).alias("end"),
-                F.least(F.element_at(done, -1)["kept"], x["kept"]).alias("kept")))),
-        ).otherwise(F.concat(done, F.array(x))))
-    return cut_lineage(spans.select("doc_id", "version", merged.alias("spans")))
+    near = near.join(keepers, "component").where("doc_id <> kept").select("doc_id", "version", "start", "end", "kept", F.col("short").alias("loose"))
+
+    spans = equal.union(near).groupBy("doc_id", "version").agg(F.collect_set(F.struct("start", "end", "kept", "loose")).alias("spans"))
+    return cut_lineage(spans.mapInArrow(to_merged, f"doc_id long, version int, spans {SPAN}"))
+
+
+def merged(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Spans (start, end, kept) that touch become one, with the smallest kept."""
+    done: list[tuple[int, int, int]] = []
+    for start, end, kept in sorted(spans):
+        if done and done[-1][1] >= start:
+            done[-1] = (done[-1][0], max(done[-1][1], end), min(done[-1][2], kept))
+        else:
+            done.append((start, end, kept))
+    return done
+
+
+def within_borders(equal: list[tuple[int, int, int]], loose: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The loose spans without those into which an equal run reaches over one border, if the word
+    past their other border stays: there the run's end is the end of what is shared."""
+    runs = merged(equal)
+    starts, ends = [r[0] for r in runs], [r[1] for r in runs]
+    covered = merged(equal + loose)
+    first = {s for s, _, _ in covered}
+    last = {e for _, e, _ in covered}
+    found = []
+    for start, end, kept in loose:
+        over = bisect_right(starts, start) - 1  # the run that may hold the word at start
+        under = bisect_left(ends, end)  # the run that may hold the last word
+        from_left = over >= 0 and starts[over] < start < ends[over] < end and end in last
+        from_right = under < len(runs) and start < starts[under] < end < ends[under] and start in first
+        if not (from_left or from_right):
+            found.append((start, end, kept))
+    return found
+
+
+def to_merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The spans of each document, loose ones within the borders of equal runs, merged."""
+    for batch in batches:
+        rows = []
+        for spans in batch.column(2).to_pylist():
+            equal, loose = ([(x["start"], x["end"], x["kept"]) for x in spans if x["loose"] is kind] for kind in (False, True))
+            rows.append([dict(zip(("start", "end", "kept"), x, strict=True)) for x in merged(equal + within_borders(equal, loose))])
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kept", pa.int64())]))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, kind)], ["doc_id", "version", "spans"])
 
 
 def removals(docs: DataFrame, **settings) -> DataFrame:

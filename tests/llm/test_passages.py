@@ -81,3 +81,50 @@ def test_odd_rows(spark, docs_of):
 def test_tuned_bands():
     b = passages.tuned_bands(0.8, 0.995)
     assert 1 - (1 - 0.8**3) ** b >= 0.995 > 1 - (1 - 0.8**3) ** (b - 1)
+
+
+def test_short_lines_and_paragraphs_of_them(spark, docs_of):
+    """Against brute force over all lines and blank-line paragraphs, all shorter than a window."""
+
+    def shingles(words):
+        return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+
+    def near(a, b):
+        a, b = shingles(a), shingles(b)
+        return bool(a) and len(a & b) >= 0.8 * len(a | b)
+
+    lines = [prose(n) for n in (5, 9, 20, 28, 31)]
+    block = [prose(9) for _ in range(9)]
+    changed = [list(x) for x in block]
+    changed[4][4] = "changed"
+    texts = {}
+    for i in range(12):
+        own = [prose(DRAW.randrange(1, 31)) for _ in range(6)]
+        for line in DRAW.sample(lines, 2):
+            copy = list(line)
+            if i % 2:
+                copy[-1] = f"end{i}"
+            own[DRAW.randrange(6)] = copy
+        texts[i] = [[x] for x in own]
+    texts[20] = [[prose(7)], block, [prose(6)]]
+    texts[21] = [[prose(8)], changed, [prose(7)]]
+    flow = sum(block, [])
+    texts[22] = [[flow[k : k + 13] for k in range(0, len(flow), 13)]]  # other line borders
+    df = docs_of([(i, "\n\n".join("\n".join(map(" ".join, x)) for x in t)) for i, t in texts.items()])
+    lost = {i: set() for i in texts}
+    for r in passages.removals(df).collect():
+        lost[r.doc_id] |= set(range(r.start_word, r.end_word))
+    units = []
+    for i, paragraphs in texts.items():
+        at = 0
+        for paragraph in paragraphs:
+            units.append((i, at, sum(paragraph, [])))
+            for line in paragraph:
+                units.append((i, at, line))
+                at += len(line)
+    expected = {i: set() for i in texts}
+    for i, at, words in units:
+        if len(words) >= 5 and any(j < i and near(words, other) for j, _, other in units):
+            expected[i] |= set(range(at, at + len(words)))
+    assert sum(map(len, expected.values())) > 200
+    assert lost == expected
