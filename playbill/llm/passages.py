@@ -7,7 +7,9 @@ shingles find candidates, exact Jaccard verifies them, and components of verifie
 clusters. A passage that was copied into the middle of other lines has no line of its own, so
 content-defined paragraphs are compared as well: windows of `min_words` words that begin where the
 text itself says so (the least word-pair hash of any 16 in a row), so that two copies of a passage
-have windows at the same words. These have to be equal; that is a band of one hash.
+have windows at the same words. These have to be equal; that is a band of one hash. The windows at
+the ends of what is equal are seeds: their sections longer by 1 to 15 words on one side, which is
+as far as a shared run can reach beyond its outermost windows, meet in the same way.
 
 Of every cluster the document with the smallest id keeps its paragraphs, the others lose them.
 """
@@ -20,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playbill.llm.common import BASE, WORD_HASHES, grams, join_bounded, mix, slices, stored
@@ -33,6 +35,7 @@ LINES = np.uint64(4)  # lines in a section of short lines, on average
 SLICE, SLICE_BYTES = 128, 4 << 20  # texts handled at once
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+SECTION = "kind int, key long, check int, doc_id long, version int, start int, end int, short boolean"
 SPAN = "array<struct<start:int,end:int,kept:long>>"
 
 
@@ -124,9 +127,8 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
 
     spans: merged, in order: words `start` to before `end` (counted from 0) and `kept`, the
     smallest id of those that keep them. version: a hash of the text, which tells texts with one id
-    apart. Found are all passages of min_words + 16 words or more that two documents share word for
-    word (A-Z in lower case, any white space), except up to 15 words at either end where it is not
-    a line of its own; and lines of five words or more, and paragraphs of shorter lines than
+    apart. Found are, in full length, all passages of min_words + 16 words or more that two
+    documents share word for word (A-Z in lower case, any white space); and lines of five words or more, and paragraphs of shorter lines than
     min_words, whose five-word shingles have a Jaccard of num / den or more, with the recall that
     the bands are tuned for. Where a near copy of short lines is one only by an equal run of
     min_words or more that ends inside it, the words past the run's end stay. Passages that only
@@ -188,17 +190,66 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
                 offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))], ["id", "items"])
 
-    made = source.select("doc_id", "text", "version").mapInArrow(units, "kind int, key long, check int, doc_id long, version int, start int, end int, short boolean")
+    made = source.select("doc_id", "text", "version").mapInArrow(units, SECTION)
+    def longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The windows that begin at the places asked for, longer by 1 to GAP - 1 words on one side."""
+        for batch in batches:
+            for a, n in slices(list(map(len, data := batch.column(1).to_pylist())), SLICE, SLICE_BYTES):
+                part, texts = batch.slice(a, n), Texts(data[a : a + n])
+                ids, versions = part.column(0).to_numpy(), part.column(2).to_numpy()
+                found = []
+                for side in (0, 1):
+                    places = part.column(3 + side).to_pylist()
+                    owner = np.repeat(np.arange(n), [len(x or ()) for x in places])
+                    at = np.array([x for some in places for x in some or ()], np.int64) + texts.ends[owner]
+                    owner, at, more = np.repeat(owner, GAP - 1), np.repeat(at, GAP - 1), np.tile(np.arange(1, GAP), len(at))
+                    start, end = (at - more, at + min_words) if side == 0 else (at, at + min_words + more)
+                    inside = (start >= texts.ends[owner]) & (end <= texts.ends[owner + 1])
+                    found.append((owner[inside], start[inside], end[inside]))
+                owner, start, end = map(np.concatenate, zip(*found, strict=True))
+                key, check = texts.sections(start, end)
+                first, zero = texts.ends[owner], np.zeros(len(owner), np.int32)
+                yield rows_of(zero, key, check, ids[owner], versions[owner], start - first, end - first, zero)
+
     with stored(made, "passages", "kind") as made:
-        return spans_of(source, made, to_sets, num, den)
+        return spans_of(source, made, to_sets, longer, num, den)
+
+
+SAME = ["kind", "key", "check"]
+
+
+def equal_to_earlier(sections: DataFrame) -> DataFrame:
+    """The sections that a document with a smaller id has too, with the smallest id: kept."""
+    first = sections.groupBy(*SAME).agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("last")).where("kept < last").drop("last")
+    return sections.join(first, SAME).where("doc_id <> kept")
+
+
+def at_ends(equal: DataFrame) -> DataFrame:
+    """(key, check, left, right): the equal windows less than GAP words from where the words of a
+    document that equal windows cover begin (left) or end (right)."""
+    place = Window.partitionBy("doc_id", "version")
+    up, down = place.orderBy("start"), place.orderBy(F.col("start").desc())
+    windows = equal.where("kind = 0")
+    for name, order, gap in (("began", up, F.col("start") - F.lag("end").over(up)), ("ended", down, F.lag("start").over(down) - F.col("end"))):
+        windows = windows.withColumn("gap", gap).withColumn(name, F.last(F.when(F.col("gap").isNull() | (F.col("gap") > 0), F.col("start" if name == "began" else "end")), True).over(order))
+    windows = windows.select("key", "check", (F.col("start") - F.col("began") < GAP - 1).alias("left"), (F.col("ended") - F.col("end") < GAP - 1).alias("right"))
+    return windows.where("left OR right").groupBy("key", "check").agg(F.max("left").alias("left"), F.max("right").alias("right"))
 
 
-def spans_of(source: DataFrame, made: DataFrame, to_sets, num: int, den: int) -> DataFrame:
+def spans_of(source: DataFrame, made: DataFrame, to_sets, longer, num: int, den: int) -> DataFrame:
     """The spans of the documents, from the paragraphs found in them."""
-    same = ["kind", "key", "check"]
-    real = made.where("kind < 2")
-    first = real.groupBy(*same).agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("last")).where("kept < last").drop("last")
-    equal = real.join(first, same).where("doc_id <> kept").select("doc_id", "version", "start", "end", "kept", F.lit(False).alias("loose"))
+    equal = cut_lineage(equal_to_earlier(made.where("kind < 2")).select("kind", "key", "check", "doc_id", "version", "start", "end", "kept"))
+
+    # equal windows at the ends of what is equal, in every document that has them: longer ones
+    seeds = cut_lineage(at_ends(equal))
+    places = join_bounded(made.where("kind = 0").select("key", "check", "doc_id", "version", "start"), seeds, ["key", "check"], "inner", 24)
+    places = cut_lineage(places.groupBy("doc_id", "version").agg(
+        F.collect_set(F.when(F.col("left"), F.col("start"))).alias("left"), F.collect_set(F.when(F.col("right"), F.col("start"))).alias("right")))
+    texts = join_bounded(source, places, ["doc_id", "version"], "inner", 200).select("doc_id", "text", "version", "left", "right")
+    with stored(texts.mapInArrow(longer, SECTION), "longer", "kind") as sections:
+        more = equal_to_earlier(sections)
+        more = cut_lineage(more.groupBy("doc_id", "version", "start", "kept").agg(F.max("end").alias("end")).select("doc_id", "version", "start", "end", "kept"))
+    equal = equal.select("doc_id", "version", "start", "end", "kept").union(more).withColumn("loose", F.lit(False))
 
     # near copies of paragraphs: each different paragraph is one node
     close = colliding(made.where("kind = 2").select("key", F.col("doc_id").alias("id")).distinct())

@@ -128,3 +128,30 @@ def test_short_lines_and_paragraphs_of_them(spark, docs_of):
             expected[i] |= set(range(at, at + len(words)))
     assert sum(map(len, expected.values())) > 200
     assert lost == expected
+
+
+def test_runs_in_full_length(spark, docs_of):
+    """Every word of every shared run of 48 words or more goes, the borders exactly; the first
+    document with a part of a run need not be the one that shares most of it."""
+    pool = [prose(90) for _ in range(6)]
+    rows = []
+    for i in range(40):
+        run = pool[i % 6]
+        a, b = DRAW.randrange(0, 21), DRAW.randrange(70, 91)
+        rows.append((i, " ".join([*prose(DRAW.randrange(40, 60)), *run[a:b], *prose(40), *run[5:53], *prose(9)])))
+    lost = {i: set() for i, _ in rows}
+    for r in passages.removals(docs_of(rows)).collect():
+        lost[r.doc_id] |= set(range(r.start_word, r.end_word))
+
+    def shared(size):
+        earlier, found = set(), {}
+        for i, text in rows:
+            words = text.split()
+            places = {k: tuple(words[k : k + size]) for k in range(len(words) - size + 1)}
+            found[i] = {k + x for k, w in places.items() if w in earlier for x in range(size)}
+            earlier |= set(places.values())
+        return found
+
+    always, at_most = shared(48), shared(32)
+    assert sum(map(len, always.values())) > 2000
+    assert all(always[i] <= lost[i] <= at_most[i] for i in lost)
