@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playbill.llm import bpe, langid, maintext, mixing, passages, quality, setjoin, topk, toxicity, urls
+from playbill.llm import bpe, chat, langid, maintext, mixing, passages, quality, setjoin, topk, toxicity, urls
 from playbill.llm.common import id_hash_mod, table
 
 
@@ -76,6 +76,12 @@ def op10_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.removals(table(spark, sf_dir, "documents"))
 
 
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, read back from its formatted text and loss mask."""
+    turns = chat.with_probe(spark, table(spark, sf_dir, "conversations"))
+    return chat.digests(chat.formatted(turns))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_main_text": op2_main_text,
@@ -87,5 +93,11 @@ QUERIES = {
     "op8_exact_top_k": op8_exact_top_k,
     "op9_url_rules": op9_url_rules,
     "op10_passage_dedup": op10_passage_dedup,
+    "op11_chat_format": op11_chat_format,
+}
+ORACLES = {
+    "op5_host_quality": quality.ORACLE,
+    "op8_exact_top_k": topk.ORACLE,
+    "op9_url_rules": urls.ORACLE,
+    "op11_chat_format": chat.oracle(),
 }
-ORACLES = {"op5_host_quality": quality.ORACLE, "op8_exact_top_k": topk.ORACLE, "op9_url_rules": urls.ORACLE}
