@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playbill.llm import bpe, chat, langid, maintext, mixing, passages, quality, setjoin, topk, toxicity, urls
+from playbill.llm import bpe, chat, divergence, langid, maintext, mixing, passages, quality, setjoin, topk, toxicity, urls
 from playbill.llm.common import id_hash_mod, table
 
 
@@ -82,6 +82,11 @@ def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.formatted(turns))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of a language, and the terms that set a source apart."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_main_text": op2_main_text,
@@ -94,10 +99,12 @@ QUERIES = {
     "op9_url_rules": op9_url_rules,
     "op10_passage_dedup": op10_passage_dedup,
     "op11_chat_format": op11_chat_format,
+    "op13_source_divergence": op13_source_divergence,
 }
 ORACLES = {
     "op5_host_quality": quality.ORACLE,
     "op8_exact_top_k": topk.ORACLE,
     "op9_url_rules": urls.ORACLE,
     "op11_chat_format": chat.oracle(),
+    "op13_source_divergence": divergence.ORACLE,
 }
