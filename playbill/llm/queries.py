@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playbill.llm import bpe, chat, divergence, langid, maintext, mixing, passages, quality, setjoin, topk, toxicity, urls
+from playbill.llm import alignment, bpe, chat, divergence, langid, maintext, mixing, passages, quality, setjoin, topk, toxicity, urls
 from playbill.llm.common import id_hash_mod, table
 
 
@@ -82,6 +82,12 @@ def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.formatted(turns))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers aligned in every document. No SQL: tested against brute force."""
+    byte_level, pieces = (Path(public_tokenizers.path(name)).read_bytes() for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.aligned(table(spark, sf_dir, "documents"), byte_level, pieces)
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distances between the sources of a language, and the terms that set a source apart."""
     return divergence.audit(table(spark, sf_dir, "documents"))
@@ -99,6 +105,7 @@ QUERIES = {
     "op9_url_rules": op9_url_rules,
     "op10_passage_dedup": op10_passage_dedup,
     "op11_chat_format": op11_chat_format,
+    "op12_token_alignment": op12_token_alignment,
     "op13_source_divergence": op13_source_divergence,
 }
 ORACLES = {
