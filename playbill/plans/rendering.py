@@ -325,7 +325,8 @@ def the_mills(df: DataFrame) -> DataFrame:
 
 
 def film_archive(df: DataFrame) -> DataFrame:
-    """Five layouts: two with paragraphs, two with a table, one of the partner's pages."""
+    """Five layouts: two with paragraphs, two with a table, one of the partner's pages. Some pages with
+    paragraphs have a table too, and some tables no place, which is in a box then."""
     n, slash = F.col("n"), "d/M/yyyy"
     dates = F.when(
         n == 1, F.concat(_fmt("d", slash + " (EEE)"), F.lit(" - "), _fmt("e", slash + " (EEE)"))
@@ -345,6 +346,8 @@ def film_archive(df: DataFrame) -> DataFrame:
         "<tr><td>{first}</td><td>7pm</td><td> {hall} </td></tr><tr><td>{second}</td><td>8pm</td><td>Other</td></tr>"
         "</tbody></table></div>"
     )
+    beside = paragraphs + '<table class="table_main"><tbody><tr><th>x</th></tr><tr><td>1/1</td><td>x</td><td>Elsewhere</td></tr></tbody></table>'
+    boxed = table.replace("<td> {hall} </td>", "") + '<div class="teaserBox"><h2>{hall}</h2></div>'
     partner = (
         '<article><div class="application"><h1>{show}<b>{k}</b></h1></div><div><div><p>{dates}</p></div></div>'
         '<div class="teaserBox"><h2>{hall}</h2></div><div class="span12 doppelTeaser">{about}{k}More &amp; more</div>'
@@ -354,7 +357,9 @@ def film_archive(df: DataFrame) -> DataFrame:
     def page(lang: str, **labels: Column) -> Column:
         labels = {**labels, "dates": dates, "first": first, "second": second}
         return (
-            F.when(n <= 2, _page(paragraphs, fee=fee, **labels))
+            F.when((n == 2) & (F.col("s") == "O"), _page(beside, fee=fee, **labels))
+            .when((n == 3) & (F.col("s") == "F"), _page(boxed, **labels))
+            .when(n <= 2, _page(paragraphs, fee=fee, **labels))
             .when(n <= 4, _page(table, **labels))
             .otherwise(_page(partner, **labels))
         )

@@ -370,29 +370,35 @@ def film_archive(pages: DataFrame, as_of: AsOf) -> DataFrame:
             ),
         }
     )
-    in_strong = ~F.col("in_table") & (F.size("strong") > 0)
-    rows = H.rest(F.col("cells"))
-    first_cells = F.transform(rows, lambda row: F.get(row, F.lit(0)))
-    partner_date = F.array(H.first_group(F.col("article"), H.PARAGRAPH))
-    texts = F.when(F.col("in_table"), first_cells).when(in_strong, F.slice("strong", F.lit(1), F.lit(1)))
+    # paragraphs straight in the article, four divisions deep, and (Chinese) five divisions deep
+    own = F.col("html").rlike(H.tolerant(r'\bid="article"')[0])
+    nested = H.tolerant(r'\bid="article"[^>]*>(?:\s*<div[^>]*>){%d}\s*<p\b')[0]
+    df = df.withColumn("deep", F.col("html").rlike(nested % 4))
+    # beside a table, what is strong counts in the nested layout only
+    in_strong = (F.size("strong") > 0) & (~F.col("in_table") | F.col("deep"))
+    # every field: the first layout that yields something, whatever the others of the page yielded
+    first_strong = F.when(in_strong, F.slice("strong", F.lit(1), F.lit(1)))
+    first_cells = F.array_compact(F.transform(H.rest(F.col("cells")), lambda row: F.get(row, F.lit(0))))
+    partner_date = F.array_compact(F.array(H.first_group(F.col("article"), H.PARAGRAPH)))
     texts = F.transform(
-        F.filter(texts.otherwise(partner_date), lambda t: t.isNotNull()),
+        F.coalesce(first_strong, F.when(F.size(first_cells) > 0, first_cells), partner_date),
         lambda t: X.drop_label(F.coalesce(X.clean_text(t, **options), F.lit("")), "Date："),
     )
-    place = (
-        F.when(F.col("in_table"), F.get(F.get("cells", F.lit(1)), F.lit(2)))
-        .when(in_strong, F.get("strong", F.lit(1)))
-        .otherwise(H.first_group(F.col("html"), r'(?s)class="teaserBox"[^>]*>.*?<h2[^>]*>([^<]*)'))
+    places = (
+        F.when(in_strong, F.get("strong", F.lit(1))),
+        F.get(F.get("cells", F.lit(1)), F.lit(2)),
+        H.first_group(F.col("html"), r'(?s)class="teaserBox"[^>]*>.*?<h2[^>]*>([^<]*)'),
     )
-    # paragraphs straight in the article, four divisions deep, and (Chinese) five divisions deep
-    own = F.col("html").rlike(H.tolerant(r'\bid="article"')[0])
-    nested = H.tolerant(r'\bid="article"[^>]*>(?:\s*<div[^>]*>){%d}\s*<p\b')[0]
+    place = F.coalesce(*[F.nullif(X.drop_label(X.unescape(value), "Venue：", "地點："), F.lit("")) for value in places])
     deepest = (F.col("lang") == "zh") & F.col("html").rlike(nested % 5)
-    told = F.when(deepest, F.col("paragraphs")).when(in_strong, H.rest(F.col("paragraphs"), 3))
-    told = told.when(F.col("in_table") | own, H.rest(F.col("paragraphs")))
     teaser = F.regexp_extract("html", r"(?s)class='?\"?span12 doppelTeaser'?\"?[^>]*>(.*?)</div>", 1)
-    # the first layout that yields text
-    about = F.coalesce(X.clean_all(told, "", **options), X.clean_all(F.array(teaser), "", **options))
+    told = (
+        F.when(deepest, F.col("paragraphs")),
+        F.when(in_strong & ~deepest, H.rest(F.col("paragraphs"), 3)),
+        F.when((F.col("in_table") | own) & ~in_strong & ~deepest, H.rest(F.col("paragraphs"))),
+        F.array(teaser),
+    )
+    about = F.coalesce(*[F.nullif(F.trim(X.clean_all(some, "", **options)), F.lit("")) for some in told])
     aside = F.array_join(H.all_groups(F.col("html"), r"(?s)<aside\b[^>]*>(.*?)</aside>"), "")
     price = K.first_word_token(F.col("direct"))
     price = F.when(price.contains("免費"), F.lit("Free Admission")).otherwise(price)
@@ -401,12 +407,10 @@ def film_archive(pages: DataFrame, as_of: AsOf) -> DataFrame:
         {
             "name": X.clean_text(F.col("name"), **options),
             "texts": _english(texts),
-            "place": F.nullif(X.drop_label(X.unescape(place), "Venue：", "地點："), F.lit("")),
-            "about": F.nullif(F.trim(about), F.lit("")),
-            "fee": _chinese(
-                F.when(partner, X.dollar_amount_text(X.strip_tags(aside)))
-                .when(in_strong | F.col("html").rlike(nested % 4), price)
-            ),
+            "place": place,
+            "about": about,
+            "fee": _chinese(F.coalesce(
+                F.when(in_strong | F.col("deep"), price), F.when(partner, X.dollar_amount_text(X.strip_tags(aside))))),
         }
     )
     # a range or a dotted date is one date; anything else is a list of screenings
