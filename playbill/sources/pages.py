@@ -9,7 +9,8 @@ from ..session import cut_lineage
 
 
 def load_pages(spark: SparkSession, path: str) -> DataFrame:
-    """The table of fetched pages. Stored by source, a job on one source reads only its files."""
+    """The table of fetched pages. Stored by source and kind, a plan reads its own files only, and a
+    job on all sources reads every file once."""
     return spark.read.schema(PAGES).parquet(path)
 
 
@@ -23,7 +24,7 @@ def spread(rows: DataFrame, partitions: int) -> DataFrame:
 
 def store_pages(pages: DataFrame, path: str) -> None:
     """Write pages in the layout ``load_pages`` prunes on, without a shuffle."""
-    pages.write.mode("append").partitionBy("source").parquet(path)
+    pages.write.mode("append").partitionBy("source", "page_kind").parquet(path)
 
 
 def seed_pages(seeds: DataFrame, low: str | Column, high: str | Column, suffix: str = "") -> DataFrame:
