@@ -14,7 +14,7 @@ from ..functions import dates as D
 from ..functions import html as H
 from ..functions import text as X
 from ..functions import tokens as K
-from ..operators import bilingual, classify, fields, links, records
+from ..operators import bilingual, classify, fields, links, records, rule_tables
 from ..schema import HALF_FIELDS, TEXT_FIELDS
 from ..session import scratch_dir
 from ..sources import pages as P
@@ -49,7 +49,7 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stored_pages(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """The pages as a crawl leaves them: a table partitioned by source."""
+    """The pages as a crawl leaves them: a table partitioned by source and kind."""
     path = scratch_dir(spark, "pages")
     P.store_pages(pages, path)
     return P.load_pages(spark, path)
@@ -874,6 +874,63 @@ def classify_type(spark: SparkSession, folder: str) -> DataFrame:
     return parts.withColumn("type_chi", classify.translate_type(F.col("type_eng"), rules))
 
 
+_TITLE = "concat('Evening for Customer#', lpad(cast(o_custkey AS string), 9, '0'), ' ', o_orderpriority)"
+
+
+@query(
+    "classify_by_table",
+    """
+    WITH rules AS (
+        SELECT c_custkey AS rule_no, c_mktsegment AS type_eng, 'c' || c_nationkey AS type_chi, lower(c_name) AS keyword
+        FROM customer WHERE c_nationkey % 3 = 0
+        UNION ALL
+        SELECT 100000000 + n_nationkey, n_name, 'n' || n_regionkey, n_nationkey || ' 1-urgent' FROM nation
+    ), titles AS (
+        SELECT o_orderkey, 'Evening for Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') || ' ' || o_orderpriority AS title FROM orders
+    ), hits AS (
+        SELECT title, arg_max(type_eng, rule_no) AS type_eng, arg_max(type_chi, rule_no) AS type_chi
+        FROM (SELECT DISTINCT title FROM titles) t JOIN rules ON contains(lower(title), keyword) GROUP BY title
+    )
+    SELECT o_orderkey, type_eng, type_chi FROM titles LEFT JOIN hits USING (title)
+    """,
+)
+def classify_by_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Event classes by rules in a table, one or more for each customer and nation."""
+    customers = table(spark, folder, "customer").where("c_nationkey % 3 = 0")
+    nations = table(spark, folder, "nation")
+    rules = customers.selectExpr("c_custkey AS rule_no", "c_mktsegment AS type_eng", "concat('c', c_nationkey) AS type_chi", "lower(c_name) AS keyword").unionByName(
+        nations.selectExpr("100000000 + n_nationkey AS rule_no", "n_name AS type_eng", "concat('n', n_regionkey) AS type_chi", "concat(n_nationkey, ' 1-urgent') AS keyword"))
+    titles = table(spark, folder, "orders").selectExpr("o_orderkey", f"{_TITLE} AS title")
+    return titles.join(rule_tables.classify_by_table(titles, rules), "title", "left").select("o_orderkey", "type_eng", "type_chi")
+
+
+@query(
+    "labels_by_table",
+    """
+    WITH tokens AS (
+        SELECT doc_id, source, unnest(string_split(text, ' ')) AS token, unnest(range(len(string_split(text, ' ')))) AS place
+        FROM documents
+    ), rules AS (
+        SELECT source, lower(token) AS alias, min(doc_id) AS rank, 'f' || min(doc_id) % 5 AS field FROM tokens
+        WHERE place = 0 AND token <> '' GROUP BY source, lower(token)
+    ), pairs AS (
+        SELECT doc_id, source, lower(token) AS alias, place, lead(token) OVER (PARTITION BY doc_id ORDER BY place) AS value FROM tokens
+    ), firsts AS (
+        SELECT doc_id, field, alias, rank, arg_min(coalesce('=' || value, '-'), place) AS value
+        FROM pairs JOIN rules USING (source, alias) GROUP BY doc_id, field, alias, rank
+    )
+    SELECT doc_id, field, arg_max(substr(value, 2), rank) AS value FROM firsts WHERE value <> '-' GROUP BY doc_id, field
+    """,
+)
+def labels_by_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Values behind labels, with a label table made of the first words of each source's documents."""
+    docs = table(spark, folder, "documents").select("doc_id", "source", F.split("text", " ").alias("tokens"))
+    labels = docs.select("source", F.lower(F.get("tokens", F.lit(0))).alias("alias"), "doc_id").where("alias <> ''")
+    rules = labels.groupBy("source", "alias").agg(F.min("doc_id").alias("rank"))
+    rules = rules.withColumn("field", F.concat(F.lit("f"), (F.col("rank") % 5).cast("string")))
+    return rule_tables.labels_by_table(docs, rules, ("doc_id",))
+
+
 @query(
     "conform_union",
     """
@@ -1233,7 +1290,7 @@ def all_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("all_venues", _ROWS + " UNION ALL ".join(EXPECTED[source](test) for source, test in SHARES.items()))
 def all_venues(spark: SparkSession, folder: str) -> DataFrame:
-    """All venues from one stored page table, partitioned by source, to one event table."""
+    """All venues from one stored page table, partitioned by source and kind, to one event table."""
     return shown(venues.extract_events(stored_pages(spark, all_pages(spark, folder)), W.AS_OF))
 
 
