@@ -2,9 +2,9 @@
 
 1. A task reads its texts once and counts terms in memory. When the memory it may use is full, it
    spills a run: the counts sorted by term, in blocks, each block for one hash shard of the terms.
-2. Every shard merges its blocks with a heap. A block is opened when the merge has come to its first
-   term, so memory holds one open block a run. What comes out are the frequencies, whole, of the
-   terms that enough documents of a language have.
+2. Every shard merges its runs with a heap. Blocks come by their first term, so all that open
+   blocks hold before the next one's first term is complete; memory holds about one block a run. What
+   comes out are the frequencies, whole, of the terms that enough documents of a language have.
 3. Smoothed shares of two sources are compared over all kept terms without a row for the zeros: a
    pair's sum is first taken as if no source had any term, corrected by each source's own terms, and
    corrected again, streaming over the postings, by the terms that both have.
@@ -13,12 +13,14 @@
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,32 +31,35 @@ from playbill.session import cut_lineage
 # same bytes, and all bytes from 0x80 on
 TABLE = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256)).lower()
 RUN_ENTRIES, RUN_BYTES = 300_000, 64 << 20  # counts and text behind a run
-BLOCK = 512  # counts in a block
+BLOCK, MERGED = 4096, 1 << 16  # counts in a block; counts that open blocks hold before what is complete is taken
 PAIRS, SIDE = 4_000_000, 512  # pair sums in a task's memory; sources of a term compared at once
 SCALE, SMOOTH = 10**9, 5
-RUN = "shard int, first binary, terms array<binary>, langs array<string>, sources array<string>, counts array<long>, docs array<long>"
+# terms of a block are joined by spaces, which no term has; `groups` are places in langs and sources
+RUN = "shard int, first binary, terms binary, groups array<int>, counts array<int>, docs array<int>, langs array<string>, sources array<string>"
 
 
 def spilled(counts: dict[tuple[str, str], tuple[Counter, Counter]], shards: int) -> Iterator[pa.RecordBatch]:
-    """The blocks of one run: (shard, its first term, and the entries in order)."""
-    entries = sorted((term, lang, source, n, docs[term]) for (lang, source), (times, docs) in counts.items() for term, n in times.items())
-    of_shard: dict[int, list[tuple]] = {}
+    """The blocks of one run, a row each."""
+    groups = list(counts)
+    terms = list(chain.from_iterable(times for times, _ in counts.values()))
+    if not terms:
+        return
+    times = np.fromiter(chain.from_iterable(t.values() for t, _ in counts.values()), np.int32, len(terms))
+    docs = np.fromiter(chain.from_iterable(map(d.__getitem__, t) for t, d in counts.values()), np.int32, len(terms))
+    owner = np.repeat(np.arange(len(groups)), [len(t) for t, _ in counts.values()])
+    shard = np.fromiter(map(crc32, terms), np.int64, len(terms)) % shards
+    sorted_ = np.array(sorted(range(len(terms)), key=terms.__getitem__))
+    sorted_ = sorted_[np.argsort(shard[sorted_], kind="stable")]
+    shard, owner, times, docs = shard[sorted_], owner[sorted_], times[sorted_], docs[sorted_]
+    starts = np.unique(np.concatenate([np.arange(0, len(terms), BLOCK), np.flatnonzero(np.diff(shard)) + 1]))
+    ends = np.append(starts[1:], len(terms))
     rows = []
-
-    def close(shard: int) -> None:
-        done = of_shard.pop(shard)
-        rows.append((shard, done[0][0], *map(list, zip(*done, strict=True))))
-
-    for entry in entries:
-        shard = xxhash.xxh3_64_intdigest(entry[0]) % shards
-        block = of_shard.setdefault(shard, [])
-        block.append(entry)
-        if len(block) == BLOCK:
-            close(shard)
-    for shard in list(of_shard):
-        close(shard)
-    kinds = [pa.int32(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64())]
-    names = ["shard", "first", "terms", "langs", "sources", "counts", "docs"]
+    for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
+        own = [terms[i] for i in sorted_[a:b].tolist()]
+        here, places = np.unique(owner[a:b], return_inverse=True)
+        rows.append((int(shard[a]), own[0], b" ".join(own), places.astype(np.int32), times[a:b], docs[a:b], *map(list, zip(*(groups[g] for g in here), strict=True))))
+    kinds = [pa.int32(), pa.binary(), pa.binary(), *[pa.list_(pa.int32())] * 3, *[pa.list_(pa.string())] * 2]
+    names = ["shard", "first", "terms", "groups", "counts", "docs", "langs", "sources"]
     for a in range(0, len(rows), 64):
         yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows[a : a + 64], strict=True), kinds, strict=True)], names)
 
@@ -84,76 +89,83 @@ def runs(docs: DataFrame, shards: int, run_entries: int = RUN_ENTRIES) -> DataFr
     return docs.select(F.col("text").cast("binary"), "lang", "source").mapInArrow(rows, RUN)
 
 
-def merged_entries(blocks: Iterator[tuple]) -> Iterator[tuple]:
-    """The entries of blocks that come sorted by their first term, in order, with a heap of the
-    blocks that are open."""
-    opened: list[tuple] = []
-    coming = next(blocks, None)
-    number = 0
-    while coming is not None or opened:
-        while coming is not None and (not opened or coming[0] <= opened[0][0][0]):
-            entries = iter(zip(*coming[1:], strict=True))
-            heapq.heappush(opened, (next(entries), number, entries))
-            number += 1
-            coming = next(blocks, None)
-        entry, which, entries = opened[0]
-        yield entry
-        following = next(entries, None)
-        if following is None:
-            heapq.heappop(opened)
-        else:
-            heapq.heapreplace(opened, (following, which, entries))
-
-
-def frequencies(blocks: DataFrame, shards: int, least_docs: int) -> DataFrame:
+class Merge:
+    """The merge of one shard's runs: blocks are added by their first term."""
+
+    def __init__(self, groups: dict[tuple[str, str], int], least_docs: int, merged: int):
+        self.groups, self.least_docs, self.merged = groups, least_docs, merged
+        self.opened: list[tuple] = []  # a heap of (term at the place, number, place, terms, groups, counts, docs)
+        self.number = self.held = 0
+
+    def add(self, first: bytes, terms: bytes, groups: np.ndarray, counts: np.ndarray, docs: np.ndarray, langs: list[str], sources: list[str]):
+        """Open a block; gives the frequencies that are complete, or None."""
+        done = self.taken(first) if self.held >= self.merged else None
+        known = np.array([self.groups.setdefault(pair, len(self.groups)) for pair in zip(langs, sources, strict=True)], np.int64)
+        self.number += 1
+        heapq.heappush(self.opened, (first, self.number, 0, terms.split(b" "), known[groups], counts, docs))
+        self.held += len(counts)
+        return done
+
+    def taken(self, before: bytes | None = None) -> list[tuple] | None:
+        """(lang, term, sources, counts) of the terms before a term, or of all, that are in enough
+        documents of a language."""
+        terms: list[bytes] = []
+        parts = []
+        while self.opened and (before is None or self.opened[0][0] < before):
+            _, number, at, own, *columns = self.opened[0]
+            to = len(own) if before is None else bisect_left(own, before, at)
+            terms += own[at:to]
+            parts.append([c[at:to] for c in columns])
+            if to < len(own):
+                heapq.heapreplace(self.opened, (own[to], number, to, own, *columns))
+            else:
+                heapq.heappop(self.opened)
+        self.held -= len(terms)
+        if not terms:
+            return None
+        groups, counts, docs = (np.concatenate(c).astype(np.int64) for c in zip(*parts, strict=True))
+        coded = pa.array(terms, pa.binary()).dictionary_encode()
+        code, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        pairs = list(self.groups)
+        places: dict[str, int] = {}
+        of_lang = np.array([places.setdefault(lang, len(places)) for lang, _ in pairs], np.int64)
+        langs = list(places)
+        found, place = np.unique(code * len(langs) + of_lang[groups], return_inverse=True)
+        seen = np.zeros(len(found), np.int64)
+        np.add.at(seen, place, docs)
+        wanted = seen[place] >= self.least_docs
+        keys, at = np.unique(place[wanted] * len(pairs) + groups[wanted], return_inverse=True)
+        sums = np.zeros(len(keys), np.int64)
+        np.add.at(sums, at, counts[wanted])
+        which, of = keys // len(pairs), keys % len(pairs)
+        borders = np.concatenate([[0], np.flatnonzero(np.diff(which)) + 1, [len(keys)]]) if len(keys) else [0]
+        return [
+            (langs[found[which[a]] % len(langs)], names[int(found[which[a]] // len(langs))].as_py().decode(), [pairs[g][1] for g in of[a:b]], sums[a:b])
+            for a, b in zip(borders[:-1], borders[1:], strict=True)
+        ]
+
+
+def frequencies(blocks: DataFrame, shards: int, least_docs: int, merged: int = MERGED) -> DataFrame:
     """(lang, term, sources, counts) of the terms in at least `least_docs` documents of a language,
     with the sources that have them."""
 
-    def shards_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[tuple]]]:
-        """The blocks of one shard after the other; a shard is read to its end before the next."""
-        rows = ((batch.column(0)[i].as_py(), batch, i) for batch in batches for i in range(len(batch)))
-        pending = next(rows, None)
-
-        def of(shard: int) -> Iterator[tuple]:
-            nonlocal pending
-            while pending is not None and pending[0] == shard:
-                _, batch, i = pending
-                yield tuple(batch.column(c)[i].as_py() for c in range(1, 7))
-                pending = next(rows, None)
-
-        while pending is not None:
-            yield pending[0], of(pending[0])
+    def batch_of(found: list[tuple] | None) -> Iterator[pa.RecordBatch]:
+        if found:
+            kinds = [pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*found, strict=True), kinds, strict=True)], ["lang", "term", "sources", "counts"])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-
-        def batch_of() -> pa.RecordBatch:
-            kinds = [pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64())]
-            made = pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], ["lang", "term", "sources", "counts"])
-            out.clear()
-            return made
-
-        def close(term: bytes, langs: dict[str, list]) -> None:
-            for lang, (seen, sources) in langs.items():
-                if seen >= least_docs:
-                    out.append((lang, term.decode(), list(sources), list(sources.values())))
-
-        for _, own in shards_of(batches):
-            last, langs = None, {}
-            for term, lang, source, n, found in merged_entries(own):
-                if term != last:
-                    if last is not None:
-                        close(last, langs)
-                        if len(out) >= 1000:
-                            yield batch_of()
-                    last, langs = term, {}
-                here = langs.setdefault(lang, [0, {}])
-                here[0] += found
-                here[1][source] = here[1].get(source, 0) + n
-            if last is not None:
-                close(last, langs)
-        if out:
-            yield batch_of()
+        groups: dict[tuple[str, str], int] = {}
+        last, merge = None, Merge(groups, least_docs, merged)
+        for batch in batches:
+            lists = [batch.column(c) for c in (3, 4, 5)]
+            for i in range(len(batch)):
+                shard, first, terms, langs, sources = (batch.column(c)[i].as_py() for c in (0, 1, 2, 6, 7))
+                if shard != last:
+                    yield from batch_of(merge.taken())
+                    last, merge = shard, Merge(groups, least_docs, merged)
+                yield from batch_of(merge.add(first, terms, *(x[i].values.to_numpy() for x in lists), langs, sources))
+        yield from batch_of(merge.taken())
 
     dealt = blocks.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "first")
     return dealt.mapInArrow(rows, "lang string, term string, sources array<string>, counts array<long>")
@@ -251,7 +263,7 @@ def own_terms(groups: DataFrame) -> DataFrame:
 
 
 def audit(docs: DataFrame, least_docs: int = 30, top: int = 50, text_column: str = "text", lang_column: str = "lang", source_column: str = "source",
-          run_entries: int = RUN_ENTRIES, side: int = SIDE) -> DataFrame:
+          run_entries: int = RUN_ENTRIES, side: int = SIDE, merged: int = MERGED) -> DataFrame:
     """(lang, source, part, item, value, rank): what sets the sources of a language apart.
 
     Terms are runs of letters A-Z and of characters from U+0080 on, only A-Z in lower case; kept are
@@ -265,7 +277,7 @@ def audit(docs: DataFrame, least_docs: int = 30, top: int = 50, text_column: str
     spark = docs.sparkSession
     clean = docs.select(*(F.coalesce(F.col(c), F.lit("")).alias(n) for c, n in ((text_column, "text"), (lang_column, "lang"), (source_column, "source"))))
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    kept = cut_lineage(frequencies(runs(clean, shards, run_entries), shards, least_docs))
+    kept = cut_lineage(frequencies(runs(clean, shards, run_entries), shards, least_docs, merged))
 
     flat = kept.select("lang", "term", F.inline(F.arrays_zip(F.col("sources").alias("source"), F.col("counts").alias("n"))))
     flat = flat.toDF("lang", "term", "source", "n")

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from playbill.llm import divergence as D
@@ -66,7 +67,7 @@ def test_small_memory_and_many_sources(spark):
     rows = corpus(2, 300, [f"s{i}" for i in range(23)])
     df = spark.createDataFrame(rows, KIND)
     expected = brute_force(rows, 2, 50)
-    assert result(df, least_docs=2, run_entries=20, side=4) == expected
+    assert result(df, least_docs=2, run_entries=20, side=4, merged=30) == expected
     assert result(df.union(df), least_docs=2) == brute_force(rows + rows, 2, 50)
 
 
@@ -91,10 +92,21 @@ def test_shares_are_exact(spark):
 
 
 def test_heap_merge():
+    """Blocks of seven sorted runs, by their first terms: every term comes out once, with all it has."""
     rng = random.Random(4)
-    entries = sorted((bytes([rng.randrange(97, 103)]) * rng.randrange(1, 3), "l", f"s{i}", 1, 1) for i in range(500))
+    entries = sorted((bytes([rng.randrange(97, 103)]) * rng.randrange(1, 3), rng.randrange(3), rng.randrange(1, 5), 1) for _ in range(500))
     blocks = []
     for run in range(7):
         own = entries[run::7]
-        blocks += [(b[0][0], *map(list, zip(*b))) for b in (own[i : i + 9] for i in range(0, len(own), 9))]
-    assert [e[0] for e in D.merged_entries(iter(sorted(blocks, key=lambda b: b[0])))] == [e[0] for e in entries]
+        blocks += [own[i : i + 9] for i in range(0, len(own), 9)]
+    expected = Counter()
+    for term, source, n, _ in entries:
+        expected[term.decode(), f"s{source}"] += n
+    for merged in (1, 40, 10_000):
+        merge, found = D.Merge({}, 1, merged), []
+        for block in sorted(blocks, key=lambda b: b[0][0]):
+            terms, *columns = zip(*block)
+            found += merge.add(terms[0], b" ".join(terms), *map(np.array, columns), ["l"] * 3, ["s0", "s1", "s2"]) or []
+        found += merge.taken() or []
+        got = [((term, source), n) for _, term, sources, counts in found for source, n in zip(sources, counts.tolist())]
+        assert dict(got) == expected and len(got) == len(expected)
