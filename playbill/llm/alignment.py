@@ -41,6 +41,8 @@ UNITS, UNIT_CHARS, UNIT_PAIRS = 300_000, 16 << 20, 2_000_000  # units kept by a
 IDS = 20  # bits of a token id
 # a place to cut: one space, not behind another, before a letter, a digit or an ASCII mark
 AFTER = r"[^\W_]|[!-/:-@\[-`{-~]"
+FIRST = re.compile(AFTER)
+JOINED = 512  # new units tokenized as one text
 CUT = re.compile(rf"(?<=[^ ]) (?={AFTER})")
 NO_CUT = re.compile(rf"^ | (?!{AFTER})")
 NONE = np.empty(0, np.int64)
@@ -125,15 +127,37 @@ class Tokenizers:
         same = [b"".join(map(name_a, a)) == b" " + text.encode() == b"".join(map(name_b, b)) for text, a, b in zip(texts, tokens_a, tokens_b, strict=True)]
         return tokens_a, tokens_b, same
 
-    def fragment(self, tokens_a: list[list[int]], tokens_b: list[list[int]]) -> Fragment:
-        """Of texts that follow one another."""
-        a, b = (np.fromiter(chain.from_iterable(some), np.int64) for some in (tokens_a, tokens_b))
+    def fragment(self, a: np.ndarray, b: np.ndarray) -> Fragment:
+        """Of the tokens of the same bytes."""
         return Fragment.of(a, np.cumsum(self.sizes_a[a]), b, np.cumsum(self.sizes_b[b]))
 
+    def of_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The tokens of units one after the other, and how many each unit has; none, if their bytes
+        are others. Units that may stand side by side in a text are tokenized together."""
+        parts, start = [], 0
+        for i in range(1, len(units) + 1):
+            if i == len(units) or i - start == JOINED or units[i - 1][-1:] in ("", " ") or not FIRST.match(units[i]):
+                parts.append(units[start:i])
+                start = i
+        found = []
+        for part, *tokens, same in zip(parts, *self.encoded([" ".join(part) for part in parts]), strict=True):
+            if same or len(part) == 1:
+                found.append((part, *tokens, same))
+            else:
+                found += zip(([u] for u in part), *self.encoded(part), strict=True)
+        tokens, numbers = ([], []), ([], [])
+        for part, *pair, same in found:
+            ends = np.cumsum([len(u.encode()) + 1 for u in part])
+            for ids, sizes, out, n in zip(pair, (self.sizes_a, self.sizes_b), tokens, numbers, strict=True):
+                ids = np.array(ids if same else [], np.int64)
+                out.append(ids)
+                n.append(np.diff(np.searchsorted(np.cumsum(sizes[ids]), ends, side="right"), prepend=0))
+        return *map(np.concatenate, tokens), *map(np.concatenate, numbers)
+
     def fragment_of(self, text: str) -> Fragment | None:
         """Of one text; None if the bytes of its tokens are others."""
         a, b, same = self.encoded([text])
-        return self.fragment(a, b) if text and same[0] else None
+        return self.fragment(np.array(a[0], np.int64), np.array(b[0], np.int64)) if text and same[0] else None
 
 
 class Units:
@@ -162,14 +186,12 @@ class Units:
         return [np.fromiter(map(known.__getitem__, some), np.int64, len(some)) for some in units]
 
     def learn(self, new: list[str]) -> None:
-        tokens_a, tokens_b, same = self.own.encoded(new)
-        sound = np.flatnonzero(same)
-        tokens_a, tokens_b = [tokens_a[i] for i in sound], [tokens_b[i] for i in sound]
-        f = self.own.fragment(tokens_a, tokens_b)
+        a, b, n_a, n_b = self.own.of_units(new)
+        f = self.own.fragment(a, b)
+        sound = np.flatnonzero(n_a)
         figures = np.zeros((len(new), 5), np.int64)
-        figures[:, 4] = ~np.array(same)
-        figures[sound, 0], figures[sound, 1] = list(map(len, tokens_a)), list(map(len, tokens_b))
-        through_a, through_b = np.cumsum(figures[sound, 0]), np.cumsum(figures[sound, 1])
+        figures[:, 0], figures[:, 1], figures[:, 4] = n_a, n_b, n_a == 0
+        through_a, through_b = np.cumsum(n_a[sound]), np.cumsum(n_b[sound])
         owner = sound[np.searchsorted(through_a, f.cuts_a)]  # the unit of each group
         np.add.at(figures[:, 2], owner, 1)
         np.add.at(figures[:, 3], owner, np.diff(f.cuts_a, prepend=0) * np.diff(f.cuts_b, prepend=0))
