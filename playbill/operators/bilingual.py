@@ -103,19 +103,19 @@ def lookup_fees(events: DataFrame, fees: DataFrame, url: str = "link_chi") -> Da
     """Fill missing fees from the ticket page beside the event's page.
 
     ``fees`` has (url, fee, fetched_at, page_id) and is brought to one row per address first, so
-    the join never multiplies rows. Events that need no fee join on their own id, which no page
-    has, instead of NULL: NULL keys would all meet in one task. A directory with very many events
-    is a skewed left side, which AQE splits.
+    the join never multiplies rows. Only events without a fee that have a ticket page's address go
+    through the join; the others stay where they are. A directory with very many events is a skewed
+    left side, which AQE splits.
     """
     pages = (
         fees.where("fee is not null")
         .groupBy(F.col("url").alias("_fee_key"))
         .agg(F.min(F.struct("fetched_at", "page_id", "fee")).alias("_found"))
     )
-    wanted = F.when(F.col("fee").isNull(), fee_page_url(F.col(url)))
-    keyed = events.withColumn("_fee_key", F.coalesce(wanted, "event_id"))
-    joined = keyed.join(pages, "_fee_key", "left")
-    return joined.withColumn("fee", F.coalesce("fee", "_found.fee")).drop("_fee_key", "_found")
+    keyed = events.withColumn("_fee_key", F.when(F.col("fee").isNull(), fee_page_url(F.col(url))))
+    priced = keyed.where("_fee_key IS NOT NULL").join(pages, "_fee_key", "left")
+    priced = priced.withColumn("fee", F.col("_found.fee")).select(*events.columns)
+    return priced.unionByName(keyed.where("_fee_key IS NULL").select(*events.columns))
 
 
 def fill_location(events: DataFrame, test: Column | None = None) -> DataFrame:

@@ -42,30 +42,42 @@ def seed_months(seeds: DataFrame, first: str | Column, last: str | Column) -> Da
     return monthly.withColumn("url", F.concat("url", F.date_format("month", "yyyyMM")))
 
 
+BROADCAST_ROWS = 200_000  # addresses
+
+
 def page_chain(seeds: DataFrame, edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """Follow ``next`` links from the seeds to the end of every chain.
 
     ``seeds`` is (source, url), ``edges`` is (source, url, next_url) with one next page per page.
     Returns every page reached with its distance from the nearest seed. Each round doubles the
     length of the known jumps, so a chain of n pages takes about log2(n) rounds, and a chain that
-    runs into itself ends because no new page is reached. Every round is checkpointed reliably.
+    runs into itself ends because no new page is reached.
+
+    A round moves what is still under way: pages from which a jump of its length goes on. What was
+    reached before stays where it is, in a checkpoint for each round, and is only looked through
+    for the round's pages. A page is reached by its shortest way first: a round of jumps of n pages
+    finds the distances from n to 2n - 1.
     """
     keys = ["source", "url"]
-    reached = seeds.select(*keys).distinct().withColumn("depth", F.lit(0).cast("long"))
-    jumps = edges.where("next_url is not null").groupBy(*keys).agg(F.min("next_url").alias("next_url"))
-    reached, jumps = cut_lineage(reached), cut_lineage(jumps)
-    known, length = reached.count(), 1
+    under_way = cut_lineage(seeds.select(*keys).distinct().withColumn("depth", F.lit(0).cast("long")))
+    jumps = cut_lineage(edges.where("next_url is not null").groupBy(*keys).agg(F.min("next_url").alias("next_url")))
+    reached, length = under_way, 1
     for _ in range(max_rounds):
-        further = reached.join(jumps, keys).select(
-            "source", F.col("next_url").alias("url"), (F.col("depth") + length).alias("depth")
-        )
-        reached = cut_lineage(reached.unionByName(further).groupBy(*keys).agg(F.min("depth").alias("depth")))
-        found = reached.count()
-        if found == known:
+        met = cut_lineage(under_way.join(jumps, keys))
+        found = met.select("source", F.col("next_url").alias("url"), (F.col("depth") + length).alias("depth"))
+        found = cut_lineage(found.groupBy(*keys).agg(F.min("depth").alias("depth")))
+        wanted = found.select(*keys)
+        if found.count() <= BROADCAST_ROWS:
+            wanted = F.broadcast(wanted)
+        known = reached.join(wanted, keys, "left_semi").select(*keys)
+        found = cut_lineage(found.join(known, keys, "left_anti"))
+        if found.isEmpty():
             return reached
-        known, length = found, length * 2
+        reached = reached.unionByName(found)
+        under_way = met.select(*keys, "depth").unionByName(found)
         onward = jumps.select("source", F.col("url").alias("next_url"), F.col("next_url").alias("_onward"))
         jumps = cut_lineage(
             jumps.join(onward, ["source", "next_url"]).select("source", "url", F.col("_onward").alias("next_url"))
         )
+        length *= 2
     raise ValueError(f"chains longer than 2^{max_rounds} pages")

@@ -1,6 +1,7 @@
 """Links, fields, pairing, classes and records on small tables."""
 
 import datetime
+import random
 
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -186,3 +187,134 @@ def test_seeds(spark):
     assert "http://www.themills.com.hk/en/event/page/19" in urls
     assert "https://asiasociety.org/hong-kong/events?page=0" in urls
     assert len(urls) == 2 + 2 + 1 + 1 + 1 + 3 + 12 + 1 + 1 + 19 + 1
+
+
+def test_page_chain_agrees_with_breadth_first_search(spark, monkeypatch):
+    """Chains that meet, loops, several seeds on a chain, pages without a next one; also without broadcasts."""
+    rng = random.Random(3)
+    following = {f"p{i}": f"p{rng.choice([i + 1, i + 1, i + 1, rng.randrange(120)])}" for i in range(120) if rng.random() < 0.95}
+    seeds = [f"p{i}" for i in rng.sample(range(120), 9)] + ["lonely"]
+    depth, at = dict.fromkeys(seeds, 0), list(seeds)
+    while at:
+        at = [following[u] for u in at if u in following and depth.setdefault(following[u], depth[u] + 1) == depth[u] + 1 and following[u] not in seeds]
+        at = list(dict.fromkeys(at))
+        if max(depth.values()) > 500:
+            break
+    edges = spark.createDataFrame([("s", u, v) for u, v in following.items()] + [("s", "end", None)], "source string, url string, next_url string")
+    roots = spark.createDataFrame([("s", u) for u in seeds * 2], "source string, url string")
+    for rows in (P.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(P, "BROADCAST_ROWS", rows)
+        found = P.page_chain(roots, edges).collect()
+        assert {r.url: r.depth for r in found} == depth and len(found) == len(depth)
+    assert P.page_chain(roots.limit(0), edges).count() == 0
+
+
+def test_only_events_without_a_fee_move(spark):
+    """The join's exchange has the events that need a ticket page, and no others."""
+    rows = [(f"e{i}", "$5" if i % 10 else None, f"http://x.example/{i}/page.html" if i % 20 else None) for i in range(1000)]
+    events = spark.createDataFrame(rows, "event_id string, fee string, link_chi string")
+    fees = spark.createDataFrame([(f"https://x.example/{i}/ticketinfo.html", f"${i}", datetime.datetime(2020, 1, 1), i) for i in range(0, 1000, 4)],
+                                 "url string, fee string, fetched_at timestamp, page_id long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = bilingual.lookup_fees(events, fees)
+        assert {r.event_id: r.fee for r in found.collect()} == {
+            i: fee if fee or not link or int(i[1:]) % 4 else f"${i[1:]}" for i, fee, link in rows}
+        final = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        moved = final[final.index("Exchange hashpartitioning(_fee_key") :].split("Scan", 1)[0]
+        assert "isnull(fee" in moved, final
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_location_serves_both_languages(spark):
+    df = spark.createDataFrame([(None, "廳"), ("Hall", None), ("Hall", "廳"), (None, None)], "location_eng string, location_chi string")
+    out = [tuple(r) for r in bilingual.fill_location(df).collect()]
+    assert out == [("廳", "廳"), ("Hall", "Hall"), ("Hall", "廳"), (None, None)]
+
+
+def test_classes(spark):
+    rules = R.TYPE_RULES[R.THE_MILLS]
+    df = spark.createDataFrame([("Concert and Workshop",), ("Market day",), ("年度展銷會",), (None,)], "title string")
+    kind = classify.classify(F.col("title"), rules)
+    out = df.select(kind.alias("en"), classify.translate_type(kind, rules).alias("zh")).collect()
+    assert [tuple(r) for r in out] == [("Workshop", "工作坊"), (None, None), ("Sale", "展銷會"), (None, None)]
+
+
+def test_records_conform(spark):
+    df = spark.createDataFrame([("1", R.THE_MILLS, None), ("2", R.PMQ, None), ("3", R.TRADE_COUNCIL, "Hall")],
+                               "event_id string, source string, location_eng string")
+    plain = records.conform(df, R.DEFAULTS).orderBy("event_id").collect()
+    assert tuple(plain[0].asDict()) == EVENT_COLUMNS
+    assert [(r.fee, r.location_eng, r.location_chi) for r in plain] == [
+        ("Free admission", None, None), (None, None, None), (None, "Hall", "網上直播")]
+    marked = records.conform(df, R.published_defaults()).orderBy("event_id").collect()
+    assert [(r.fee, r.location_eng, r.event_name_eng, r.link_eng) for r in marked] == [
+        ("Free admission", "N/A", "", ""), ("N/A", "N/A", "", "N/A"), ("N/A", "Hall", "", "")]
+
+
+def test_transport_columns_go(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "event_id int, depth int, redirect_urls int")
+    assert records.drop_transport(df).columns == ["event_id"]
+
+
+def test_header_filter(spark):
+    df = spark.createDataFrame([(["a", "b"],), (["a", "b", "c"],)], "h array<string>")
+    assert df.where(records.valid_header(F.col("h"))).count() == 1
+
+
+def test_page_chain_follows_to_the_end_and_survives_loops(spark):
+    edges = [("s", f"p{i}", f"p{i + 1}") for i in range(150)] + [("s", "p150", "p20"), ("t", "a", "b"), ("t", "b", None)]
+    edges = spark.createDataFrame(edges, "source string, url string, next_url string")
+    seeds = spark.createDataFrame([("s", "p0"), ("s", "p100"), ("t", "a"), ("u", "alone")], "source string, url string")
+    out = {(r.source, r.url): r.depth for r in P.page_chain(seeds, edges).collect()}
+    expected = {("s", f"p{i}"): i if i < 100 else i - 100 for i in range(151)}
+    expected.update({("s", f"p{i}"): min(i, 51 + i - 20) for i in range(20, 100)})
+    assert out == {**expected, ("t", "a"): 0, ("t", "b"): 1, ("u", "alone"): 0}
+
+
+def test_seeds(spark):
+    urls = {r.url for r in venues.seed_addresses(spark).collect()}
+    assert "https://www.pmq.org.hk/happenings/programmes-events/?lang=ch&past=1&date=202012" in urls
+    assert "http://www.themills.com.hk/en/event/page/19" in urls
+    assert "https://asiasociety.org/hong-kong/events?page=0" in urls
+    assert len(urls) == 2 + 2 + 1 + 1 + 1 + 3 + 12 + 1 + 1 + 19 + 1
+
+
+def test_page_chain_agrees_with_breadth_first_search(spark, monkeypatch):
+    """Chains that meet, loops, several seeds on a chain, pages without a next one; also without broadcasts."""
+    rng = random.Random(3)
+    following = {f"p{i}": f"p{rng.choice([i + 1, i + 1, i + 1, rng.randrange(120)])}" for i in range(120) if rng.random() < 0.95}
+    seeds = [f"p{i}" for i in rng.sample(range(120), 9)] + ["lonely"]
+    depth, at = dict.fromkeys(seeds, 0), list(seeds)
+    while at:
+        at = [following[u] for u in at if u in following and depth.setdefault(following[u], depth[u] + 1) == depth[u] + 1 and following[u] not in seeds]
+        at = list(dict.fromkeys(at))
+        if max(depth.values()) > 500:
+            break
+    edges = spark.createDataFrame([("s", u, v) for u, v in following.items()] + [("s", "end", None)], "source string, url string, next_url string")
+    roots = spark.createDataFrame([("s", u) for u in seeds * 2], "source string, url string")
+    for rows in (P.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(P, "BROADCAST_ROWS", rows)
+        found = P.page_chain(roots, edges).collect()
+        assert {r.url: r.depth for r in found} == depth and len(found) == len(depth)
+    assert P.page_chain(roots.limit(0), edges).count() == 0
+
+
+def test_only_events_without_a_fee_move(spark):
+    """The join's exchange has the events that need a ticket page, and no others."""
+    rows = [(f"e{i}", "$5" if i % 10 else None, f"http://x.example/{i}/page.html" if i % 20 else None) for i in range(1000)]
+    events = spark.createDataFrame(rows, "event_id string, fee string, link_chi string")
+    fees = spark.createDataFrame([(f"https://x.example/{i}/ticketinfo.html", f"${i}", datetime.datetime(2020, 1, 1), i) for i in range(0, 1000, 4)],
+                                 "url string, fee string, fetched_at timestamp, page_id long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = bilingual.lookup_fees(events, fees)
+        assert {r.event_id: r.fee for r in found.collect()} == {
+            i: fee if fee or not link or int(i[1:]) % 4 else f"${i[1:]}" for i, fee, link in rows}
+        final = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        moved = final[final.index("Exchange hashpartitioning(_fee_key") :].split("Scan", 1)[0]
+        assert "isnull(fee" in moved, final
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
