@@ -24,6 +24,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from playbill.llm.common import of_size
+
+BATCH_ROWS, BATCH_BYTES = 512, 2 << 20  # texts whose ids are held at once
 ROOT = 0
 NONE = -1
 NODES = (1 << 20) - 1
@@ -51,7 +54,7 @@ class Transducer:
     """Encodes bytes to token ids. States and transitions are kept up to `max_states`; when they
     are full they are dropped and computed again as needed."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 250_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 60_000):
         self.ranks, self.max_states = ranks, max_states
         self.tokens = {rank: token for token, rank in ranks.items()}
         # the trie as one dictionary: 256 * node + byte -> node; its ends: node -> token
@@ -103,8 +106,8 @@ class Transducer:
         return len(self.tokens[token]) == 1 or self.halves(token) is not None
 
     def follows(self, left: int, right: int) -> bool:
-        """Whether `right` may come after `left`, or first (NONE); kept for up to 400,000 pairs."""
-        if len(self.pairs) >= 400_000:
+        """Whether `right` may come after `left`, or first (NONE); kept for up to 200,000 pairs."""
+        if len(self.pairs) >= 200_000:
             self.pairs.clear()
         known = self.pairs[left << 32 | right] = self.alone(right) and (left == NONE or self.stands(left, right))
         return known
@@ -264,10 +267,11 @@ class Codec:
     """Pattern, transducer and decoder of one vocabulary, with the pieces encoded last: at least
     `max_pieces` and at most twice as many."""
 
-    def __init__(self, data: bytes, pattern: str, max_pieces: int = 300_000):
+    def __init__(self, data: bytes, pattern: str, max_pieces: int = 120_000):
         self.find = regex.compile(pattern).findall
         self.machine = Transducer(read_ranks(data))
         self.decoder = Decoder(self.machine.tokens)
+        self.names = {token: str(token) for token in self.machine.tokens}
         self.max_pieces = max_pieces
         self.pieces: dict[str, list[int]] = {}
         self.older: dict[str, list[int]] = {}
@@ -298,6 +302,7 @@ def codec(data: bytes, pattern: str) -> Codec:
     if key not in CODECS:
         CODECS.clear()
         CODECS[key] = Codec(data, pattern)
+        gc.freeze()  # the tables are large and without cycles: they need no search for cycles
     return CODECS[key]
 
 
@@ -315,20 +320,18 @@ def encoded(docs: DataFrame, vocabulary: bytes, pattern: str, id_column: str = "
     kind = docs.schema[id_column].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()  # the tables are large and without cycles; searching them for cycles takes a fifth of the time
         own = codec(sent.value, pattern)
-        names: dict[int, str] = {token: str(token) for token in own.machine.tokens}
-        name, token_bytes = names.__getitem__, own.machine.tokens.__getitem__
-        for batch in batches:
+        name = own.names.__getitem__
+        for batch in of_size(batches, 1, BATCH_ROWS, BATCH_BYTES):
             counts, hashes, back, same, lists = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 text = text or ""
                 found = own.encode(text)
-                data = b"".join(map(token_bytes, found))
+                decoded_text = own.decoder.text(found)
                 counts.append(len(found))
                 hashes.append(hashlib.sha256(" ".join(map(name, found)).encode()).hexdigest())
-                back.append(hashlib.sha256(data).hexdigest())
-                same.append(own.decoder.text(found) == text)
+                back.append(hashlib.sha256(decoded_text.encode()).hexdigest())
+                same.append(decoded_text == text)
                 if ids:
                     lists.append(np.array(found, np.int32))
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), pa.array(back, pa.string()), pa.array(same, pa.bool_())]
@@ -350,7 +353,7 @@ def decoded(tokens: DataFrame, vocabulary: bytes, id_column: str = "doc_id", ids
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Decoder({rank: token for token, rank in read_ranks(sent.value).items()})
-        for batch in batches:
+        for batch in of_size(batches, 1, BATCH_ROWS, BATCH_BYTES):
             texts = [None if found is None else own.text(found) for found in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 

@@ -7,6 +7,8 @@ from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +62,17 @@ def slices(sizes: list[int], rows: int, total: int) -> Iterator[tuple[int, int]]
         yield start, len(sizes) - start
 
 
+def of_size(batches: Iterator[pa.RecordBatch], column: int, rows: int, total: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most so many rows and bytes of one column; a larger row is a
+    slice of its own."""
+    for batch in batches:
+        lists = batch.column(column)
+        width = lists.offsets.to_numpy() if pa.types.is_list(lists.type) else None
+        sizes = np.diff(width) * 8 if width is not None else pc.binary_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+        for start, n in slices(sizes.tolist(), rows, total):
+            yield batch.slice(start, n)
+
+
 class WordHashes(dict):
     """64-bit hashes of words (bytes). Emptied when full, so a worker's memory is bounded."""
 

@@ -71,3 +71,36 @@ def test_rows(spark, docs_of, tiktoken_encoding):
     back = {r.doc_id: r.text for r in bpe.decoded(bpe.encoded(df, DATA, public_tokenizers.PATTERN), DATA).collect()}
     assert back == {i: text or "" for i, text in rows}
     assert bpe.encoded(df.limit(0), DATA, public_tokenizers.PATTERN).count() == 0
+
+
+def test_worker_memory_is_bounded(spark):
+    """A million different noise words: what a worker keeps stays under 200 MB."""
+    import subprocess
+    import sys
+
+    code = """
+import random, resource, sys
+sys.path.insert(0, %r)
+from pathlib import Path
+import public_tokenizers
+from playbill.llm import bpe
+own = bpe.codec(Path(public_tokenizers.path("byte_bpe_50k.tiktoken")).read_bytes(), public_tokenizers.PATTERN)
+rng = random.Random(1)
+for _ in range(1000):
+    text = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=rng.randrange(5, 12))) for _ in range(1000))
+    own.decoder.text(own.encode(text))
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    root = str(Path(__file__).resolve().parents[2])
+    out = subprocess.run([sys.executable, "-c", code % root], capture_output=True, text=True, check=True)
+    assert int(out.stdout) < 200, out.stdout
+
+
+def test_batches_are_cut_by_size():
+    import pyarrow as pa
+
+    from playbill.llm.common import of_size
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(["a" * 10, None, "", "b" * 500, "c" * 30, "d" * 80])], ["i", "t"])
+    assert [len(b) for b in of_size(iter([batch]), 1, 4, 100)] == [3, 1, 1, 1]
+    assert [len(b) for b in of_size(iter([batch.slice(2)]), 1, 2, 1000)] == [2, 2]
