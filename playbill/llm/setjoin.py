@@ -2,9 +2,9 @@
 
 1. Rows with equal sets collapse into one class.
 2. Candidates. Sets of a pair with Jaccard >= t differ in at most k = (1 - t) / (1 + t) * (|A| + |B|)
-   elements. In each size band the elements are dealt by their hashes to k + 1 parts, so the two sets
-   agree in at least one part whole: equal parts are found by equality of one hash. No link is lost,
-   and a passage that many texts share makes no candidates, as its elements lie in many parts.
+   elements. In each size band the elements are dealt by their hashes to k + 1 parts or more, so the
+   two sets agree in at least one part whole: equal parts are found by equality of one hash. No link
+   is lost, and a passage that many texts share makes no candidates, as its elements lie in many parts.
 3. Candidates are grouped by connection; sets of a group meet in tiles of bounded content. In a
    tile, the bits that two bitmaps have in common bound the overlap from above; pairs that pass are
    intersected exactly, unless links found before already connect them.
@@ -24,7 +24,9 @@ from playbill.llm.common import connected, join_bounded, lower_words, mix, shing
 from playbill.session import cut_lineage
 
 BAND = 1.5  # ratio of the sizes of a band
+DEALINGS = (1.0, 1.2, 1.3)  # parts of a dealing, times the least number
 TILE_ITEMS = 1 << 18  # elements in a tile, about 2 MB
+TILE_BITS = 1 << 28  # of the bitmaps of a tile, 32 MB
 WIDE = 4  # tiles that meet as one when bitmaps are compared
 
 
@@ -37,6 +39,14 @@ def band_of(size: int) -> int:
     return band
 
 
+def bands_apart(num: int, den: int) -> int:
+    """How far apart the bands of two sets that link may be."""
+    apart = 1
+    while BAND**apart * num < den:
+        apart += 1
+    return apart
+
+
 def parts_of(band: int, num: int, den: int) -> int:
     """Number of parts in a band: one more than the most elements a pair of it may differ in. A pair
     belongs to the band of its smaller set, of x elements; the larger one has at most x * den / num,
@@ -45,23 +55,37 @@ def parts_of(band: int, num: int, den: int) -> int:
 
 
 def part_keys(items: np.ndarray, num: int, den: int) -> list[np.ndarray]:
-    """One hash for each part of a sorted set, in its own band, and in the band below if its partner
-    may be there. Bands in which no two different sets can link have one part and give none."""
+    """One hash for each part of a sorted set, in the bands its partners may be in: its own, where it
+    is the smaller one, and those below. Bands in which no two different sets can link give none.
+
+    Keys of empty parts would bring together sets that have nothing in common. A set of s elements
+    differs from a partner in at most s * (den - num) / num; if it has more parts than that with
+    elements in them, one of these agrees, and empty ones are not needed. Else it is dealt again into
+    more parts, up to the last dealing, where its empty parts count. Two sets that link are both
+    dealt up to the first dealing that suffices for one of them, and share a key there.
+    """
     size = len(items)
-    band = band_of(size)
     found = []
-    for b in (band, band - 1):
-        if b < 0 or b < band and size * num > den * BAND ** (b + 1):
-            continue
-        parts = parts_of(b, num, den)
-        if parts < 2:
-            continue
-        unsigned = items.view(np.uint64)
-        where = (mix(unsigned ^ np.uint64(b + 1)) % np.uint64(parts)).astype(np.int64)
-        total = np.zeros(parts, np.uint64)
-        np.add.at(total, where, mix(unsigned + np.uint64(0x5851F42D4C957F2D)))
-        with np.errstate(over="ignore"):
-            found.append(mix(total + mix(np.arange(parts, dtype=np.uint64) * np.uint64(1_000_003) + np.uint64(b))).view(np.int64))
+    b = band_of(size)
+    unsigned = items.view(np.uint64)
+    values = mix(unsigned + np.uint64(0x5851F42D4C957F2D))
+    while b >= 0 and size * num <= den * BAND ** (b + 1):
+        least = parts_of(b, num, den)
+        for deal, factor in enumerate(DEALINGS if least > 1 else ()):
+            parts = int(least * factor)
+            salt = np.uint64(b + 1 + 1000 * deal)
+            where = (mix(unsigned ^ salt) % np.uint64(parts)).astype(np.int64)
+            total = np.zeros(parts, np.uint64)
+            np.add.at(total, where, values)
+            filled = np.zeros(parts, bool)
+            filled[where] = True
+            enough = int(filled.sum()) * num > size * (den - num)
+            with np.errstate(over="ignore"):
+                keys = mix(total + mix(np.arange(parts, dtype=np.uint64) * np.uint64(1_000_003) + salt)).view(np.int64)
+            found.append(keys if deal == len(DEALINGS) - 1 and not enough else keys[filled])
+            if enough:
+                break
+        b -= 1
     return found
 
 
@@ -95,7 +119,8 @@ def links_of_tile(ids: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], nu
     two = bool(sides.any()) and not bool(sides.all())
     label = np.arange(n)
     if n > 2:
-        bits = max(64, 1 << int(2 * sizes.max() - 1).bit_length())
+        # fewer bits bound the overlap less closely, but still from above
+        bits = max(64, min(1 << int(2 * sizes.max() - 1).bit_length(), 1 << (max(TILE_BITS // n, 1).bit_length() - 1)))
         maps = np.zeros((n, bits // 8), np.uint8)
         for i, s in enumerate(sets):
             where = (mix(s.view(np.uint64)) % np.uint64(bits)).astype(np.int64)
@@ -179,7 +204,7 @@ def linked(sets: DataFrame, candidates: DataFrame, num: int, den: int) -> DataFr
     still = cut_lineage(still)
     strays = still.where("stray")
     slices = strays.groupBy("family", F.col("tile.band").alias("stray_band")).agg(F.ceil(F.sum("n") / (WIDE * TILE_ITEMS)).cast("int").alias("stray_slices"))
-    near_bands = "abs(tile.band - stray_band) <= 1"
+    near_bands = f"abs(tile.band - stray_band) <= {bands_apart(num, den)}"
     homes = still.select("id", "part", "family", "tile").join(slices, "family").where(near_bands)
     homes = homes.select("id", "part", F.lit(0).alias("side"), "family", "tile", "stray_band", F.explode(F.sequence(F.lit(0), F.col("stray_slices") - 1)).alias("stray_slice"))
     visitors = strays.select("id", "part", "family", F.col("tile.band").alias("stray_band")).join(slices, ["family", "stray_band"])

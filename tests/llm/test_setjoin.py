@@ -45,7 +45,7 @@ def corpus(seed=1):
     return rows + [(900, None), (901, ""), (902, " \t"), (903, "One"), (904, "one "), (905, "one two"), (906, "x " * 3000)]
 
 
-@pytest.mark.parametrize(("words", "num", "tile"), [(3, 90, 1 << 18), (5, 80, 1 << 18), (3, 70, 300)])
+@pytest.mark.parametrize(("words", "num", "tile"), [(3, 90, 1 << 18), (5, 80, 1 << 18), (3, 70, 300), (3, 50, 300)])
 def test_agrees_with_all_pairs(spark, docs_of, monkeypatch, words, num, tile):
     """Also with tiles so small that every family is cut into many."""
     monkeypatch.setattr(setjoin, "TILE_ITEMS", tile)
@@ -83,3 +83,46 @@ def test_parts_lose_no_pair():
         for num in (80, 90):
             if len(a) != shared and 100 * shared >= num * (len(a) + len(b) - shared):
                 assert {k for p in setjoin.part_keys(a, num, 100) for k in p.tolist()} & {k for p in setjoin.part_keys(b, num, 100) for k in p.tolist()}
+
+
+@pytest.mark.parametrize("num", [90, 80, 70, 50])
+def test_linking_sets_share_a_key(num):
+    """Random pairs at and above the threshold, of all sizes, from one dealing to the last."""
+    rng = np.random.default_rng(num)
+    tried = 0
+    while tried < 3000:
+        size = int(rng.integers(1, 200))
+        common = rng.integers(-(2**62), 2**62, size)
+        extra = int(size * (100 - num) / num) + 1
+        one, two = (np.concatenate([common, rng.integers(-(2**62), 2**62, int(rng.integers(0, extra + 1)))]) for _ in range(2))
+        a, b = np.unique(one), np.unique(two)
+        both = setjoin.overlaps(a, b)
+        if np.array_equal(a, b) or 100 * both < num * (len(a) + len(b) - both):
+            continue
+        tried += 1
+        keys = [set(np.concatenate([np.empty(0, np.int64), *setjoin.part_keys(x, num, 100)]).tolist()) for x in (a, b)]
+        assert keys[0] & keys[1], (len(a), len(b), both)
+
+
+def test_sets_apart_share_no_empty_part():
+    """Sets of a band that have nothing in common hardly ever meet."""
+    rng = np.random.default_rng(5)
+    seen, met = {}, set()
+    for i in range(400):
+        items = np.unique(rng.integers(-(2**62), 2**62, int(rng.integers(100, 150))))
+        for key in np.concatenate(setjoin.part_keys(items, 80, 100)).tolist():
+            if key in seen and seen[key] != i:
+                met.add((seen[key], i))
+            seen.setdefault(key, i)
+    assert len(met) < 100  # of 79,800 pairs
+
+
+def test_bitmaps_of_a_tile_are_bounded(monkeypatch):
+    """One long and many short sets, with few bits: the same links."""
+    rng = np.random.default_rng(6)
+    base = np.unique(rng.integers(0, 2**62, 40))
+    sets = [np.unique(rng.integers(0, 2**62, 5000))] + [np.unique(np.append(base[:-1], rng.integers(0, 2**62, 1))) for _ in range(60)]
+    ids, sides = np.arange(len(sets)), np.zeros(len(sets), np.int64)
+    expected = setjoin.links_of_tile(ids, sides, sets, 80, 100)
+    monkeypatch.setattr(setjoin, "TILE_BITS", 64)
+    assert len(setjoin.links_of_tile(ids, sides, sets, 80, 100)) == len(expected) == 59
