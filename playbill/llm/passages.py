@@ -8,8 +8,9 @@ clusters. A passage that was copied into the middle of other lines has no line o
 content-defined paragraphs are compared as well: windows of `min_words` words that begin where the
 text itself says so (the least word-pair hash of any 16 in a row), so that two copies of a passage
 have windows at the same words. These have to be equal; that is a band of one hash. The windows at
-the ends of what is equal are seeds: their sections longer by 1 to 15 words on one side, which is
-as far as a shared run can reach beyond its outermost windows, meet in the same way.
+the ends of what is equal are seeds: the 15 words beyond them, which is as far as a shared run can
+reach beyond its outermost windows, are sorted by window and words. Neighbours in that order share
+most, so one pass each way finds how many words a document with a smaller id shares.
 
 Of every cluster the document with the smallest id keeps its paragraphs, the others lose them.
 """
@@ -35,7 +36,9 @@ LINES = np.uint64(4)  # lines in a section of short lines, on average
 SLICE, SLICE_BYTES = 128, 4 << 20  # texts handled at once
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-SECTION = "kind int, key long, check int, doc_id long, version int, start int, end int, short boolean"
+SECTION = "kind int, key long, check int, doc_id long, version long, start int, end int, short boolean"
+BEYOND = "key long, check int, side int, doc_id long, version long, start int, next binary, more int, kept long"
+WORD_BYTES = 5  # of a word's hash, in `next`
 SPAN = "array<struct<start:int,end:int,kept:long>>"
 
 
@@ -139,7 +142,7 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     seeds = mix(np.arange(1, 2 * bands * rows_of_band + 1, dtype=np.uint64))
     factors, shifts = seeds[0::2] | np.uint64(1), seeds[1::2]
     source = docs.where(F.col(id_column).isNotNull() & F.col(text_column).isNotNull()).select(
-        F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("binary").alias("text"), F.hash(text_column).alias("version"))
+        F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("binary").alias("text"), F.xxhash64(text_column).alias("version"))
 
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """kind 0: windows, 1: paragraphs, 2: bands of paragraphs (doc_id is the paragraph's key)."""
@@ -171,7 +174,7 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
                     yield rows_of(zero + 2, total.view(np.int64), zero, names, zero, zero, zero, zero)
 
     def rows_of(*values: np.ndarray) -> pa.RecordBatch:
-        kinds = (np.int32, np.int64, np.int32, np.int64, np.int32, np.int32, np.int32, bool)
+        kinds = (np.int32, np.int64, np.int32, np.int64, np.int64, np.int32, np.int32, bool)
         return pa.RecordBatch.from_arrays([pa.array(v.astype(t)) for v, t in zip(values, kinds, strict=True)], ["kind", "key", "check", "doc_id", "version", "start", "end", "short"])
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,28 +194,34 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))], ["id", "items"])
 
     made = source.select("doc_id", "text", "version").mapInArrow(units, SECTION)
-    def longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The windows that begin at the places asked for, longer by 1 to GAP - 1 words on one side."""
+    def beyond(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The windows that begin at the places asked for, with the GAP - 1 words beyond them on a
+        side, the nearest first."""
         for batch in batches:
             for a, n in slices(list(map(len, data := batch.column(1).to_pylist())), SLICE, SLICE_BYTES):
                 part, texts = batch.slice(a, n), Texts(data[a : a + n])
                 ids, versions = part.column(0).to_numpy(), part.column(2).to_numpy()
-                found = []
+                words = np.append(texts.hashes, np.uint64(0)).astype(">u8").view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]
                 for side in (0, 1):
                     places = part.column(3 + side).to_pylist()
                     owner = np.repeat(np.arange(n), [len(x or ()) for x in places])
+                    if not len(owner):
+                        continue
                     at = np.array([x for some in places for x in some or ()], np.int64) + texts.ends[owner]
-                    owner, at, more = np.repeat(owner, GAP - 1), np.repeat(at, GAP - 1), np.tile(np.arange(1, GAP), len(at))
-                    start, end = (at - more, at + min_words) if side == 0 else (at, at + min_words + more)
-                    inside = (start >= texts.ends[owner]) & (end <= texts.ends[owner + 1])
-                    found.append((owner[inside], start[inside], end[inside]))
-                owner, start, end = map(np.concatenate, zip(*found, strict=True))
-                key, check = texts.sections(start, end)
-                first, zero = texts.ends[owner], np.zeros(len(owner), np.int32)
-                yield rows_of(zero, key, check, ids[owner], versions[owner], start - first, end - first, zero)
+                    steps = np.arange(GAP - 1)
+                    where = at[:, None] - 1 - steps if side == 0 else at[:, None] + min_words + steps
+                    inside = (where >= texts.ends[owner][:, None]) & (where < texts.ends[owner + 1][:, None])
+                    data_of = np.ascontiguousarray(words[where[inside]])
+                    offsets = np.concatenate([[0], np.cumsum(inside.sum(axis=1) * WORD_BYTES)]).astype(np.int32)
+                    key, check = texts.sections(at, at + min_words)
+                    size, zero = len(at), np.zeros(len(at), np.int64)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(key), pa.array(check), pa.array(np.full(size, side, np.int32)), pa.array(ids[owner]), pa.array(versions[owner]),
+                        pa.array((at - texts.ends[owner]).astype(np.int32)), pa.BinaryArray.from_buffers(pa.binary(), size, [None, pa.py_buffer(offsets), pa.py_buffer(data_of)]),
+                        pa.array(zero.astype(np.int32)), pa.array(ids[owner])], [c.split()[0] for c in BEYOND.split(", ")])
 
     with stored(made, "passages", "kind") as made:
-        return spans_of(source, made, to_sets, longer, num, den)
+        return spans_of(source, made, to_sets, beyond, min_words, num, den)
 
 
 SAME = ["kind", "key", "check"]
@@ -236,19 +245,58 @@ def at_ends(equal: DataFrame) -> DataFrame:
     return windows.where("left OR right").groupBy("key", "check").agg(F.max("left").alias("left"), F.max("right").alias("right"))
 
 
-def spans_of(source: DataFrame, made: DataFrame, to_sets, longer, num: int, den: int) -> DataFrame:
+def shared_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """`more` and `kept` raised to what a row before in the order says: the most words beyond its
+    window that it shares with one of a smaller id, and that id. For every number of words shared
+    with the row at hand, only the smallest id so far is kept."""
+    never = 1 << 62
+    least = [never] * GAP
+    last_window, last = None, b""
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in (0, 1, 2, 3, 6, 7, 8)]
+        found, keepers = [], []
+        for key, check, side, doc, words, more, kept in zip(*columns, strict=True):
+            if (key, check, side) != last_window:
+                last_window, least = (key, check, side), [never] * GAP
+            elif words != last:
+                same = next((i for i, (x, y) in enumerate(zip(words, last)) if x != y), min(len(words), len(last))) // WORD_BYTES
+                least[same + 1 :] = [never] * (GAP - 1 - same)
+            last = words
+            own = len(words) // WORD_BYTES
+            best = own
+            while best > more and least[best] >= doc:
+                best -= 1
+            if best > 0 and least[best] < doc:
+                kept = least[best] if best > more else min(kept, least[best])
+                more = best
+            found.append(more)
+            keepers.append(kept)
+            if doc < least[own]:
+                for i in range(own, -1, -1):
+                    if least[i] <= doc:
+                        break
+                    least[i] = doc
+        yield pa.RecordBatch.from_arrays([*batch.columns[:7], pa.array(found, pa.int32()), pa.array(keepers, pa.int64())], batch.schema.names)
+
+
+def spans_of(source: DataFrame, made: DataFrame, to_sets, beyond, min_words: int, num: int, den: int) -> DataFrame:
     """The spans of the documents, from the paragraphs found in them."""
     equal = cut_lineage(equal_to_earlier(made.where("kind < 2")).select("kind", "key", "check", "doc_id", "version", "start", "end", "kept"))
 
-    # equal windows at the ends of what is equal, in every document that has them: longer ones
+    # equal windows at the ends of what is equal, in every document that has them: the words beyond
     seeds = cut_lineage(at_ends(equal))
     places = join_bounded(made.where("kind = 0").select("key", "check", "doc_id", "version", "start"), seeds, ["key", "check"], "inner", 24)
     places = cut_lineage(places.groupBy("doc_id", "version").agg(
         F.collect_set(F.when(F.col("left"), F.col("start"))).alias("left"), F.collect_set(F.when(F.col("right"), F.col("start"))).alias("right")))
     texts = join_bounded(source, places, ["doc_id", "version"], "inner", 200).select("doc_id", "text", "version", "left", "right")
-    with stored(texts.mapInArrow(longer, SECTION), "longer", "kind") as sections:
-        more = equal_to_earlier(sections)
-        more = cut_lineage(more.groupBy("doc_id", "version", "start", "kept").agg(F.max("end").alias("end")).select("doc_id", "version", "start", "end", "kept"))
+    # one shuffle, by window, side and first word: who shares a word or more is together
+    rows = texts.mapInArrow(beyond, BEYOND).where("length(next) > 0")
+    rows = rows.repartition("key", "side", F.substring("next", 1, WORD_BYTES))
+    for order in (F.asc, F.desc):
+        rows = rows.sortWithinPartitions("key", "check", "side", order("next"), "doc_id").mapInArrow(shared_words, BEYOND)
+    left = F.when(F.col("side") == 0, F.col("more")).otherwise(0)
+    more = cut_lineage(rows.where("more > 0").select(
+        "doc_id", "version", (F.col("start") - left).alias("start"), (F.col("start") + min_words + F.col("more") - left).alias("end"), "kept"))
     equal = equal.select("doc_id", "version", "start", "end", "kept").union(more).withColumn("loose", F.lit(False))
 
     # near copies of paragraphs: each different paragraph is one node
@@ -265,7 +313,7 @@ def spans_of(source: DataFrame, made: DataFrame, to_sets, longer, num: int, den:
     near = near.join(keepers, "component").where("doc_id <> kept").select("doc_id", "version", "start", "end", "kept", F.col("short").alias("loose"))
 
     spans = equal.union(near).groupBy("doc_id", "version").agg(F.collect_set(F.struct("start", "end", "kept", "loose")).alias("spans"))
-    return cut_lineage(spans.mapInArrow(to_merged, f"doc_id long, version int, spans {SPAN}"))
+    return cut_lineage(spans.mapInArrow(to_merged, f"doc_id long, version long, spans {SPAN}"))
 
 
 def merged(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -330,7 +378,7 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     the length of the text, if named, follows."""
     spans = repeated(docs, id_column, text_column, **settings)
     names = [F.col(c) for c in docs.columns]
-    rows = docs.select(F.struct(*names).alias("row"), F.col(id_column).cast("long").alias("doc_id"), F.hash(text_column).alias("version"))
+    rows = docs.select(F.struct(*names).alias("row"), F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text_column).alias("version"))
     rows = join_bounded(rows, spans, ["doc_id", "version"], "left", 200)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
