@@ -122,13 +122,6 @@ def rest(items: Column, start: int = 2) -> Column:
 CONTAINERS = ("div", "main", "section", "form", "ul")
 
 
-def element_of(html: Column, attribute: str) -> Column:
-    """Inner HTML of the elements with an attribute, whatever container they are, up to their own
-    ends and without navigation, header and footer in them."""
-    bodies = [element_bodies(html, rf"<{tag}\b[^>]*\b{attribute}[^>]*>", tag) for tag in CONTAINERS]
-    return F.regexp_replace(F.array_join(F.concat(*bodies), " "), r"(?is)<(nav|header|footer)\b.*?</\1\s*>", " ")
-
-
 _START = "\ue002"  # stands behind every start tag that matches
 
 
@@ -169,3 +162,43 @@ def element_bodies(html: Column, start_tag: str, tag: str = "div") -> Column:
     marked = F.regexp_replace(html, f"({tolerant(start_tag)[0]})", f"$1{_START}")
     found = F.element_at(F.transform(F.array(F.split(marked, _START)), bodies), 1)
     return F.transform(found, lambda body: F.replace(body, F.lit(_START), F.lit("")))
+
+
+def element_of(html: Column, attribute: str) -> Column:
+    """Inner HTML of the elements with an attribute, whatever container they are, up to their own
+    ends and without navigation, header and footer in them.
+
+    One pattern finds the start tags of all containers and marks them with their names; the text
+    after a start tag is cut at the tags of all containers once, and only those of its own name count.
+    """
+    names = "|".join(_any_case(name) for name in CONTAINERS)
+    start_tag = rf"<({names})\b[^>]*\b{tolerant(attribute)[0]}[^>]*>"
+
+    def body(parts: Column, at: Column) -> Column:
+        """parts: the text before the first start tag, then a name and the text behind it, and so on."""
+        tail = F.when(at + 2 == F.size(parts), F.get(parts, at + 1)).otherwise(F.array_join(F.filter(parts, lambda _, i: (i > at) & (i % 2 == 0)), ""))
+
+        def cut(known: Column) -> Column:
+            def add(state: Column, piece: Column) -> Column:
+                tag = F.lower(F.substring(piece, 1, 9))
+                step = F.when(tag.startswith(F.concat(F.lit("</"), known["name"])), -1).when(tag.startswith(F.concat(F.lit("<"), known["name"])), 1).otherwise(0)
+                depth = state["depth"] + step
+                length = state["length"] + F.when(depth > 0, F.length(piece)).otherwise(0)
+                return F.when(state["depth"] == 0, state).otherwise(F.struct(depth.alias("depth"), length.alias("length")))
+
+            # the blank in front keeps the first piece free of tags: all others begin with one
+            pieces = F.split(F.concat(F.lit(" "), known["tail"]), rf"(?=</?(?:{names})\b)")
+            end = F.aggregate(pieces, F.struct(F.lit(1).alias("depth"), F.lit(-1).alias("length")), add)
+            return F.substr(known["tail"], F.lit(1), end["length"])
+
+        # name and text as items of an array, so that they are made once
+        known = F.array(F.struct(F.lower(F.get(parts, at)).alias("name"), tail.alias("tail")))
+        return F.element_at(F.transform(known, cut), 1)
+
+    def bodies(parts: Column) -> Column:
+        places = F.when(F.size(parts) > 1, F.sequence(F.lit(1), F.size(parts) - 2, F.lit(2))).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda at: body(parts, at))
+
+    marked = F.regexp_replace(html, f"({start_tag})", f"$1{_START}$2{_START}")
+    found = F.element_at(F.transform(F.array(F.split(marked, _START)), bodies), 1)
+    return F.regexp_replace(F.array_join(found, " "), r"(?is)<(nav|header|footer)\b.*?</\1\s*>", " ")
