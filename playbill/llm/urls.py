@@ -1,7 +1,7 @@
 """URL rules by host suffix and path prefix, on DataFrame functions only.
 
-Every URL is expanded into expressions host-suffix + path-prefix. They meet the rules in an
-equi-join on the first bytes of their SHA-256, the full digests confirm a hit, and the longest
+Every URL is expanded into expressions host-suffix + path-prefix, as deep as the rules go. They
+meet the rules in an equi-join on the first bytes of their SHA-256, the full digests confirm a hit, and the longest
 rule wins. The rule side is broadcast by Spark only if its size is under the session's threshold.
 """
 
@@ -33,17 +33,20 @@ def rule_table(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFr
     return spark.sql(f"SELECT * FROM VALUES {values} AS rules(host, path, verdict)")
 
 
-def expressions(host: Column, path: Column) -> Column:
-    """All host suffixes at label borders, each with the path's prefixes that end in / ; without a host none.
+def expressions(host: Column, path: Column, labels: int, slashes: int) -> Column:
+    """The host suffixes of up to `labels` labels, each with the path's prefixes that end in its
+    first to at most `slashes`-th slash; without a host none.
 
-    A host of n labels and a path of m slashes give n * m rows: both come from one URL.
+    That deep the rules go: a longer expression could be no rule's, so nothing is lost, and a URL of
+    any length gives labels * slashes rows at most.
     """
-    labels = F.split(host, r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    parts = F.split(path, "/")
+    def count(text: Column, mark: str) -> Column:
+        return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
+
+    suffixes = F.transform(F.sequence(F.lit(1), F.least(count(host, ".") + 1, F.lit(labels))), lambda i: F.call_function("substring_index", host, F.lit("."), -i))
     prefixes = F.when(
-        F.size(parts) > 1,
-        F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.lit("/"))),
+        count(path, "/") > 0,
+        F.transform(F.sequence(F.lit(1), F.least(count(path, "/"), F.lit(slashes))), lambda i: F.concat(F.call_function("substring_index", path, F.lit("/"), i), F.lit("/"))),
     ).otherwise(F.array().cast("array<string>"))
     pairs = F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p))))
     return F.when(host == "", F.array().cast("array<string>")).otherwise(pairs)
@@ -65,11 +68,14 @@ def judged(pages: DataFrame, rules: DataFrame, id_column: str = "page_id", url_c
     known = known.groupBy("rule").agg(F.max("rule_verdict").alias("rule_verdict"))
     known = known.withColumn("rule_digest", F.sha2("rule", 256)).withColumn("bucket", F.substring("rule_digest", 1, HASH_PREFIX_HEX))
 
+    depth = rules.agg(
+        F.max(F.size(F.split("host", r"\."))).alias("labels"), F.max(F.size(F.split("path", "/")) - 1).alias("slashes")).first()
     urls = pages.select(F.col(id_column).alias("page_id"), F.col(url_column).alias("url"))
     # equal rows are counted, expanded once, and given back as often as they came
     urls = urls.groupBy("page_id", "url").agg(F.count("*").alias("times"))
     urls = urls.select("*", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
-    spread = urls.select("*", F.explode_outer(expressions(F.col("host"), F.col("path"))).alias("expression"))
+    spread = urls.select("*", F.explode_outer(
+        expressions(F.col("host"), F.col("path"), max(1, depth.labels or 1), max(1, depth.slashes or 1))).alias("expression"))
     spread = spread.withColumn("digest", F.sha2("expression", 256)).withColumn("bucket", F.substring("digest", 1, HASH_PREFIX_HEX))
     hits = spread.join(known, "bucket", "left")
     hit = F.when(F.col("digest") == F.col("rule_digest"), F.struct(F.length("rule").alias("n"), F.col("rule"), F.col("rule_verdict")))
