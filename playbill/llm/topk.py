@@ -23,6 +23,7 @@ from playbill.session import cut_lineage
 SCALE = 256.0
 QUERY_BLOCK = 1024
 CANDIDATE_BLOCK = 4096
+SLICE = 2  # blocks of candidates that a block of queries meets in one task
 BINS = 256
 EXACT = 2.0**53
 
@@ -97,7 +98,12 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_column: str = "vec
     chosen = chosen.withColumn("q_block", F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int"))
     queries = cut_lineage(chosen.repartition(n_blocks, "q_block").sortWithinPartitions("q_block", "dim", "vec_id"))
     candidates = cut_lineage(blocks(rows, CANDIDATE_BLOCK, "c"))
-    dealt = candidates.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    # the table's blocks are dealt to slices, and a block of queries goes to every slice: however few the
+    # queries are, they do not meet the whole table in one task
+    n_slices = max(1, -(-candidates.count() // SLICE))
+    place, tasks = ["q_block", "dim", "slice"], min(n_blocks * n_slices, 100_000)
+    dealt = candidates.withColumn("slice", F.pmod(F.xxhash64("c_ids"), F.lit(n_slices)).cast("int"))
+    dealt = dealt.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).repartition(tasks, *place)
 
     def matrix(data: bytes, dim: int) -> np.ndarray:
         return np.frombuffer(data, np.float64).reshape(-1, dim)
@@ -107,7 +113,8 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_column: str = "vec
         sides = state.groupBy("q_block", "dim").agg(F.sort_array(F.collect_list(F.struct("vec_id", "low", "width", "left", "data"))).alias("q"))
         sides = sides.select("q_block", "dim", F.transform("q", lambda x: x["vec_id"]).alias("q_ids"), F.transform("q", lambda x: x["low"]).alias("low"),
                              F.transform("q", lambda x: x["width"]).alias("width"), F.transform("q", lambda x: x["left"]).alias("left"), F.array_join(F.transform("q", lambda x: F.hex(x["data"])), "").alias("q"))
-        return dealt.join(sides, ["q_block", "dim"]).select("dim", "q_ids", "low", "width", "left", F.unhex("q").alias("q"), "c_ids", "c")
+        sides = sides.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(n_slices - 1)))).repartition(tasks, *place)
+        return dealt.join(sides.hint("merge"), place).select("dim", "q_ids", "low", "width", "left", F.unhex("q").alias("q"), "c_ids", "c")
 
     def scored(batch: pa.RecordBatch) -> Iterator[tuple]:
         for i in range(len(batch)):
