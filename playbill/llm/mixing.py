@@ -12,6 +12,8 @@ data and a seed: reruns agree.
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from playbill.llm.common import WORD, join_bounded
 from playbill.session import cut_lineage
 
 WEIGHTS = (5, 2, 1)
+SHARD_WORDS = 200_000_000  # words of the mix in a shard
 
 
 def bound(value: Column, use) -> Column:
@@ -131,12 +134,13 @@ def dealt(quotas: DataFrame, n_shards: int, seed: int) -> DataFrame:
 
 
 def mixed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", weights: tuple[int, ...] = WEIGHTS,
-          share: float = 1.5, limit: float = 2.0, docs_per_block: int = 128, n_shards: int = 16, seed: int = 42) -> DataFrame:
+          share: float = 1.5, limit: float = 2.0, docs_per_block: int = 128, n_shards: int | None = None, seed: int = 42) -> DataFrame:
     """The rows of docs, all their columns as they are, with a column `mix`: struct(size, source_size,
     target, taken, shards), where `shards` has one entry for each time the mix takes the row.
 
     A document is taken whole, at most ceil(limit) times. NULL texts have size 0 and are taken with 0
-    words; NULL sources are one source, the last in order; rows with equal id, source and size are
+    words; there are as many shards as `n_shards` says or the mix's words fill (SHARD_WORDS each, 16 at
+    least). NULL sources are one source, the last in order; rows with equal id, source and size are
     taken equally often; an empty table gives no rows. Columns of docs may have any names but `mix`.
     """
     text, source = F.col(text_column), F.col(source_column)
@@ -151,6 +155,9 @@ def mixed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         "passes", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
     sources = sources.withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size"))
     sources = cut_lineage(sources)
+    if n_shards is None:
+        mixed_words = sources.agg(F.sum("target")).first()[0] or 0.0
+        n_shards = max(16, ceil(mixed_words / SHARD_WORDS))
 
     named = sources.select(F.col("source").alias("of_source"), "rank", "n_blocks", "passes", "rest")
 

@@ -52,7 +52,7 @@ def op5_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document. No SQL: the draw is by hashes; tested by its properties."""
     rows = mixing.mixed(table(spark, sf_dir, "documents"))
-    return rows.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
+    return rows.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken", "mix.shards")
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
