@@ -72,40 +72,46 @@ def measured(docs: DataFrame, id_column: str, text_column: str, host_column: str
     ).withColumn("base_failed", F.expr("n_words < 10 OR 100 * n_repeat_words > 20 * n_words"))
 
 
-def host_rates(rated: DataFrame, block_rate: float) -> DataFrame:
+def host_rates(rated: DataFrame, block_rate: float, factor: float, certainty: float) -> DataFrame:
     """(host, n_docs, n_failed, shrunk_rate, host_blocked) from rows with host and `failed`.
 
     The prior Beta(a, b) has the mean m of all documents and the strength a + b that the spread of
     the hosts' rates gives by the method of moments (at least 1; with no spread, 1000):
-    shrunk_rate = (n_failed + a) / (n_docs + a + b). NULL is a host of its own. One row per host: a
-    host with a third of all documents is counted in every task before the shuffle.
+    shrunk_rate = (n_failed + a) / (n_docs + a + b). A host is blocked if that is above `block_rate`,
+    or if the host is clearly worse than the others: its shrunk rate less `certainty` standard
+    deviations of its posterior is above `factor` times m. A host with few documents stays near m,
+    with a wide posterior. NULL is a host of its own. One row per host: a host with a third of all
+    documents is counted in every task before the shuffle.
     """
     hosts = rated.groupBy("host").agg(F.count("*").alias("n_docs"), F.sum(F.col("failed").cast("long")).alias("n_failed"))
-    rate = F.col("n_failed") / F.col("n_docs")
+    mean = F.sum("n_failed") / F.sum("n_docs")
+    # hosts weigh as much as they have documents: the rate of a tiny one says little
     prior = hosts.agg(
-        (F.sum("n_failed") / F.sum("n_docs")).alias("m"),
-        F.var_pop(rate).alias("v"),
-        F.avg(1 / F.col("n_docs")).alias("inverse"),
+        mean.alias("m"),
+        (F.sum(F.col("n_failed") * F.col("n_failed") / F.col("n_docs")) / F.sum("n_docs") - mean * mean).alias("v"),
+        (F.count("*") / F.sum("n_docs")).alias("inverse"),
     )
     # what the rates vary beyond counting noise is the variance of the prior, m (1 - m) / (s + 1)
     spread = F.greatest(F.col("v") - F.col("m") * (1 - F.col("m")) * F.col("inverse"), F.lit(0.0))
     strength = F.when(spread > 0, F.greatest(F.lit(1.0), F.least(F.lit(1000.0), F.col("m") * (1 - F.col("m")) / spread - 1))).otherwise(1000.0)
     prior = prior.select("m", F.coalesce(strength, F.lit(1000.0)).alias("s"), F.lit(1).alias("one"))
+    shrunk = (F.col("n_failed") + F.col("m") * F.col("s")) / (F.col("n_docs") + F.col("s"))
+    deviation = F.sqrt(F.col("shrunk_rate") * (1 - F.col("shrunk_rate")) / (F.col("n_docs") + F.col("s") + 1))
+    worse = F.col("shrunk_rate") - certainty * deviation > factor * F.col("m")
     return (
-        hosts.withColumn("one", F.lit(1)).join(prior, "one")
-        .select("host", "n_docs", "n_failed", ((F.col("n_failed") + F.col("m") * F.col("s")) / (F.col("n_docs") + F.col("s"))).alias("shrunk_rate"))
-        .withColumn("host_blocked", F.col("shrunk_rate") > block_rate)
+        hosts.withColumn("one", F.lit(1)).join(prior, "one").withColumn("shrunk_rate", shrunk)
+        .select("host", "n_docs", "n_failed", "shrunk_rate", ((F.col("shrunk_rate") > block_rate) | worse).alias("host_blocked"))
     )
 
 
 def verdicts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source",
-             block_rate: float = 0.5, max_symbols_per_word: float = 0.3, max_dup_lines_of_words: float = 0.05) -> DataFrame:
+             block_rate: float = 0.5, max_symbols_per_word: float = 0.3, max_dup_lines_of_words: float = 0.05, factor: float = 1.5, certainty: float = 2.0) -> DataFrame:
     """Measures and verdict for every row of docs.
 
     base_failed: fewer than 10 words, or more than 20 % of the words in repeated five-word windows.
     soft_failed: more symbols than `max_symbols_per_word` for each word, or more repeated lines than
     `max_dup_lines_of_words` for each word. A host is blocked if its shrunk rate of documents that fail
-    either is above `block_rate`. kept: false if base_failed, or if the host is blocked and the
+    either is above `block_rate`, or clearly above `factor` times the rate of all (`host_rates`). kept: false if base_failed, or if the host is blocked and the
     document fails a rule itself; a clean document stays, whatever its host. NULL hosts are one host;
     NULL or empty texts have no words and fail; equal rows get equal verdicts; an empty table gives
     no rows.
@@ -114,7 +120,7 @@ def verdicts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     rated = rated.withColumn("soft_failed", (F.col("n_symbols") > max_symbols_per_word * F.col("n_words")) | (F.col("n_dup_lines") > max_dup_lines_of_words * F.col("n_words")))
     failed = F.col("base_failed") | F.col("soft_failed")
     rated = cut_lineage(rated.withColumn("failed", failed))  # narrow rows; the texts are measured once
-    rates = host_rates(rated, block_rate)
+    rates = host_rates(rated, block_rate, factor, certainty)
     blocked = rates.where("host_blocked").select(F.col("host").alias("blocked_host"), F.lit(True).alias("blocked"))
     joined = rated.join(blocked, rated["host"].eqNullSafe(blocked["blocked_host"]), "left")
     blocked_here = F.coalesce(F.col("blocked"), F.lit(False))
@@ -147,12 +153,13 @@ rated AS (
          n_symbols > 0.3::DOUBLE * n_words OR n_dup_lines > 0.05::DOUBLE * n_words AS soft_failed
   FROM measured),
 hosts AS (SELECT source, count(*)::DOUBLE AS n, (count(*) FILTER (base_failed OR soft_failed))::DOUBLE AS f FROM rated GROUP BY source),
-moments AS (SELECT sum(f) / sum(n) AS m, var_pop(f / n) AS v, avg(1 / n) AS inverse FROM hosts),
+moments AS (SELECT sum(f) / sum(n) AS m, sum(f * f / n) / sum(n) - (sum(f) / sum(n)) * (sum(f) / sum(n)) AS v, count(*) / sum(n) AS inverse FROM hosts),
 prior AS (
   SELECT m, CASE WHEN v - m * (1 - m) * inverse > 0
                  THEN greatest(1.0, least(1000.0, m * (1 - m) / (v - m * (1 - m) * inverse) - 1)) ELSE 1000.0 END AS s
   FROM moments),
-blocked AS (SELECT source, (f + m * s) / (n + s) > 0.5 AS is_blocked FROM hosts, prior)
+shrunk AS (SELECT source, n + s AS strength, m, (f + m * s) / (n + s) AS rate FROM hosts, prior),
+blocked AS (SELECT source, rate > 0.5 OR rate - 2.0::DOUBLE * sqrt(rate * (1 - rate) / (strength + 1)) > 1.5::DOUBLE * m AS is_blocked FROM shrunk)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT (is_blocked AND soft_failed) AS kept
 FROM rated JOIN blocked ON rated.source IS NOT DISTINCT FROM blocked.source

@@ -143,3 +143,40 @@ def test_hypergeometric(spark):
         assert abs(found[x] / 4000 - p) < 0.001
     edges = spark.sql("SELECT 1").select(*(mixing.hypergeometric(*map(F.lit, c), F.lit(0.999)).alias(str(i)) for i, c in enumerate([(5, 0, 3), (0, 5, 3), (4, 4, 8), (3, 5, 0)]))).first()
     assert tuple(edges) == (3, 0, 4, 0)
+
+
+def test_very_long_urls(spark):
+    """Host and path of 100,000 characters each: as many expressions as the rules are deep."""
+    import time
+
+    rules = urls.rule_table(spark, [("a.example.com", "/x/y/", "block"), ("com", "/", "allow"), ("example.com", "/x/", "block")])
+    long = "http://" + "l." * 50_000 + "a.example.com/x/y/" + "p/" * 50_000
+    pages = spark.createDataFrame([(1, long), (2, "http://" + "h" * 100_000), (3, "http://example.com" + "/" * 100_000)], "page_id long, url string")
+    urls.judged(pages.limit(0), rules).collect()
+    start = time.time()
+    found = {r.page_id: (r.rule, r.verdict) for r in urls.judged(pages, rules).collect()}
+    assert found == {1: ("a.example.com/x/y/", "block"), 2: (None, "allow"), 3: ("com/", "allow")}
+    assert time.time() - start < 10
+
+
+def test_hosts_clearly_worse_than_the_rest(spark):
+    """A host with 35 % failures among hosts with 10 % is blocked, a small one with only failures is
+    not; SQL agrees."""
+    import duckdb
+
+    clean = " ".join(f"w{i}" for i in range(20))
+    rows, n = [], 0
+    for host, docs, bad in [*((f"good{i}", 300, 30) for i in range(8)), ("bad", 300, 105), ("near", 300, 48), ("tiny", 2, 2), (None, 50, 5)]:
+        for i in range(docs):
+            rows.append((n := n + 1, clean + (" #########" if i < bad else ""), host))
+    rows += [(0, None, "bad"), (-1, "short", "good1")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in quality.verdicts(df).collect()}
+    by_host = {i: host for i, _, host in rows}
+    lost = {i for i, r in got.items() if not r.kept and not r.base_failed}
+    assert {by_host[i] for i in lost} == {"bad"} and len(lost) == 105
+    assert all(got[i].kept for i, text, host in rows if text == clean)
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    names = ["doc_id", "n_words", "n_symbols", "base_failed", "kept"]
+    assert {tuple(r) for r in con.execute(f"SELECT {', '.join(names)} FROM ({quality.ORACLE})").fetchall()} == {tuple(r[c] for c in names) for r in got.values()}
