@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -56,26 +58,59 @@ def marked(tag: str, attrs: dict[str, str | None]) -> bool:
     return False
 
 
+class Open(NamedTuple):
+    """An open element, with what its lines inherit: one look at the innermost element tells all, so
+    that time and memory do not grow with the depth."""
+
+    tag: str
+    off: bool  # it or an element around it is not content
+    region: int  # the innermost region, by number
+    items: int  # the innermost list
+    link: bool  # inside a link
+
+
+PAGE = Open("", False, 0, 0, False)
+
+
 class Lines(HTMLParser):
-    """Collects the lines of a page: text, tags, text outside links, regions around it, skipped or
+    """Collects the lines of a page: text, tags, text outside links, the region around it, skipped or
     not, and the list it is an item of."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int]] = []  # tag, not content, number of the element
-        self.count = 0
-        self.lines: list[tuple[str, int, int, tuple[int, ...], bool, int]] = []
-        self.kinds: dict[int, str] = {}
+        self.stack: list[Open] = []
+        self.named: Counter[str] = Counter()  # how many elements of a name are open
+        self.lines: list[tuple[str, int, int, int, bool, int]] = []
+        # regions and lists by number: their names, and the region around a region
+        self.kinds, self.around = [""], [0]
         self.text: list[str] = []
         self.tags = self.plain = 0
 
+    def inner(self) -> Open:
+        return self.stack[-1] if self.stack else PAGE
+
+    def push(self, tag: str, off: bool) -> None:
+        before = self.inner()
+        region, items = before.region, before.items
+        if tag in REGIONS or tag in ("ul", "ol"):
+            self.kinds.append(tag)
+            self.around.append(region)
+            number = len(self.kinds) - 1
+            region, items = (number, items) if tag in REGIONS else (region, number)
+        self.stack.append(Open(tag, off or before.off, region, items, tag == "a" or before.link))
+        self.named[tag] += 1
+
+    def cut(self, place: int) -> None:
+        """Close all elements from a place on."""
+        for element in self.stack[place:]:
+            self.named[element.tag] -= 1
+        del self.stack[place:]
+
     def close_line(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            skipped = any(off for _, off, _ in self.stack)
-            regions = tuple(n for tag, _, n in self.stack if tag in REGIONS)
-            lists = [n for tag, _, n in self.stack if tag in ("ul", "ol")]
-            self.lines.append((text, self.tags, self.plain, regions, skipped, lists[-1] if lists else 0))
+            here = self.inner()
+            self.lines.append((text, self.tags, self.plain, here.region, here.off, here.items))
             self.tags = 0
         self.text, self.plain = [], 0
 
@@ -85,25 +120,24 @@ class Lines(HTMLParser):
             if tag == "br":
                 self.text.append(" ")
             elif tag not in VOID:
-                self.stack.append((tag, marked(tag, dict(attrs)), 0))
+                self.push(tag, marked(tag, dict(attrs)))
             return
         self.close_line()
         if tag in VOID:
             return
         if tag in ("article", "main"):
-            while any(name in RESTART for name, _, _ in self.stack):
-                self.stack.pop()
+            while any(self.named[name] for name in RESTART):
+                self.cut(len(self.stack) - 1)
         barriers = BARRIERS.get(tag, BARRIERS["p"])
         closes = CLOSES.get(tag, {"p"})
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] in closes:
-                del self.stack[i:]
-                break
-            if self.stack[i][0] in barriers:
-                break
-        self.count += 1
-        self.kinds[self.count] = tag
-        self.stack.append((tag, marked(tag, dict(attrs)), self.count))
+        if any(self.named[name] for name in closes):
+            for i in range(len(self.stack) - 1, -1, -1):
+                if self.stack[i].tag in closes:
+                    self.cut(i)
+                    break
+                if self.stack[i].tag in barriers:
+                    break
+        self.push(tag, marked(tag, dict(attrs)))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -114,16 +148,18 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag not in INLINE:
             self.close_line()
+        if not self.named[tag]:
+            return
         for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                del self.stack[i:]
+            if self.stack[i].tag == tag:
+                self.cut(i)
                 return
-            if tag in INLINE and self.stack[i][0] not in INLINE:
+            if tag in INLINE and self.stack[i].tag not in INLINE:
                 return
 
     def handle_data(self, data: str) -> None:
         self.text.append(data)
-        if not any(tag == "a" for tag, _, _ in self.stack):
+        if not self.inner().link:
             self.plain += len(data)
 
 
@@ -149,19 +185,24 @@ def main_text(html: str | None) -> str:
     ratios = np.array([0.0 if skip else plain / max(1, tags) for (_, tags, plain, _, _, _), skip in zip(lines, off, strict=True)])
     smooth = smoothed(ratios)
     threshold = min(float(smooth.std()), float(smooth.max()))
-    weight: dict[int, int] = {}
+    weight = [0] * len(reader.kinds)
     total = 0
-    for (text, _, _, regions, _, _), skip, value in zip(lines, off, smooth, strict=True):
+    for (text, _, _, region, _, _), skip, value in zip(lines, off, smooth, strict=True):
         if not skip and value >= threshold:
             total += len(text)
-            for n in regions:
-                weight[n] = weight.get(n, 0) + len(text)
+            weight[region] += len(text)
     if not total:
         return ""
+    for n in range(len(weight) - 1, 0, -1):  # what is in a region is in those around it
+        if reader.kinds[n] in REGIONS and reader.around[n]:
+            weight[reader.around[n]] += weight[n]
     # the innermost region with nearly all content, or the outermost article or main with most of it
-    named = [n for n, w in weight.items() if reader.kinds[n] in ("article", "main") and w > 0.5 * total]
-    region = min(named) if named else max((n for n, w in weight.items() if w >= 0.85 * total), default=0)
-    return "\n".join(text for (text, _, _, regions, _, _), skip in zip(lines, off, strict=True) if not skip and (not region or region in regions))
+    named = [n for n, w in enumerate(weight) if reader.kinds[n] in ("article", "main") and w > 0.5 * total]
+    chosen = min(named) if named else max((n for n, w in enumerate(weight) if n and w >= 0.85 * total), default=0)
+    inside = [not chosen] * len(weight)
+    for n in range(1, len(weight)):
+        inside[n] = n == chosen or inside[reader.around[n]]
+    return "\n".join(text for (text, _, _, region, _, _), skip in zip(lines, off, strict=True) if not skip and inside[region])
 
 
 def extracted(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:

@@ -35,3 +35,13 @@ def test_rows(spark):
     assert [(r.page_id, r.url, r.n_chars) for r in got] == [(1, "u", 94), (1, "u", 94), (2, None, 0), (None, "v", 0), (3, "w", len(LONG) * 5000)]
     assert got[0].n_chars == len(CASES["plain"][1])
     assert maintext.extracted(df.limit(0)).count() == 0
+
+
+def test_deep_nesting_takes_time_in_proportion():
+    """40,000 unclosed elements and as many end tags that close nothing."""
+    import time
+
+    start = time.time()
+    for page in ("<div>words of text " * 40_000 + "</x>" * 40_000, "<p><b><i>text " * 40_000, "<ul><li>text here" * 40_000):
+        assert maintext.main_text(page)
+    assert time.time() - start < 8
