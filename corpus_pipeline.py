@@ -44,7 +44,8 @@ def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Token ids of every row, with their digests and the check of the way back."""
     ship(spark)
     vocabulary = Path(public_tokenizers.path("byte_bpe_50k.tiktoken")).read_bytes()
-    return bpe.encoded(docs, vocabulary, public_tokenizers.PATTERN)
+    # smaller caches than by default: what earlier stages left in the executors takes its room
+    return bpe.encoded(docs, vocabulary, public_tokenizers.PATTERN, max_states=120_000, max_pieces=120_000)
 
 
 STAGES = [

@@ -54,8 +54,8 @@ class Transducer:
     """Encodes bytes to token ids. States and transitions are kept up to `max_states`; when they
     are full they are dropped and computed again as needed."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 60_000):
-        self.ranks, self.max_states = ranks, max_states
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 250_000):
+        self.ranks, self.max_states, self.max_pairs = ranks, max_states, max_states * 8 // 5
         self.tokens = {rank: token for token, rank in ranks.items()}
         # the trie as one dictionary: 256 * node + byte -> node; its ends: node -> token
         self.trie: dict[int, int] = {}
@@ -106,8 +106,8 @@ class Transducer:
         return len(self.tokens[token]) == 1 or self.halves(token) is not None
 
     def follows(self, left: int, right: int) -> bool:
-        """Whether `right` may come after `left`, or first (NONE); kept for up to 200,000 pairs."""
-        if len(self.pairs) >= 200_000:
+        """Whether `right` may come after `left`, or first (NONE); kept for up to 400,000 pairs."""
+        if len(self.pairs) >= self.max_pairs:
             self.pairs.clear()
         known = self.pairs[left << 32 | right] = self.alone(right) and (left == NONE or self.stands(left, right))
         return known
@@ -267,9 +267,9 @@ class Codec:
     """Pattern, transducer and decoder of one vocabulary, with the pieces encoded last: at least
     `max_pieces` and at most twice as many."""
 
-    def __init__(self, data: bytes, pattern: str, max_pieces: int = 120_000):
+    def __init__(self, data: bytes, pattern: str, max_states: int = 250_000, max_pieces: int = 300_000):
         self.find = regex.compile(pattern).findall
-        self.machine = Transducer(read_ranks(data))
+        self.machine = Transducer(read_ranks(data), max_states)
         self.decoder = Decoder(self.machine.tokens)
         self.names = {token: str(token) for token in self.machine.tokens}
         self.max_pieces = max_pieces
@@ -296,31 +296,33 @@ class Codec:
 CODECS: dict[bytes, Codec] = {}
 
 
-def codec(data: bytes, pattern: str) -> Codec:
+def codec(data: bytes, pattern: str, *limits: int) -> Codec:
     """One codec a worker process and vocabulary."""
-    key = hashlib.sha256(data + pattern.encode()).digest()
+    key = hashlib.sha256(data + f"{pattern} {limits}".encode()).digest()
     if key not in CODECS:
         CODECS.clear()
-        CODECS[key] = Codec(data, pattern)
+        CODECS[key] = Codec(data, pattern, *limits)
         gc.freeze()  # the tables are large and without cycles: they need no search for cycles
     return CODECS[key]
 
 
-def encoded(docs: DataFrame, vocabulary: bytes, pattern: str, id_column: str = "doc_id", text_column: str = "text", ids: bool = True) -> DataFrame:
+def encoded(docs: DataFrame, vocabulary: bytes, pattern: str, id_column: str = "doc_id", text_column: str = "text", ids: bool = True,
+            max_states: int = 250_000, max_pieces: int = 300_000) -> DataFrame:
     """One row per row of docs: id, n_tokens, ids_sha256, decoded_sha256, round_trip, and with
     `ids` the token ids themselves.
 
     The text is encoded whole, every match of the pattern by itself; NULL counts as the empty text.
     The ids are decoded again: round_trip says whether that gave the text back. Rows with equal or
     NULL ids, empty tables and very long texts need no special care: each row is done alone, in
-    memory proportional to its own text. Other columns of docs are left out. The vocabulary file
+    memory proportional to its own text, beside what a worker keeps of the transducer and of pieces
+    (about 475 MB in all on noise words with the limits given, under 200 MB with 45,000 and 80,000, in twice the time). Other columns of docs are left out. The vocabulary file
     (about 1 MB, its size does not depend on the data) is broadcast.
     """
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
     kind = docs.schema[id_column].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(sent.value, pattern)
+        own = codec(sent.value, pattern, max_states, max_pieces)
         name = own.names.__getitem__
         for batch in of_size(batches, 1, BATCH_ROWS, BATCH_BYTES):
             counts, hashes, back, same, lists = [], [], [], [], []

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playbill.llm.common import connected, join_bounded, lower_words, mix, shingles
+from playbill.llm.common import connected, join_bounded, lower_words, mix, of_size, shingles
 from playbill.session import cut_lineage
 
 BAND = 1.5  # ratio of the sizes of a band
@@ -296,7 +296,7 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     source = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("binary").alias("text"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in of_size(batches, 1, 256, 4 << 20):
             sizes, first, second = [], [], []
             for text in batch.column(1).to_pylist():
                 items = shingles(lower_words(text), words)

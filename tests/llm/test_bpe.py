@@ -74,7 +74,7 @@ def test_rows(spark, docs_of, tiktoken_encoding):
 
 
 def test_worker_memory_is_bounded(spark):
-    """A million different noise words: what a worker keeps stays under 200 MB."""
+    """A million different noise words: with small limits a worker stays under 200 MB."""
     import subprocess
     import sys
 
@@ -84,7 +84,7 @@ sys.path.insert(0, %r)
 from pathlib import Path
 import public_tokenizers
 from playbill.llm import bpe
-own = bpe.codec(Path(public_tokenizers.path("byte_bpe_50k.tiktoken")).read_bytes(), public_tokenizers.PATTERN)
+own = bpe.codec(Path(public_tokenizers.path("byte_bpe_50k.tiktoken")).read_bytes(), public_tokenizers.PATTERN, 45_000, 80_000)
 rng = random.Random(1)
 for _ in range(1000):
     text = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=rng.randrange(5, 12))) for _ in range(1000))
