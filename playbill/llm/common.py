@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
@@ -91,6 +93,31 @@ class WordHashes(dict):
 
 
 WORD_HASHES = WordHashes()
+
+
+def release() -> None:
+    """Give back what this worker keeps between tasks, and the memory it has freed."""
+    WORD_HASHES.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def tidy(rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The same function of batches, which releases memory at its end: Spark keeps Python workers
+    for later stages, and idle ones would hold what they have seen beside those at work."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from rows(batches)
+        finally:
+            release()
+
+    return run
+
+
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 

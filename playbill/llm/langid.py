@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from playbill.llm.common import join_bounded
+from playbill.llm.common import join_bounded, tidy
 from playbill.session import cut_lineage
 
 BUCKETS = 1 << 14
@@ -181,7 +181,7 @@ def identified(docs: DataFrame, model: Model, id_column: str = "doc_id", text_co
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())], ["doc_id", "lang_pred", "score", "rejected"])
 
-    return docs.select(id_column, text_column).mapInArrow(rows, f"doc_id {kind}, lang_pred string, score double, rejected boolean")
+    return docs.select(id_column, text_column).mapInArrow(tidy(rows), f"doc_id {kind}, lang_pred string, score double, rejected boolean")
 
 
 def accepted(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
@@ -194,4 +194,4 @@ def accepted(docs: DataFrame, model: Model, text_column: str = "text") -> DataFr
             rejected = sent.value.predict(batch.column(place).to_pylist())[2]
             yield batch.filter(pa.array([not x for x in rejected], pa.bool_()))
 
-    return docs.mapInArrow(rows, docs.schema)
+    return docs.mapInArrow(tidy(rows), docs.schema)

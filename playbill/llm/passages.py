@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from playbill.llm.common import BASE, WORD_HASHES, grams, join_bounded, mix, slices, stored
+from playbill.llm.common import BASE, WORD_HASHES, grams, join_bounded, mix, slices, stored, tidy
 from playbill.llm.setjoin import colliding, linked
 from playbill.session import cut_lineage
 
@@ -193,7 +193,7 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
                 offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))], ["id", "items"])
 
-    made = source.select("doc_id", "text", "version").mapInArrow(units, SECTION)
+    made = source.select("doc_id", "text", "version").mapInArrow(tidy(units), SECTION)
     def beyond(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The windows that begin at the places asked for, with the GAP - 1 words beyond them on a
         side, the nearest first."""
@@ -290,10 +290,10 @@ def spans_of(source: DataFrame, made: DataFrame, to_sets, beyond, min_words: int
         F.collect_set(F.when(F.col("left"), F.col("start"))).alias("left"), F.collect_set(F.when(F.col("right"), F.col("start"))).alias("right")))
     texts = join_bounded(source, places, ["doc_id", "version"], "inner", 200).select("doc_id", "text", "version", "left", "right")
     # one shuffle, by window, side and first word: who shares a word or more is together
-    rows = texts.mapInArrow(beyond, BEYOND).where("length(next) > 0")
+    rows = texts.mapInArrow(tidy(beyond), BEYOND).where("length(next) > 0")
     rows = rows.repartition("key", "side", F.substring("next", 1, WORD_BYTES))
     for order in (F.asc, F.desc):
-        rows = rows.sortWithinPartitions("key", "check", "side", order("next"), "doc_id").mapInArrow(shared_words, BEYOND)
+        rows = rows.sortWithinPartitions("key", "check", "side", order("next"), "doc_id").mapInArrow(tidy(shared_words), BEYOND)
     left = F.when(F.col("side") == 0, F.col("more")).otherwise(0)
     more = cut_lineage(rows.where("more > 0").select(
         "doc_id", "version", (F.col("start") - left).alias("start"), (F.col("start") + min_words + F.col("more") - left).alias("end"), "kept"))
@@ -306,14 +306,14 @@ def spans_of(source: DataFrame, made: DataFrame, to_sets, beyond, min_words: int
     lines = cut_lineage(join_bounded(lines, nodes, ["key"], "inner", 16))
     homes = lines.groupBy("key").agg(F.min(F.struct("doc_id", "version")).alias("home")).select("key", "home.doc_id", "home.version")
     wanted = cut_lineage(homes.groupBy("doc_id", "version").agg(F.collect_list("key").alias("wanted")))
-    sets = join_bounded(source, wanted, ["doc_id", "version"], "inner", 400).select("text", "wanted").mapInArrow(to_sets, "id long, items array<long>")
+    sets = join_bounded(source, wanted, ["doc_id", "version"], "inner", 400).select("text", "wanted").mapInArrow(tidy(to_sets), "id long, items array<long>")
     clusters = linked(sets, close, num, den).withColumnRenamed("node", "key")
     near = lines.join(clusters, "key")
     keepers = near.groupBy("component").agg(F.min("doc_id").alias("kept"))
     near = near.join(keepers, "component").where("doc_id <> kept").select("doc_id", "version", "start", "end", "kept", F.col("short").alias("loose"))
 
     spans = equal.union(near).groupBy("doc_id", "version").agg(F.collect_set(F.struct("start", "end", "kept", "loose")).alias("spans"))
-    return cut_lineage(spans.mapInArrow(to_merged, f"doc_id long, version long, spans {SPAN}"))
+    return cut_lineage(spans.mapInArrow(tidy(to_merged), f"doc_id long, version long, spans {SPAN}"))
 
 
 def merged(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -387,6 +387,6 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["row", "text"])
 
     kinds = rows.select("row").schema
-    cut_rows = rows.select("row", F.col("row")[text_column].alias("text"), "spans").mapInArrow(cut, kinds.add("text", "string"))
+    cut_rows = rows.select("row", F.col("row")[text_column].alias("text"), "spans").mapInArrow(tidy(cut), kinds.add("text", "string"))
     new = {text_column: F.col("text"), length_column: F.length("text").cast("long")}
     return cut_rows.select(*(new.get(c, F.col("row")[c]).alias(c) for c in docs.columns))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playbill.llm.common import connected, join_bounded, lower_words, mix, of_size, shingles
+from playbill.llm.common import connected, join_bounded, lower_words, mix, of_size, shingles, tidy
 from playbill.session import cut_lineage
 
 BAND = 1.5  # ratio of the sizes of a band
@@ -168,7 +168,7 @@ def tiles_to_links(tiles: DataFrame, num: int, den: int) -> DataFrame:
                     right.append(y)
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
-    return tiles.select("members").mapInArrow(rows, "a long, b long").where("a <> b")
+    return tiles.select("members").mapInArrow(tidy(rows), "a long, b long").where("a <> b")
 
 
 def linked(sets: DataFrame, candidates: DataFrame, num: int, den: int) -> DataFrame:
@@ -239,7 +239,7 @@ def to_bitmaps(sets: DataFrame) -> DataFrame:
                 maps.append(bitmap.tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(bounds).astype(np.int64)), pa.array(maps, pa.binary())], ["id", "n", "bitmap"])
 
-    return sets.select("id", "items").mapInArrow(rows, "id long, n long, bitmap binary")
+    return sets.select("id", "items").mapInArrow(tidy(rows), "id long, n long, bitmap binary")
 
 
 def folded(bitmaps: list[bytes], words: int) -> np.ndarray:
@@ -279,7 +279,7 @@ def open_pairs(tiles: DataFrame, place: list[str], num: int, den: int) -> DataFr
                     same = batch.select(list(range(len(place)))).take(pa.array(np.full(len(found), k)))
                     yield pa.RecordBatch.from_arrays([*same.columns, pa.array(own[found]), pa.array(side[found].astype(np.int32))], [*place, "id", "side"])
 
-    return tiles.select(*place, "members").mapInArrow(rows, kinds)
+    return tiles.select(*place, "members").mapInArrow(tidy(rows), kinds)
 
 
 def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -328,15 +328,15 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists], ["id", "items"])
 
-    measured = cut_lineage(source.mapInArrow(measure, f"doc_id {kind}, n_shingles long, h long, g long"))
+    measured = cut_lineage(source.mapInArrow(tidy(measure), f"doc_id {kind}, n_shingles long, h long, g long"))
     classes = measured.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("h", "g", "n_shingles").agg(F.min("doc_id").alias("rep"))
     classes = cut_lineage(classes)
     reps = classes.select(F.col("rep").alias("doc_id")).distinct()
     rep_texts = join_bounded(source, reps, ["doc_id"], "left_semi", 16)
-    keyed = rep_texts.mapInArrow(postings, "key long, id long")
+    keyed = rep_texts.mapInArrow(tidy(postings), "key long, id long")
     links = colliding(keyed)
     nodes = links.select(F.col("a").alias("doc_id")).union(links.select("b")).distinct()
-    sets = join_bounded(source, cut_lineage(nodes), ["doc_id"], "left_semi", 16).mapInArrow(to_sets, "id long, items array<long>")
+    sets = join_bounded(source, cut_lineage(nodes), ["doc_id"], "left_semi", 16).mapInArrow(tidy(to_sets), "id long, items array<long>")
     found = linked(sets, links, num, den)
     labelled = classes.join(found, F.col("rep") == F.col("node"), "left").select("h", "g", "n_shingles", F.coalesce("component", "rep").alias("component"))
     return measured.join(labelled, ["h", "g", "n_shingles"], "left").select(
@@ -376,4 +376,4 @@ def colliding(keyed: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1]))], ["a", "b"])
 
     sorted_ = keyed.repartition("key").sortWithinPartitions("key", "id")
-    return cut_lineage(sorted_.mapInArrow(edges, "a long, b long").distinct())
+    return cut_lineage(sorted_.mapInArrow(tidy(edges), "a long, b long").distinct())
