@@ -45,7 +45,7 @@ def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     ship(spark)
     vocabulary = Path(public_tokenizers.path("byte_bpe_50k.tiktoken")).read_bytes()
     # smaller caches than by default: what earlier stages left in the executors takes its room
-    return bpe.encoded(docs, vocabulary, public_tokenizers.PATTERN, max_states=120_000, max_pieces=120_000)
+    return bpe.encoded(docs, vocabulary, public_tokenizers.PATTERN, max_states=60_000, max_pieces=120_000)
 
 
 STAGES = [

@@ -9,7 +9,8 @@ import pytest
 import tiktoken
 
 import corpus_pipeline
-from playbill.llm import bpe, queries
+from playbill.llm import alignment, bpe, queries
+from tests.llm.test_alignment import BYTE_LEVEL, PIECES, brute_force
 from tests.llm.test_setjoin import all_pairs
 
 FOLDER = Path("/root/testdata/sf0.001")
@@ -100,6 +101,13 @@ def test_op10(spark, texts):
                 assert covered.get(i, set()) >= set(range(k, k + 48))
 
 
+def test_op12(spark, texts):
+    """Every row against whole texts aligned by plain sets of offsets."""
+    expected = dict(zip(texts, brute_force(alignment.Tokenizers(BYTE_LEVEL, PIECES), texts.values())))
+    names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    assert {r.doc_id: tuple(r[c] for c in names) for r in queries.op12_token_alignment(spark, str(FOLDER)).collect()} == expected
+
+
 def test_pipeline(spark, texts, encoding, tmp_path):
     """Each stage against brute force on what its predecessor kept."""
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
