@@ -248,9 +248,10 @@ class Decoder:
     def stream(self, ids: list[int], state: bytes = b"") -> tuple[str, bytes]:
         """Text of the ids and the state after them; feed the state to the next call."""
         if not state:
-            pieces = list(map(self.whole.get, ids))
-            if None not in pieces:
-                return "".join(pieces), b""
+            try:
+                return "".join(map(self.whole.__getitem__, ids)), b""
+            except KeyError:  # a token that is new, or leaves a character unfinished
+                pass
         out = []
         for token in ids:
             found = self.moves.get(state, {}).get(token) or self.move(state, token)
