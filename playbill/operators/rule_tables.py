@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-GRAM = 3  # characters of a keyword that are looked up
+GRAM, LONG_GRAM = 3, 8  # characters of a keyword that are looked up: of a short one, and of a long one
+BROADCAST_ROWS = 200_000  # labels
 
 
 def _grams(text: Column, size: Column | int) -> Column:
@@ -23,21 +24,23 @@ def classify_by_table(titles: DataFrame, rules: DataFrame, title: str = "title")
 
     ``rules`` has (rule_no, type_eng, type_chi, keyword), a row for each keyword, in lower case. The
     last rule with a keyword in the lower-cased title counts, as in ``classify``. Every keyword is
-    looked up by its run of three characters that is the rarest among the rules; keywords that are
-    NULL or empty find nothing. Equal titles are done once.
+    looked up by its run of three characters, of eight if it has as many, that is the rarest among the
+    rules: there are too few runs of three to tell many rules apart. Keywords that are NULL or empty
+    find nothing. Equal titles are done once.
     """
     rules = rules.where(F.length("keyword") > 0).select("rule_no", "type_eng", "type_chi", "keyword").distinct()
-    size = F.least(F.length("keyword"), F.lit(GRAM))
+    length = F.length("keyword")
+    size = F.when(length >= LONG_GRAM, F.lit(LONG_GRAM)).otherwise(F.least(length, F.lit(GRAM)))
     spelt = rules.select("keyword").distinct().select("keyword", size.alias("size"), F.explode(F.array_distinct(_grams(F.col("keyword"), size))).alias("gram"))
     common = spelt.groupBy("gram").agg(F.count("*").alias("times"))
     anchors = spelt.join(common, "gram").groupBy("keyword", "size").agg(F.min_by("gram", F.struct("times", "gram")).alias("gram"))
-    sizes = sorted(row[0] for row in anchors.select("size").distinct().collect())  # 1 to GRAM
-    named = titles.where(F.col(title).isNotNull()).select(F.col(title).alias("title")).distinct().withColumn("lowered", F.lower("title"))
+    sizes = sorted(row[0] for row in anchors.select("size").distinct().collect())  # 1 to GRAM and LONG_GRAM
+    named = titles.where(F.col(title).isNotNull()).select(F.col(title).alias("title")).distinct()
     if not sizes:
         return named.select("title", F.lit(None).cast("string").alias("type_eng"), F.lit(None).cast("string").alias("type_chi")).where(F.lit(False))
-    spelt = F.array_distinct(F.concat(*[_grams(F.col("lowered"), n) for n in sizes]))
-    met = named.select("title", "lowered", F.explode(spelt).alias("gram")).join(anchors.drop("size"), "gram")
-    met = met.where(F.col("lowered").contains(F.col("keyword"))).select("title", "keyword")
+    spelt = F.array_distinct(F.concat(*[_grams(F.lower("title"), n) for n in sizes]))
+    met = named.select("title", F.explode(spelt).alias("gram")).join(anchors.drop("size"), "gram")
+    met = met.where(F.lower("title").contains(F.col("keyword"))).select("title", "keyword")
     found = met.join(rules, "keyword").groupBy("title")
     found = found.agg(F.max(F.struct("rule_no", "type_eng", "type_chi")).alias("rule"))
     return found.select("title", "rule.type_eng", "rule.type_chi")
@@ -54,6 +57,9 @@ def labels_by_table(rows: DataFrame, rules: DataFrame, keep: tuple[str, ...], so
     spread = rows.select(*keep, F.col(source).alias("_source"), F.posexplode(following).alias("_at", "_pair"))
     spread = spread.select(*keep, "_source", "_at", F.col("_pair.alias").alias("_alias"), F.col("_pair.value").alias("_value"))
     known = rules.select(F.col("source").alias("_source"), "field", F.col("alias").alias("_alias"), F.col("rank").alias("_rank")).distinct()
+    # all tokens go through a shuffle unless the planner knows beforehand that the labels are few
+    if known.count() <= BROADCAST_ROWS:
+        known = F.broadcast(known)
     hits = spread.join(known, ["_source", "_alias"])
     first = hits.groupBy(*keep, "field", "_alias", "_rank").agg(F.min(F.struct("_at", "_value")).alias("_hit"))
     told = first.where("_hit._value IS NOT NULL").groupBy(*keep, "field")

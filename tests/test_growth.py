@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from playbill.functions import dates as D
 from playbill.functions import text as X
+from playbill.operators import rule_tables
 from playbill.session import JOB_CONF, with_method_limit
 from playbill.sources import pages as P
 
@@ -36,9 +37,35 @@ def test_a_date_is_parsed_by_one_expression(spark):
     texts = ["5 Jun 2020", "5 june 2020", "5/6/2020", "05.6.2020", "2020-6-5", "2020.06.05", "2020年 6月5日", "5 Sept 2020", "31 Jun 2020", "5/6.2020"]
     rows = spark.createDataFrame([(text,) for text in texts], "text string").withColumn("date", D.parse_date(F.col("text")))
     assert [row.date for row in rows.collect()] == [datetime.date(2020, 6, 5)] * 7 + [None] * 3
-    assert rows._jdf.queryExecution().analyzed().toString().count("gettimestamp(") == 1
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("gettimestamp(") == 1
 
 
 def test_squeezed_text(spark):
     text = " a  b\t c d　e\n"
     assert spark.createDataFrame([(text,)], "t string").select(X.squeeze(F.col("t"))).first()[0] == "a b c d e"
+
+
+def test_many_like_keywords_meet_few_titles(spark):
+    """Keywords that differ in some digits only: a title is compared with a few of them, not with all
+    that share three characters."""
+    count = 3000
+    rules = spark.range(count).selectExpr("id AS rule_no", "'t' AS type_eng", "'c' AS type_chi", "concat('customer#', lpad(id, 9, '0')) AS keyword")
+    titles = spark.range(count).selectExpr("concat('For Customer#', lpad(id, 9, '0'), ' Aa') AS title")
+    longest = spark.createDataFrame([(count, "s", "s", "aa")], rules.schema)
+    size = F.when(F.length("keyword") >= rule_tables.LONG_GRAM, rule_tables.LONG_GRAM).otherwise(rule_tables.GRAM)
+    grams = rules.select("keyword", F.explode(F.array_distinct(rule_tables._grams(F.col("keyword"), size))).alias("gram"))
+    rarest = grams.join(grams.groupBy("gram").count(), "gram").groupBy("keyword").agg(F.min("count").alias("n"))
+    assert rarest.agg(F.max("n")).first()[0] <= 11
+    found = rule_tables.classify_by_table(titles, rules)
+    assert found.count() == count
+    both = rule_tables.classify_by_table(titles, rules.unionByName(longest))
+    assert {row.type_eng for row in both.collect()} == {"s"}
+
+
+def test_few_labels_keep_the_tokens_out_of_a_shuffle(spark):
+    rows = spark.createDataFrame([(1, "x", ["Date", "May", "date", "June"]), (2, "x", ["Fee"])], "id int, source string, tokens array<string>")
+    rules = spark.createDataFrame([("x", "when", "date", 1), ("x", "fee", "fee", 1)], "source string, field string, alias string, rank int")
+    told = rule_tables.labels_by_table(rows, rules, ("id",))
+    assert "BroadcastHashJoin" in told._jdf.queryExecution().sparkPlan().toString()
+    assert [tuple(row) for row in told.collect()] == [(1, "when", "May")]
