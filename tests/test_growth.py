@@ -7,8 +7,10 @@ import datetime
 from pyspark.sql import functions as F
 
 from playbill.functions import dates as D
+from playbill.functions import html as H
 from playbill.functions import text as X
-from playbill.operators import rule_tables
+from playbill.operators import fields, rule_tables
+from playbill.plans import rendering as W, rules as R, venues
 from playbill.session import JOB_CONF, with_method_limit
 from playbill.sources import pages as P
 
@@ -69,3 +71,55 @@ def test_few_labels_keep_the_tokens_out_of_a_shuffle(spark):
     told = rule_tables.labels_by_table(rows, rules, ("id",))
     assert "BroadcastHashJoin" in told._jdf.queryExecution().sparkPlan().toString()
     assert [tuple(row) for row in told.collect()] == [(1, "when", "May")]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_pattern_runs_once_a_row(spark):
+    """An empty match becomes NULL without a second look, within a condition and a chain too."""
+    rows = spark.createDataFrame([("<i>a</i>", "s", "en"), ("<i></i>", "s", "en"), ("", "s", "zh"), (None, "s", "en")], "html string, source string, lang string")
+    rules = [fields.FieldRule("s", "en", "name", 1, "<i>([^<]*)</i>", "b"), fields.FieldRule("s", "en", "name", 2, "<u>([^<]*)</u>")]
+    found = fields.extract_fields(rows, rules)
+    assert [row.name for row in found.collect()] == ["a", None, None, None]
+    assert [_plan(found).count(f"<[{tag}]>([^<]*)") for tag in ("iI", "uU")] == [1, 1]
+    named = rows.select(X.once(H.first_group(F.col("html"), "<i>([^<]*)</i>"), X.unescape).alias("name"))
+    assert _plan(named).count("([^<]*)") == 1
+    assert [row.name for row in named.collect()] == ["a", None, None, None]
+
+
+def test_entries_without_a_key_are_found_by_their_page(spark):
+    """Whether an entry has a key is read off its page; the pattern of its id runs for the key alone."""
+    orders = spark.createDataFrame([(7, 1, "1995-03-05", "3-M", "P", 5.0)], "o_orderkey long, o_custkey long, o_orderdate string, o_orderpriority string, o_orderstatus string, o_totalprice double")
+    halves = venues.page_halves(W.asia_world_expo(W.show_rows(orders)), W.AS_OF, [R.ASIA_WORLD_EXPO])
+    assert halves.count() == 6
+    filters = [line for line in _plan(halves).split("\n") if "Filter" in line and "[^\"]+\\d{4}" in line]
+    assert all("isnotnull(page_id" in line or "isnotnull(page#" in line for line in filters)
+    assert _plan(halves).count("[^\"]+\\d{4}") <= 2
+
+
+def test_a_word_border_is_looked_for_behind_the_letter(spark):
+    texts = ['<a class="b">', '<a data-class="b">', '<a xclass="b">', '<a éclass="b">', '<a _class="b">', "<a CLASS='b'>", 'class=b>', '<a cclass="b">']
+    pattern = H.tolerant(r'\bclass="b"')[0]
+    assert not pattern.startswith(r"\b")
+    plain = r"""\b[cC][lL][aA][sS][sS]\s*=\s*(?:"b"|'b'|b(?=[\s>]))"""
+    rows = spark.createDataFrame([(text,) for text in texts], "t string").select(F.col("t").rlike(pattern).alias("new"), F.col("t").rlike(plain).alias("old"))
+    assert [row.new for row in rows.collect()] == [row.old for row in rows.collect()] == [True, True, False, False, False, True, True, False]
+
+
+def test_all_before_an_end_tag_is_passed_quickly(spark):
+    """The same matches as with a lazy pattern, also without an end, and on texts of a megabyte."""
+    long = "<dt>" + "a <b>x</b>\n" * 100_000 + "</dt>"
+    texts = ["<dt>a</dt><DT id=1>b<i></DT>", "<dt>a<dt>b</dt>c</dt>", "<dt>a", "<dt></dt >x</dt>", "<dt><</dt>", "</dt>", "<dtx>a</dt>", "<p>a<p>b</P>c<pre>", "<p>a<b", "<P></p>", "<p", long]
+    rows = spark.createDataFrame([(text,) for text in texts], "t string")
+    pairs = [(r"(?s)<dt\b[^>]*>(.*?)</dt>", r"(?s)<[dD][tT]\b[^>]*>(.*?)</[dD][tT]>"), (H.PARAGRAPH, r"(?s)<[pP]\b[^>]*>(.*?)(?=</?[pP]\b|\z)")]
+    for pattern, lazy in pairs:
+        assert ".*?" not in H.tolerant(pattern)[0]
+        found = rows.select(H.all_groups(F.col("t"), pattern).alias("new"), F.regexp_extract_all("t", F.lit(lazy), F.lit(1)).alias("old")).collect()
+        assert [row.new for row in found] == [row.old for row in found]
+    for exact in (r"(?s)<dt\b[^>]*>(.*?)</dt>", r"(?s)(<dt\b.*?</dt>)"):
+        found = rows.select(*(F.regexp_extract_all("t", F.lit(p), F.lit(1)).alias(name) for name, p in (("new", H.quick(exact)), ("old", exact)))).collect()
+        assert ".*?" not in H.quick(exact) and [row.new for row in found] == [row.old for row in found]
+    assert H.tolerant(exact)[0] == exact  # as it is written
+    assert H.quick(r"<dt>(.*?)</dt>") == r"<dt>(.*?)</dt>"  # a dot that stops at the end of a line
