@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from playbill.llm.common import BASE, WORD_HASHES, grams, join_bounded, mix, slices, stored, tidy
+from playbill.llm.common import BASE, grams, join_bounded, mix, slices, stored, tidy, word_hashes
 from playbill.llm.setjoin import colliding, linked
 from playbill.session import cut_lineage
 
@@ -36,7 +36,7 @@ LINES = np.uint64(4)  # lines in a section of short lines, on average
 SLICE, SLICE_BYTES = 128, 4 << 20  # texts handled at once
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-SECTION = "kind int, key long, check int, doc_id long, version long, start int, end int, short boolean"
+SECTION = "kind int, key long, check int, doc_id long, version long, start int, end int, short boolean, bands array<long>"
 BEYOND = "key long, check int, side int, doc_id long, version long, start int, next binary, more int, kept long"
 WORD_BYTES = 5  # of a word's hash, in `next`
 SPAN = "array<struct<start:int,end:int,kept:long>>"
@@ -75,7 +75,7 @@ class Texts:
         self.borders, self.ends = np.array(borders, np.int64), np.array(ends, np.int64)
         self.text_of_line = np.repeat(np.arange(len(texts)), lines)
         self.text_of_word = np.repeat(np.arange(len(texts)), np.diff(self.ends))
-        self.hashes = WORD_HASHES.of(words)
+        self.hashes = word_hashes(words)
         power, self.inverse = powers(len(words) + 1)
         self.ordered = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.hashes * power[:-1], dtype=np.uint64)])
         self.bag = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(self.hashes), dtype=np.uint64)])
@@ -145,7 +145,7 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("binary").alias("text"), F.xxhash64(text_column).alias("version"))
 
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """kind 0: windows, 1: paragraphs, 2: bands of paragraphs (doc_id is the paragraph's key)."""
+        """kind 0: windows, 1: paragraphs, with their bands at one place in a slice."""
         for batch in batches:
             data = batch.column(1).to_pylist()
             for a, n in slices(list(map(len, data)), SLICE, SLICE_BYTES):
@@ -153,45 +153,48 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
                 ids, versions = part.column(0).to_numpy(), part.column(2).to_numpy()
                 at, text_of_window = texts.windows(min_words)
                 starts, ends, text_of_line, short = texts.paragraphs(min_words)
-                start, end, owner = np.concatenate([at, starts]), np.concatenate([at + min_words, ends]), np.concatenate([text_of_window, text_of_line])
-                if not len(start):
-                    continue
-                key, check = texts.sections(start, end)
-                kind = np.repeat(np.array([0, 1], np.int32), [len(at), len(starts)])
-                first = texts.ends[owner]
-                yield rows_of(kind, key, check, ids[owner], versions[owner], start - first, end - first, np.concatenate([np.zeros(len(at), bool), short]))
-                if not len(starts):
-                    continue
-                names, each = np.unique(key[len(at) :], return_index=True)
-                starts, ends = starts[each], ends[each]
-                five = np.append(texts.shingles(), np.uint64(0))
-                cuts = np.stack([starts, ends - SHINGLE + 1], axis=1).ravel()
-                for b in range(bands):
-                    total = np.full(len(starts), b, np.uint64)
-                    for k in range(b * rows_of_band, (b + 1) * rows_of_band):
-                        total = mix(total * BASE + np.minimum.reduceat(five * factors[k] + shifts[k], cuts)[::2])
-                    zero = np.zeros(len(names), np.int32)
-                    yield rows_of(zero + 2, total.view(np.int64), zero, names, zero, zero, zero, zero)
-
-    def rows_of(*values: np.ndarray) -> pa.RecordBatch:
-        kinds = (np.int32, np.int64, np.int32, np.int64, np.int64, np.int32, np.int32, bool)
-        return pa.RecordBatch.from_arrays([pa.array(v.astype(t)) for v, t in zip(values, kinds, strict=True)], ["kind", "key", "check", "doc_id", "version", "start", "end", "short"])
+                for kind, start, end, owner, loose in ((0, at, at + min_words, text_of_window, np.zeros(len(at), bool)), (1, starts, ends, text_of_line, short)):
+                    if not len(start):
+                        continue
+                    key, check = texts.sections(start, end)
+                    lists = pa.nulls(len(start), pa.list_(pa.int64())) if kind == 0 else bands_of(texts, key, start, end)
+                    first = texts.ends[owner]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(len(start), kind, np.int32)), pa.array(key), pa.array(check), pa.array(ids[owner]), pa.array(versions[owner]),
+                        pa.array((start - first).astype(np.int32)), pa.array((end - first).astype(np.int32)), pa.array(loose), lists], [c.split()[0] for c in SECTION.split(", ")])
+
+    def bands_of(texts: Texts, key: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """The bands of each different paragraph, where it stands first; NULL where it stands again."""
+        # in the order of the text: what lies between two paragraphs is read too
+        each = np.sort(np.unique(key, return_index=True)[1])
+        five = np.append(texts.shingles(), np.uint64(0))
+        cuts = np.stack([starts[each], ends[each] - SHINGLE + 1], axis=1).ravel()
+        found = np.empty((len(each), bands), np.uint64)
+        for b in range(bands):
+            total = np.full(len(each), b, np.uint64)
+            for k in range(b * rows_of_band, (b + 1) * rows_of_band):
+                total = mix(total * BASE + np.minimum.reduceat(five * factors[k] + shifts[k], cuts)[::2])
+            found[:, b] = total
+        fresh = np.zeros(len(key), bool)
+        fresh[each] = True
+        offsets = np.concatenate([[0], np.cumsum(fresh * bands)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.ravel().view(np.int64)), mask=pa.array(~fresh))
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, sets = [], []
-            for data, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                texts, wanted = Texts([data]), set(wanted)
-                starts, ends, _, _ = texts.paragraphs(min_words)
-                five = texts.shingles()
-                for name, s, e in zip(texts.sections(starts, ends)[0].tolist(), starts, ends, strict=True):
-                    if name in wanted:
-                        wanted.discard(name)
+            for a, n in slices(list(map(len, data := batch.column(0).to_pylist())), SLICE, SLICE_BYTES):
+                texts, wanted = Texts(data[a : a + n]), list(map(set, batch.column(1).slice(a, n).to_pylist()))
+                starts, ends, owner, _ = texts.paragraphs(min_words)
+                five = texts.shingles().view(np.int64)
+                ids, sets = [], []
+                for name, s, e, text in zip(texts.sections(starts, ends)[0].tolist(), starts.tolist(), ends.tolist(), owner.tolist(), strict=True):
+                    if name in wanted[text]:
+                        wanted[text].discard(name)
                         ids.append(name)
-                        sets.append(np.sort(np.unique(five[s : e - SHINGLE + 1]).view(np.int64)))
-            if ids:
-                offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))], ["id", "items"])
+                        sets.append(np.unique(five[s : e - SHINGLE + 1]))
+                if ids:
+                    offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))], ["id", "items"])
 
     made = source.select("doc_id", "text", "version").mapInArrow(tidy(units), SECTION)
     def beyond(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,29 +223,69 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
                         pa.array((at - texts.ends[owner]).astype(np.int32)), pa.BinaryArray.from_buffers(pa.binary(), size, [None, pa.py_buffer(offsets), pa.py_buffer(data_of)]),
                         pa.array(zero.astype(np.int32)), pa.array(ids[owner])], [c.split()[0] for c in BEYOND.split(", ")])
 
-    with stored(made, "passages", "kind") as made:
+    with stored(made, "passages", "kind", "zstd") as made:
         return spans_of(source, made, to_sets, beyond, min_words, num, den)
 
 
-SAME = ["kind", "key", "check"]
-
+SAME = ["key", "check", "kind"]  # the key first: rows are sorted by their first column, and only ties by the others
 
-def equal_to_earlier(sections: DataFrame) -> DataFrame:
-    """The sections that a document with a smaller id has too, with the smallest id: kept."""
-    first = sections.groupBy(*SAME).agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("last")).where("kept < last").drop("last")
-    return sections.join(first, SAME).where("doc_id <> kept")
 
+def in_several(sections: DataFrame) -> DataFrame:
+    """The sections that two documents or more have, with the smallest id of these: kept. Sections of
+    one document that are first or last in a batch may stay; they have its own id as kept."""
 
-def at_ends(equal: DataFrame) -> DataFrame:
-    """(key, check, left, right): the equal windows less than GAP words from where the words of a
-    document that equal windows cover begin (left) or end (right)."""
-    place = Window.partitionBy("doc_id", "version")
-    up, down = place.orderBy("start"), place.orderBy(F.col("start").desc())
-    windows = equal.where("kind = 0")
-    for name, order, gap in (("began", up, F.col("start") - F.lag("end").over(up)), ("ended", down, F.lag("start").over(down) - F.col("end"))):
-        windows = windows.withColumn("gap", gap).withColumn(name, F.last(F.when(F.col("gap").isNull() | (F.col("gap") > 0), F.col("start" if name == "began" else "end")), True).over(order))
-    windows = windows.select("key", "check", (F.col("start") - F.col("began") < GAP - 1).alias("left"), (F.col("ended") - F.col("end") < GAP - 1).alias("right"))
-    return windows.where("left OR right").groupBy("key", "check").agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, least = None, 0
+        for batch in batches:
+            if not len(batch):
+                continue
+            same, docs = [batch.column(c).to_numpy() for c in SAME], batch.column("doc_id").to_numpy()
+            fresh = np.ones(len(docs), bool)
+            fresh[1:] = np.any([x[1:] != x[:-1] for x in same], axis=0)
+            starts = np.flatnonzero(fresh)
+            ends = np.append(starts[1:], len(docs))
+            kept = docs[starts]
+            several = docs[ends - 1] != kept
+            if last == [x[0] for x in same]:  # goes on from the batch before
+                kept[0], several[0] = least, True
+            several[-1] = True  # may go on in the next one
+            last, least = [x[-1] for x in same], kept[-1]
+            keep = np.repeat(several, ends - starts)
+            yield pa.RecordBatch.from_arrays([*batch.filter(pa.array(keep)).columns, pa.array(np.repeat(kept, ends - starts)[keep])], [*batch.schema.names, "kept"])
+
+    ordered = sections.repartition(*SAME).sortWithinPartitions(*SAME, "doc_id")
+    return ordered.mapInArrow(tidy(rows), sections.withColumn("kept", F.col("doc_id")).schema)
+
+
+def covered(windows: DataFrame) -> DataFrame:
+    """(doc_id, version, start, end, kept, windows): the words of a document that equal windows
+    cover without a gap, with those of its windows (key, check) that begin less than GAP words from
+    where they begin (left) or end so from where they end (right)."""
+    place = Window.partitionBy("doc_id", "version").orderBy("start")
+    gap = F.col("start") - F.lag("end").over(place)
+    windows = windows.withColumn("fresh", F.when(F.coalesce(gap > 0, F.lit(True)), F.col("start")))
+    windows = windows.withColumn("began", F.last("fresh", True).over(place))
+    windows = windows.groupBy("doc_id", "version", "began").agg(
+        F.max("end").alias("ended"), F.min("kept").alias("kept"), F.collect_list(F.struct("key", "check", "start", "end")).alias("windows"))
+    marked = F.transform("windows", lambda w: F.struct(
+        w.key.alias("key"), w.check.alias("check"), (w.start - F.col("began") < GAP - 1).alias("left"), (F.col("ended") - w.end < GAP - 1).alias("right")))
+    return windows.select("doc_id", "version", F.col("began").alias("start"), F.col("ended").alias("end"), "kept", F.filter(marked, lambda w: w.left | w.right).alias("windows"))
+
+
+def words_shared(column: pa.Array, last: bytes) -> tuple[list[int], list[int], bytes]:
+    """How many words each value has, how many of them at its start are those of the value before
+    (`last` for the first; GAP - 1 if the two are equal), and the last value."""
+    size = (GAP - 1) * WORD_BYTES
+    counts = np.diff(np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1])
+    padded = np.zeros((len(column) + 1, size), np.uint8)
+    padded[0, : len(last)] = np.frombuffer(last, np.uint8)
+    inside = np.arange(size) < counts[:, None]
+    padded[1:][inside] = np.frombuffer(b"".join(column.to_pylist()), np.uint8)
+    counts = np.append(len(last), counts)
+    differ = padded[1:] != padded[:-1]
+    same = np.minimum(np.where(differ.any(axis=1), differ.argmax(axis=1), size), np.minimum(counts[1:], counts[:-1])) // WORD_BYTES
+    same[(counts[1:] == counts[:-1]) & (same * WORD_BYTES == counts[1:])] = GAP - 1
+    return (counts[1:] // WORD_BYTES).tolist(), same.tolist(), column[-1].as_py() if len(column) else last
 
 
 def shared_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,16 +296,14 @@ def shared_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     least = [never] * GAP
     last_window, last = None, b""
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in (0, 1, 2, 3, 6, 7, 8)]
+        columns = [batch.column(c).to_numpy().tolist() for c in (0, 1, 2, 3, 7, 8)]
         found, keepers = [], []
-        for key, check, side, doc, words, more, kept in zip(*columns, strict=True):
+        counts, shared, last = words_shared(batch.column(6), last)
+        for key, check, side, doc, more, kept, own, same in zip(*columns, counts, shared, strict=True):
             if (key, check, side) != last_window:
                 last_window, least = (key, check, side), [never] * GAP
-            elif words != last:
-                same = next((i for i, (x, y) in enumerate(zip(words, last)) if x != y), min(len(words), len(last))) // WORD_BYTES
+            elif same < GAP - 1:
                 least[same + 1 :] = [never] * (GAP - 1 - same)
-            last = words
-            own = len(words) // WORD_BYTES
             best = own
             while best > more and least[best] >= doc:
                 best -= 1
@@ -281,13 +322,15 @@ def shared_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def spans_of(source: DataFrame, made: DataFrame, to_sets, beyond, min_words: int, num: int, den: int) -> DataFrame:
     """The spans of the documents, from the paragraphs found in them."""
-    equal = cut_lineage(equal_to_earlier(made.where("kind < 2")).select("kind", "key", "check", "doc_id", "version", "start", "end", "kept"))
-
-    # equal windows at the ends of what is equal, in every document that has them: the words beyond
-    seeds = cut_lineage(at_ends(equal))
-    places = join_bounded(made.where("kind = 0").select("key", "check", "doc_id", "version", "start"), seeds, ["key", "check"], "inner", 24)
-    places = cut_lineage(places.groupBy("doc_id", "version").agg(
-        F.collect_set(F.when(F.col("left"), F.col("start"))).alias("left"), F.collect_set(F.when(F.col("right"), F.col("start"))).alias("right")))
+    with stored(in_several(made.drop("short", "bands")), "shared", "kind", "zstd") as shared:
+        equal = shared.where("doc_id <> kept")
+        runs = cut_lineage(covered(equal.where("kind = 0")))
+        equal = cut_lineage(equal.where("kind = 1").select("doc_id", "version", "start", "end", "kept"))
+        # equal windows at the ends of what is equal, in every document that has them: the words beyond
+        seeds = cut_lineage(runs.select(F.inline("windows")).groupBy("key", "check").agg(F.max("left").alias("left"), F.max("right").alias("right")))
+        places = join_bounded(shared.where("kind = 0").select("key", "check", "doc_id", "version", "start"), seeds, ["key", "check"], "inner", 24)
+        places = cut_lineage(places.groupBy("doc_id", "version").agg(
+            F.collect_set(F.when(F.col("left"), F.col("start"))).alias("left"), F.collect_set(F.when(F.col("right"), F.col("start"))).alias("right")))
     texts = join_bounded(source, places, ["doc_id", "version"], "inner", 200).select("doc_id", "text", "version", "left", "right")
     # one shuffle, by window, side and first word: who shares a word or more is together
     rows = texts.mapInArrow(tidy(beyond), BEYOND).where("length(next) > 0")
@@ -297,10 +340,10 @@ def spans_of(source: DataFrame, made: DataFrame, to_sets, beyond, min_words: int
     left = F.when(F.col("side") == 0, F.col("more")).otherwise(0)
     more = cut_lineage(rows.where("more > 0").select(
         "doc_id", "version", (F.col("start") - left).alias("start"), (F.col("start") + min_words + F.col("more") - left).alias("end"), "kept"))
-    equal = equal.select("doc_id", "version", "start", "end", "kept").union(more).withColumn("loose", F.lit(False))
+    equal = equal.union(runs.drop("windows")).union(more).withColumn("loose", F.lit(False))
 
     # near copies of paragraphs: each different paragraph is one node
-    close = colliding(made.where("kind = 2").select("key", F.col("doc_id").alias("id")).distinct())
+    close = colliding(made.where("kind = 1").select(F.explode("bands").alias("band"), F.col("key").alias("id")).withColumnRenamed("band", "key"))
     nodes = cut_lineage(close.select(F.col("a").alias("key")).union(close.select("b")).distinct())
     lines = made.where("kind = 1").select("key", "doc_id", "version", "start", "end", "short")
     lines = cut_lineage(join_bounded(lines, nodes, ["key"], "inner", 16))
@@ -349,12 +392,19 @@ def within_borders(equal: list[tuple[int, int, int]], loose: list[tuple[int, int
 def to_merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The spans of each document, loose ones within the borders of equal runs, merged."""
     for batch in batches:
-        rows = []
-        for spans in batch.column(2).to_pylist():
-            equal, loose = ([(x["start"], x["end"], x["kept"]) for x in spans if x["loose"] is kind] for kind in (False, True))
-            rows.append([dict(zip(("start", "end", "kept"), x, strict=True)) for x in merged(equal + within_borders(equal, loose))])
-        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kept", pa.int64())]))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, kind)], ["doc_id", "version", "spans"])
+        lists = batch.column(2)
+        bounds, values = lists.offsets.to_numpy().tolist(), lists.values
+        start, end, kept, loose = (values.field(i).to_numpy(zero_copy_only=False).tolist() for i in range(4))
+        found, sizes = [], [0]
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            equal, near = [], []
+            for i in range(a, b):
+                (near if loose[i] else equal).append((start[i], end[i], kept[i]))
+            found += merged(equal + within_borders(equal, near) if near else equal)
+            sizes.append(len(found))
+        columns = zip(*found, strict=True) if found else ([], [], [])
+        spans = pa.StructArray.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int32(), pa.int32(), pa.int64()), strict=True)], ["start", "end", "kept"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), spans)], ["doc_id", "version", "spans"])
 
 
 def removals(docs: DataFrame, **settings) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playbill.llm.common import WORD_HASHES, join_bounded
+from playbill.llm.common import join_bounded, word_hashes
 from playbill.session import cut_lineage
 
 # letters in lower case and bytes above ASCII stay; the ends of sentences are line feeds, the rest blanks
@@ -73,7 +73,7 @@ class Model:
         if not sizes.sum():
             return np.zeros(len(parts))
         owner = np.repeat(np.arange(len(parts)), sizes)
-        hashes = WORD_HASHES.of([w for p in parts for w in p])
+        hashes = word_hashes([w for p in parts for w in p])
         total = np.full(len(parts), self.bias)
         if len(self.words):
             at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
@@ -112,7 +112,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
             data, sizes = [], []
             for text in batch.column(2).to_pylist():
                 parts = [p for p in sentences(text) if p]
-                each = [np.unique(WORD_HASHES.of(p)) for p in parts]
+                each = [np.unique(word_hashes(p)) for p in parts]
                 data.append(np.concatenate(each).tobytes() if each else b"")
                 sizes.append(np.array(list(map(len, each)), np.int32).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(data, pa.binary()), pa.array(sizes, pa.binary())], ["doc_id", "y", "data", "sizes"])

@@ -155,3 +155,25 @@ def test_runs_in_full_length(spark, docs_of):
     always, at_most = shared(48), shared(32)
     assert sum(map(len, always.values())) > 2000
     assert all(always[i] <= lost[i] <= at_most[i] for i in lost)
+
+
+def test_sections_in_several_documents_meet_in_one_shuffle(spark):
+    """Also where a group goes on over many batches; the smallest id and all places are found."""
+    rows = [(k % 2, DRAW.randrange(40), DRAW.randrange(2), DRAW.randrange(25), 0, k, k + 32) for k in range(400)]
+    rows += [(0, 99, 0, 50 + k % 30, 0, k, k + 32) for k in range(90)] + [(0, 98, 0, 7, 0, k, k + 32) for k in range(20)]
+    df = spark.createDataFrame(rows, "kind int, key long, check int, doc_id long, version long, start int, end int")
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "7")
+    try:
+        found = passages.in_several(df)
+        assert found._jdf.queryExecution().sparkPlan().toString().count("RepartitionByExpression") + found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+        got = [(*r,) for r in found.collect()]
+    finally:
+        spark.conf.set(name, before)
+    docs = {}
+    for r in rows:
+        docs.setdefault(r[:3], set()).add(r[3])
+    several = sorted((*r, min(docs[r[:3]])) for r in rows if len(docs[r[:3]]) > 1)
+    assert sorted(r for r in got if len(docs[r[:3]]) > 1) == several
+    assert all(r[7] == r[3] for r in got if len(docs[r[:3]]) == 1)
