@@ -53,3 +53,16 @@ def test_shingles():
     assert words == [b"a", "b c".encode(), b"a", "b c".encode(), b"a"]
     assert len(common.shingles(words, 3)) == 2 and len(common.shingles(words[:2], 3)) == 1 and len(common.shingles([], 3)) == 0
     assert common.lower_words(None) == []
+
+
+def test_workers_get_small_batches(spark):
+    """Long texts go to a Python worker a few megabytes at a time, unless the session has its own limit."""
+    name, default = common.BATCH_CONF, f"{common.BATCH_DEFAULT}b"
+    before = spark.conf.get(name)
+    try:
+        for own, expected in ((default, common.BATCH_BYTES), ("9000000b", 9_000_000)):
+            spark.conf.set(name, own)
+            common.ship(spark)
+            assert int(spark.conf.get(name).strip("b")) == expected
+    finally:
+        spark.conf.set(name, before)
