@@ -50,3 +50,44 @@ def test_labels_by_table_agree_with_literals(spark):
         value = K.after_label(F.col("tokens"), K.lower_tokens(F.col("tokens")), *aliases)
         expected |= {(r.id, field, r.v) for r in df.where(F.col("source") == source).select("id", value.alias("v")).collect() if r.v is not None}
     assert {tuple(r) for r in found.collect()} == expected and len(expected) > 100
+
+
+def _told(rows, rules):
+    """What the rows tell by name: the first place of a label in all rows of a name counts."""
+    first = {}
+    for name, source, tokens in rows:
+        for at, token in enumerate(tokens or ()):
+            for of, field, alias, rank in rules:
+                if of == source and token is not None and token.lower() == alias:
+                    value = tokens[at + 1] if at + 1 < len(tokens) else None
+                    key = (name, field, alias, rank)
+                    first[key] = min(first.get(key, (at, value)), (at, value), key=lambda hit: (hit[0], hit[1] is not None, hit[1] or ""))
+    best = {}
+    for (name, field, alias, rank), (_, value) in first.items():
+        if value is not None:
+            best[name, field] = max(best.get((name, field), ((rank, alias), value)), ((rank, alias), value))
+    return {(name, field, value) for (name, field), (_, value) in best.items()}
+
+
+def test_labels_by_table_of_repeated_names_and_null_tokens(spark):
+    """Rows of one name are told together, NULL is a name, and a NULL token behind a label hides it."""
+    rng = random.Random(3)
+    words = ["a", "A", "b", "c", "d", "x", "y", None, ""]
+    rules = [(s, f, a, r) for s, f, a, r in [("p", "f", "a", 1), ("p", "f", "b", 2), ("p", "g", "b", 1), ("p", "f", "a", 3), ("q", "f", "c", 1), ("q", "g", "a", 2), ("q", "g", "d", 2)]]
+    table = spark.createDataFrame(rules, "source string, field string, alias string, rank int")
+    for names in (400, 60, 1):  # hardly any name is repeated, most are, all are
+        rows = [(rng.choice([None, *range(names)]) if names < 400 else n, rng.choice("pq"), rng.choices(words, k=rng.randrange(0, 9))) for n in range(400)]
+        found = rule_tables.labels_by_table(spark.createDataFrame(rows, "id int, source string, tokens array<string>"), table, ("id",)).collect()
+        assert {tuple(r) for r in found} == _told(rows, rules) and len(found) == len({r[:2] for r in found})
+
+
+def test_labels_of_single_rows_stay_in_their_task(spark):
+    """Only what a row tells is shuffled, not its hits of every label."""
+    tokens = [f"l{k % 40}" for k in range(200)]
+    rules = spark.createDataFrame([("p", "f", f"l{k}", k) for k in range(40)], "source string, field string, alias string, rank int")
+    rows = spark.createDataFrame([(n, "p", tokens) for n in range(50)], "id int, source string, tokens array<string>")
+    found = rule_tables.labels_by_table(rows, rules, ("id",))
+    assert {tuple(r) for r in found.collect()} == {(n, "f", "l0") for n in range(50)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.split("\n") if "Exchange hashpartitioning(id#" in line]
+    assert dealt and not any("_alias" in line for line in dealt)
