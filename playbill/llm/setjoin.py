@@ -5,22 +5,23 @@
    elements. In each size band the elements are dealt by their hashes to k + 1 parts or more, so the
    two sets agree in at least one part whole: equal parts are found by equality of one hash. No link
    is lost, and a passage that many texts share makes no candidates, as its elements lie in many parts.
-3. Candidates are grouped by connection; sets of a group meet in tiles of bounded content. In a
-   tile, the bits that two bitmaps have in common bound the overlap from above; pairs that pass are
-   intersected exactly, unless links found before already connect them.
+3. Sets that share a key with one hub, the smallest id of that key, meet in tiles of bounded content
+   (`linked_by_hubs`). In a tile, the bits that two bitmaps have in common bound the overlap from above; pairs that pass are
+   intersected exactly, unless links found before already connect them. Where keys may miss a link
+   (MinHash bands), all that candidates connect meets (`linked`).
 4. Verified links are connected to components.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playbill.llm.common import connected, join_bounded, lower_words, mix, of_size, shingles, tidy
+from playbill.llm.common import among, connected, join_bounded, lower_words, mix, of_size, shingles, tidy
 from playbill.session import cut_lineage
 
 BAND = 1.5  # ratio of the sizes of a band
@@ -108,15 +109,15 @@ def overlaps(a: np.ndarray, b: np.ndarray) -> int:
 
 def links_of_tile(ids: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
     """Links with 100 * overlap >= ... that connect the sets of a tile: every pair that links is
-    connected by the links returned. Sides: rows of side 1 are compared with rows of side 0 only;
-    in a tile of one side all are compared."""
+    connected by the links returned. Sides: rows of side 1 are compared with those of the other
+    sides, rows of side 2 with those of sides 0 and 2; in a tile of one side all are compared."""
     sizes = np.array([len(s) for s in sets], np.int64)
     order = np.argsort(sizes, kind="stable")
     ids, sides, sizes, sets = ids[order], sides[order], sizes[order], [sets[i] for i in order]
     n = len(ids)
     if n == 1:
         return []
-    two = bool(sides.any()) and not bool(sides.all())
+    two = bool((sides != sides[0]).any())
     label = np.arange(n)
     if n > 2:
         # fewer bits bound the overlap less closely, but still from above
@@ -128,14 +129,13 @@ def links_of_tile(ids: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], nu
         maps = maps.view(np.uint64)
         spare = sizes - np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
     found = []
-    for i in range(n - 1):
+    for i in np.flatnonzero(sides > 0) if two else range(n - 1):
+        first = int(np.searchsorted(sizes * den, sizes[i] * num, side="left")) if two else i + 1
         last = int(np.searchsorted(sizes * num, sizes[i] * den, side="right"))
-        if last <= i + 1:
-            continue
-        others = np.arange(i + 1, last)
+        others = np.arange(first, max(first, last))
         others = others[label[others] != label[i]]
         if two:
-            others = others[sides[others] != sides[i]]
+            others = others[sides[others] != 1]
         if not len(others):
             continue
         if n > 2:
@@ -223,8 +223,77 @@ def linked(sets: DataFrame, candidates: DataFrame, num: int, den: int) -> DataFr
     return connected(first.union(second))
 
 
-def to_bitmaps(sets: DataFrame) -> DataFrame:
-    """(id, n, bitmap): the elements hashed to bits, at least eight times as many bits as elements."""
+PLACE = ["hub", "band", "slice", "stray_band", "stray_slice"]
+
+
+def linked_by_hubs(sets_of: Callable[[DataFrame], DataFrame], candidates: DataFrame, num: int, den: int) -> DataFrame:
+    """(node, component) of the sets that have a link, from candidates (a, hub) as `colliding` gives
+    them, where sets that link have a key in common: two of them have one hub, or one is the other's.
+
+    So only members of a hub meet, not all that candidates connect: a passage in many texts connects
+    very many that have little in common. Members meet their hub first; then those that are not yet
+    connected to the largest part of the hub's members meet the others of them. Bitmaps say which
+    sets may link; only their texts are read again, and no set is stored. `sets_of` gives (id, items) for ids, which may have several sets.
+    """
+    stars = candidates.selectExpr("a AS id", "b AS hub")
+    nodes = cut_lineage(stars.select("id").union(stars.select("hub")).distinct())
+    maps = cut_lineage(to_bitmaps(sets_of(nodes), 2).withColumn("in_band", F.floor(F.log("n") / F.log(F.lit(BAND)) + 1e-9).cast("int")))
+    sizes = maps.select("id", "n", "in_band").distinct()
+    apart = bands_apart(num, den)
+    mass = F.greatest("n", F.lit(64))  # many small sets make a tile slow, however few their elements
+
+    def links(meeting: DataFrame) -> DataFrame:
+        """(a, b) from rows (id, n, part, side) with their place."""
+        rows = maps.join(meeting, ["id", "n"]).select(*PLACE, F.struct("id", "part", "side", "n", "bitmap").alias("member"))
+        needed = cut_lineage(open_pairs(rows.groupBy(*PLACE).agg(F.collect_list("member").alias("members")), PLACE, num, den))
+        again = sets_of(cut_lineage(needed.select("id").distinct()))
+        rows = again.join(needed.distinct(), "id").select(*PLACE, F.struct("id", "side", "items").alias("member"))
+        return cut_lineage(tiles_to_links(rows.groupBy(*PLACE).agg(F.collect_list("member").alias("members")), num, den))
+
+    # every member and its hub
+    hubs = stars.select("hub").distinct().join(sizes.selectExpr("id AS hub", "n AS hub_n", "in_band AS hub_band"), "hub")
+    members = cut_lineage(stars.join(sizes, "id").withColumn("mass", mass))
+    near = members.join(hubs, "hub").where(f"abs(in_band - hub_band) <= {apart}").select(*members.columns).distinct()
+    counted = near.groupBy("hub").agg(slices_of("mass").alias("slices"))
+    place = [F.lit(-1).alias("band"), "slice", F.lit(-1).alias("stray_band"), F.lit(0).alias("stray_slice")]
+    dealt = near.join(counted, "hub").withColumn("slice", F.pmod(F.xxhash64("id"), "slices").cast("int"))
+    dealt = dealt.select("id", "n", F.col("id").alias("part"), F.lit(0).alias("side"), "hub", *place)
+    calls = hubs.join(counted, "hub").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    calls = calls.select(F.col("hub").alias("id"), F.col("hub_n").alias("n"), F.col("hub").alias("part"), F.lit(1).alias("side"), "hub", *place)
+    first = links(dealt.union(calls))
+
+    # members of a hub that are in several parts
+    parts = members.join(connected(first).selectExpr("node AS id", "component AS part"), "id", "left").withColumn("part", F.coalesce("part", "id"))
+    parts = cut_lineage(parts)
+    largest = parts.groupBy("hub", "part").agg(F.sum("mass").alias("mass")).groupBy("hub").agg(F.max(F.struct("mass", "part")).alias("top"), F.count("*").alias("parts"), slices_of("mass").alias("slices"))
+    still = parts.join(largest.where("parts > 1").selectExpr("hub", "top.part AS top", "slices AS of_hub"), "hub")
+    still = cut_lineage(still.withColumn("stray", F.col("part") != F.col("top")))
+    side = F.when(F.col("stray"), 2).otherwise(0)
+    small = still.where("of_hub = 1").select("id", "n", "part", side.alias("side"), "hub", F.lit(-1).alias("band"), F.lit(0).alias("slice"), F.lit(-1).alias("stray_band"), F.lit(0).alias("stray_slice"))
+    # those of a hub with very many meet in tiles by band
+    large = still.where("of_hub > 1")
+    strays = large.where("stray")
+    homes = large.join(large.groupBy("hub", "in_band").agg(slices_of("mass").alias("slices")), ["hub", "in_band"])
+    homes = homes.withColumn("band", F.col("in_band")).withColumn("slice", F.pmod(F.xxhash64("id"), "slices").cast("int"))
+    bands = strays.groupBy("hub", F.col("in_band").alias("stray_band")).agg(slices_of("mass").alias("stray_slices"))
+    close = f"abs(band - stray_band) <= {apart}"
+    at_home = homes.join(bands, "hub").where(close).withColumn("stray_slice", F.explode(F.sequence(F.lit(0), F.col("stray_slices") - 1)))
+    visitors = strays.withColumn("stray_band", F.col("in_band")).join(bands, ["hub", "stray_band"])
+    visitors = visitors.withColumn("stray_slice", F.pmod(F.xxhash64("id", F.lit(1)), "stray_slices").cast("int"))
+    visitors = visitors.join(homes.select("hub", "band", "slice").distinct(), "hub").where(close)
+    meeting = small
+    for rows, number in ((at_home, 0), (visitors, 1)):
+        meeting = meeting.union(rows.select("id", "n", "part", F.lit(number).alias("side"), *PLACE))
+    return connected(first.union(links(meeting)))
+
+
+def slices_of(mass: str) -> Column:
+    """How many tiles of bitmaps a group fills."""
+    return F.ceil(F.sum(mass) / (WIDE * TILE_ITEMS)).cast("int")
+
+
+def to_bitmaps(sets: DataFrame, bits_each: int = 8) -> DataFrame:
+    """(id, n, bitmap): the elements hashed to bits, at least `bits_each` times as many bits as elements."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,7 +301,7 @@ def to_bitmaps(sets: DataFrame) -> DataFrame:
             bounds, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
             maps = []
             for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                bits = max(64, 1 << int(8 * (b - a) - 1).bit_length())
+                bits = max(64, 1 << int(bits_each * (b - a) - 1).bit_length())
                 where = (mix(values[a:b].view(np.uint64)) % np.uint64(bits)).astype(np.int64)
                 bitmap = np.zeros(bits // 8, np.uint8)
                 np.bitwise_or.at(bitmap, where >> 3, (1 << (where & 7)).astype(np.uint8))
@@ -242,17 +311,19 @@ def to_bitmaps(sets: DataFrame) -> DataFrame:
     return sets.select("id", "items").mapInArrow(tidy(rows), "id long, n long, bitmap binary")
 
 
-def folded(bitmaps: list[bytes], words: int) -> np.ndarray:
-    """Bitmaps of any power of two of bits, folded to `words` 64-bit words each."""
+def folded(bitmaps: list[bytes], words: int, length: np.ndarray) -> np.ndarray:
+    """Bitmaps of any power of two of bits, folded to `words` 64-bit words each; zeros for those that
+    have fewer."""
     out = np.zeros((len(bitmaps), words), np.uint64)
-    for i, data in enumerate(bitmaps):
-        out[i] = np.bitwise_or.reduce(np.frombuffer(data, np.uint64).reshape(-1, words), axis=0)
+    for i in np.flatnonzero(length >= words):
+        out[i] = np.bitwise_or.reduce(np.frombuffer(bitmaps[i], np.uint64).reshape(-1, words), axis=0)
     return out
 
 
 def open_pairs(tiles: DataFrame, place: list[str], num: int, den: int) -> DataFrame:
     """(place, id, side) of the members of a tile that may link with one of the other side and of
-    another part: the bits two bitmaps share, and what collisions may hide, bound the overlap."""
+    another part (side 2 is on both): the bits two bitmaps share, and what collisions may hide, bound
+    the overlap."""
     kinds = tiles.select(*place, F.lit(0).cast("long").alias("id"), F.lit(0).alias("side")).schema
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,16 +335,20 @@ def open_pairs(tiles: DataFrame, place: list[str], num: int, den: int) -> DataFr
             for k in range(len(batch)):
                 a, b = starts[k], starts[k + 1]
                 data = bitmaps[a:b].to_pylist()
-                maps = folded(data, min(map(len, data)) // 8)
                 own, part, side, size = ids[a:b], parts[a:b], sides[a:b], sizes[a:b]
-                spare = size - np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
-                home, needed = np.flatnonzero(side == 0), np.zeros(b - a, bool)
-                for v in np.flatnonzero(side == 1):
+                length = np.array(list(map(len, data))) // 8
+                maps = {words: folded(data, words, length) for words in np.unique(length).tolist()}
+                spare = {words: size - np.bitwise_count(maps[words]).sum(axis=1, dtype=np.int64) for words in maps}
+                home, needed = np.flatnonzero(side != 1), np.zeros(b - a, bool)
+                for v in np.flatnonzero(side != 0):
                     near = home[(part[home] != part[v]) & (np.minimum(size[home], size[v]) * den >= np.maximum(size[home], size[v]) * num)]
-                    most = np.bitwise_count(maps[near] & maps[v]).sum(axis=1, dtype=np.int64) + np.minimum(spare[near], spare[v])
-                    near = near[(num + den) * most >= num * (size[near] + size[v])]
-                    needed[near] = True
-                    needed[v] |= len(near) > 0
+                    shorter = np.minimum(length[near], length[v])
+                    for words in np.unique(shorter).tolist():
+                        others = near[shorter == words]
+                        most = np.bitwise_count(maps[words][others] & maps[words][v]).sum(axis=1, dtype=np.int64) + np.minimum(spare[words][others], spare[words][v])
+                        others = others[(num + den) * most >= num * (size[others] + size[v])]
+                        needed[others] = True
+                        needed[v] |= len(others) > 0
                 found = np.flatnonzero(needed)
                 if len(found):
                     same = batch.select(list(range(len(place)))).take(pa.array(np.full(len(found), k)))
@@ -331,13 +406,14 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     measured = cut_lineage(source.mapInArrow(tidy(measure), f"doc_id {kind}, n_shingles long, h long, g long"))
     classes = measured.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("h", "g", "n_shingles").agg(F.min("doc_id").alias("rep"))
     classes = cut_lineage(classes)
-    reps = classes.select(F.col("rep").alias("doc_id")).distinct()
-    rep_texts = join_bounded(source, reps, ["doc_id"], "left_semi", 16)
-    keyed = rep_texts.mapInArrow(tidy(postings), "key long, id long")
-    links = colliding(keyed)
-    nodes = links.select(F.col("a").alias("doc_id")).union(links.select("b")).distinct()
-    sets = join_bounded(source, cut_lineage(nodes), ["doc_id"], "left_semi", 16).mapInArrow(tidy(to_sets), "id long, items array<long>")
-    found = linked(sets, links, num, den)
+    def sets_of(ids: DataFrame) -> DataFrame:
+        return join_bounded(source, ids.select(F.col("id").alias("doc_id")), ["doc_id"], "left_semi", 16).mapInArrow(tidy(to_sets), "id long, items array<long>").where("size(items) > 0")
+
+    reps = cut_lineage(classes.select(F.col("rep").alias("doc_id")).distinct())
+    others = cut_lineage(measured.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id").distinct().join(reps, "doc_id", "left_anti"))
+    rep_texts = among(source.where("doc_id IS NOT NULL"), ["doc_id"], reps, others)
+    links = colliding(rep_texts.mapInArrow(tidy(postings), "key long, id long"))
+    found = linked_by_hubs(sets_of, links, num, den)
     labelled = classes.join(found, F.col("rep") == F.col("node"), "left").select("h", "g", "n_shingles", F.coalesce("component", "rep").alias("component"))
     return measured.join(labelled, ["h", "g", "n_shingles"], "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
@@ -346,12 +422,16 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", **settings) -> DataFrame:
     """The rows of docs, all their columns, with one document of each group of near copies: the one
     with the smallest id. Of rows that repeat an id one stays, the least by text; rows with a NULL id stay."""
-    found = near_copies(docs, id_column, **settings)
-    kept = cut_lineage(found.where("doc_id = component_id").groupBy(F.col("doc_id").alias(id_column)).agg(F.count("*").alias("_times")))
-    rows = join_bounded(docs.where(F.col(id_column).isNotNull()), kept, [id_column], "inner", 24).select(*docs.columns, "_times")
-    single = rows.where("_times = 1").select(*docs.columns)
+    found = near_copies(docs, id_column, **settings).where(F.col("doc_id").isNotNull())
+    ids = cut_lineage(found.groupBy(F.col("doc_id").alias(id_column)).agg(F.count_if(F.col("doc_id") == F.col("component_id")).alias("_times")))
+    named = docs.where(F.col(id_column).isNotNull())
+    rows = among(named, [id_column], ids.where("_times > 0").select(id_column), ids.where("_times = 0").select(id_column), 24)
+    often = ids.where("_times > 1").select(id_column)
+    if often.isEmpty():
+        return rows.select(*docs.columns).unionByName(docs.where(F.col(id_column).isNull()))
+    single = join_bounded(rows, often, [id_column], "left_anti", 24).select(*docs.columns)
     # rows of a repeated id: pre-aggregated in every task, so an id with very many rows is one row a task
-    several = rows.where("_times > 1").groupBy(id_column).agg(F.min(F.struct(*docs.columns)).alias("row")).select(*(F.col("row")[c].alias(c) for c in docs.columns))
+    several = join_bounded(named, often, [id_column], "left_semi", 24).groupBy(id_column).agg(F.min(F.struct(*docs.columns)).alias("row")).select(*(F.col("row")[c].alias(c) for c in docs.columns))
     return single.unionByName(several).unionByName(docs.where(F.col(id_column).isNull()))
 
 

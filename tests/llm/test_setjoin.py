@@ -126,3 +126,51 @@ def test_bitmaps_of_a_tile_are_bounded(monkeypatch):
     expected = setjoin.links_of_tile(ids, sides, sets, 80, 100)
     monkeypatch.setattr(setjoin, "TILE_BITS", 64)
     assert len(setjoin.links_of_tile(ids, sides, sets, 80, 100)) == len(expected) == 59
+
+
+def test_texts_that_share_passages_with_neighbours_do_not_all_meet(spark, docs_of, monkeypatch):
+    """A chain of 300 texts, each with most of the words of the next: candidates connect all, but
+    what is compared grows with the number of texts."""
+    seen, whole = [], setjoin.open_pairs
+
+    def counted(tiles, *settings):
+        seen.append(tiles.selectExpr("sum(size(members))").first()[0] or 0)
+        return whole(tiles, *settings)
+
+    monkeypatch.setattr(setjoin, "open_pairs", counted)
+    monkeypatch.setattr(setjoin, "TILE_ITEMS", 300)
+    rows = [(i, " ".join(f"w{k}" for k in range(20 * i, 20 * i + 100))) for i in range(300)]
+    rows += [(1000 + i, " ".join(f"w{k}" for k in range(20 * i, 20 * i + 99))) for i in range(0, 300, 50)]
+    got = {r.doc_id: r.component_id for r in setjoin.near_copies(docs_of(rows), words=5, num=80, den=100).collect()}
+    assert got == {i: i - 1000 if i >= 1000 else i for i, _ in rows}
+    assert 0 < sum(seen) < 10 * len(rows)
+
+
+def test_one_of_each_of_an_id_with_several_texts(spark, docs_of):
+    """An id that is the smallest of one of its rows' groups stays, with all its rows."""
+    one = " ".join(f"a{k}" for k in range(40))
+    kept = setjoin.one_of_each(docs_of([(3, one), (5, one), (7, one), (7, None), (9, None), (9, None)]))
+    assert sorted((r.doc_id, r.text or "") for r in kept.select("doc_id", "text").collect()) == [(3, one), (7, ""), (7, one), (9, "")]
+
+
+def test_small_bitmaps_bound_from_above():
+    """Bitmaps of different lengths, folded for every pair: no pair that links is left out."""
+    rng = np.random.default_rng(7)
+    base = np.unique(rng.integers(-(2**62), 2**62, 130))
+    sets = [np.unique(np.append(base[: len(base) - cut], rng.integers(-(2**62), 2**62, more))) for cut, more in zip(rng.integers(0, 12, 40), rng.integers(0, 12, 40))]
+    data = []
+    for items in sets:
+        bits = 1 << int(2 * len(items) - 1).bit_length()
+        bitmap = np.zeros(bits // 8, np.uint8)
+        where = (setjoin.mix(items.view(np.uint64)) % np.uint64(bits)).astype(np.int64)
+        np.bitwise_or.at(bitmap, where >> 3, (1 << (where & 7)).astype(np.uint8))
+        data.append(bitmap.tobytes())
+    length = np.array(list(map(len, data))) // 8
+    assert len(set(length.tolist())) > 1
+    size = np.array(list(map(len, sets)))
+    maps = {w: setjoin.folded(data, w, length) for w in set(length.tolist())}
+    for a in range(40):
+        for b in range(a):
+            words = int(min(length[a], length[b]))
+            spare = min(size[x] - int(np.bitwise_count(maps[words][x]).sum()) for x in (a, b))
+            assert int(np.bitwise_count(maps[words][a] & maps[words][b]).sum()) + spare >= setjoin.overlaps(sets[a], sets[b])
