@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from playbill.llm.common import BASE, grams, join_bounded, mix, slices, stored, tidy, word_hashes
+from playbill.llm.common import BASE, grams, join_bounded, join_lists, mix, slices, stored, tidy, word_hashes
 from playbill.llm.setjoin import colliding, linked
 from playbill.session import cut_lineage
 
@@ -331,7 +331,7 @@ def spans_of(source: DataFrame, made: DataFrame, to_sets, beyond, min_words: int
         places = join_bounded(shared.where("kind = 0").select("key", "check", "doc_id", "version", "start"), seeds, ["key", "check"], "inner", 24)
         places = cut_lineage(places.groupBy("doc_id", "version").agg(
             F.collect_set(F.when(F.col("left"), F.col("start"))).alias("left"), F.collect_set(F.when(F.col("right"), F.col("start"))).alias("right")))
-    texts = join_bounded(source, places, ["doc_id", "version"], "inner", 200).select("doc_id", "text", "version", "left", "right")
+    texts = join_lists(source, places, ["doc_id", "version"], "inner", {"left": 4, "right": 4}).select("doc_id", "text", "version", "left", "right")
     # one shuffle, by window, side and first word: who shares a word or more is together
     rows = texts.mapInArrow(tidy(beyond), BEYOND).where("length(next) > 0")
     rows = rows.repartition("key", "side", F.substring("next", 1, WORD_BYTES))
@@ -349,7 +349,7 @@ def spans_of(source: DataFrame, made: DataFrame, to_sets, beyond, min_words: int
     lines = cut_lineage(join_bounded(lines, nodes, ["key"], "inner", 16))
     homes = lines.groupBy("key").agg(F.min(F.struct("doc_id", "version")).alias("home")).select("key", "home.doc_id", "home.version")
     wanted = cut_lineage(homes.groupBy("doc_id", "version").agg(F.collect_list("key").alias("wanted")))
-    sets = join_bounded(source, wanted, ["doc_id", "version"], "inner", 400).select("text", "wanted").mapInArrow(tidy(to_sets), "id long, items array<long>")
+    sets = join_lists(source, wanted, ["doc_id", "version"], "inner", {"wanted": 8}).select("text", "wanted").mapInArrow(tidy(to_sets), "id long, items array<long>")
     clusters = linked(sets, close, num, den).withColumnRenamed("node", "key")
     near = lines.join(clusters, "key")
     keepers = near.groupBy("component").agg(F.min("doc_id").alias("kept"))
@@ -429,7 +429,7 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     spans = repeated(docs, id_column, text_column, **settings)
     names = [F.col(c) for c in docs.columns]
     rows = docs.select(F.struct(*names).alias("row"), F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text_column).alias("version"))
-    rows = join_bounded(rows, spans, ["doc_id", "version"], "left", 200)
+    rows = join_lists(rows, spans, ["doc_id", "version"], "left", {"spans": 32})
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -66,3 +66,26 @@ def test_workers_get_small_batches(spark):
             assert int(spark.conf.get(name).strip("b")) == expected
     finally:
         spark.conf.set(name, before)
+
+
+def test_join_lists_counts_what_lists_take(spark, monkeypatch):
+    """Many rows with short lists are broadcast, few with long ones are not; the rows are the same."""
+    big = spark.range(400).selectExpr("id AS k", "id * 2 AS v")
+    short = spark.range(300).selectExpr("id AS k", "if(id % 7 = 0, NULL, array(id)) AS some")
+    long = spark.range(300).selectExpr("id AS k", "if(id = 3, sequence(1, 9000), array()) AS some")
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 40_000)
+    for small, fits in ((short, True), (long, False)):
+        joined = common.join_lists(big, small, ["k"], "left", {"some": 8})
+        assert ("ResolvedHint (strategy=broadcast)" in joined._jdf.queryExecution().analyzed().toString()) == fits
+        assert sorted(r.k for r in joined.collect()) == list(range(400))
+
+
+def test_among_leaves_rows_where_they_are(spark, monkeypatch):
+    """Most keys stay: the few that go are broadcast, and the rows are not shuffled."""
+    big = spark.range(300).selectExpr("id % 100 AS k", "id AS v")
+    keys, others = spark.range(5, 100).selectExpr("id AS k"), spark.range(5).selectExpr("id AS k")
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 16 * 20)
+    found = common.among(big, ["k"], keys, others)
+    assert "ResolvedHint (strategy=broadcast)" in found._jdf.queryExecution().analyzed().toString()
+    assert sorted(r.v for r in found.collect()) == [v for v in range(300) if v % 100 >= 5]
+    assert sorted(r.v for r in common.among(big, ["k"], others, keys).collect()) == [v for v in range(300) if v % 100 < 5]
